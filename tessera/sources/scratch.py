@@ -1,5 +1,6 @@
 """Tables written in the shared folder, to cut lineage in a way that survives the loss of executors."""
 
+import gc
 import tempfile
 import uuid
 
@@ -34,3 +35,9 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop shuffle files that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
