@@ -5,10 +5,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, secretscan, simhash, urlfilter
+from tessera.llm import linededup, secretscan, simhash, tokens, urlfilter
 from tessera.sources import table
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """tokenizer: path of the definition, by default the public one that the query is about."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer, by_word=True)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -33,6 +42,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_output": op2_token_output,
     "op3_line_dedup": op3_line_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
