@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, secretscan, simhash, tokens, urlfilter
+from tessera.llm import linededup, secretscan, simhash, substring, tokens, urlfilter
 from tessera.sources import table
 
 
@@ -23,6 +23,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(urlfilter.RULES, "verdict string, host string, path string")
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
@@ -44,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_line_dedup": op3_line_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
     "op10_simhash": op10_simhash,
