@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, secretscan, simhash, substring, tokens, urlfilter
+from tessera.llm import langid, linededup, secretscan, simhash, substring, tokens, urlfilter
 from tessera.sources import table
 
 
@@ -40,6 +40,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in base), F.sha2(secretscan.joined(of_base), 256).alias("base_sha256"), secretscan.joined(F.col("spans")).alias("spans"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
 
