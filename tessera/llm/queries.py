@@ -5,10 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, linededup, secretscan, simhash, substring, tokens, urlfilter
+from tessera.llm import decontam, langid, linededup, mixing, secretscan, simhash, substring, tokens, topk, urlfilter
 from tessera.sources import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """tokenizer: path of the definition, by default the public one that the query is about."""
     if tokenizer is None:
@@ -40,6 +44,16 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(count(k) for k in base), F.sha2(secretscan.joined(of_base), 256).alias("base_sha256"), secretscan.joined(F.col("spans")).alias("spans"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = decontam.search(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("hits").alias("hit"))
+    return hits.select("doc_id", "hit.item_id", "hit.overlap", F.round("hit.score", 6).alias("score"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(docs, langid.fit(docs))
@@ -52,11 +66,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op2_token_output": op2_token_output,
     "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
+    "op7_decontamination": op7_decontamination,
+    "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
@@ -76,6 +93,16 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE: dict[str, str] = {
+    "op1_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS t FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.t, c.t), lambda z: z[1] * z[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
     "op3_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
