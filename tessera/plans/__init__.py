@@ -1 +1,20 @@
+"""Queries over the tables of a folder, and SQL that says the same."""
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _load():
+    from tessera.plans import cohort, registry
+
+    assert cohort
+    return registry
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_load().QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_load().ORACLE)
