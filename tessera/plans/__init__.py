@@ -1,15 +1,18 @@
 """Queries over the tables of a folder, and SQL that says the same."""
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Modules that register queries.
+PARTS = ("cohort", "search")
 
-def _load():
-    from tessera.plans import cohort, registry
 
-    assert cohort
-    return registry
+def _load():
+    for part in PARTS:
+        import_module(f"tessera.plans.{part}")
+    return import_module("tessera.plans.registry")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
