@@ -3,6 +3,8 @@
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark removes the shuffle files of a write once it has ended: what was written replaces them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet in the shared folder and read again, and its path."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    with shuffles_dropped(spark):
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
