@@ -22,7 +22,7 @@ _starts = np.array([a for a, _, _ in SCRIPTS])
 #: Chance of a gram that a language's sample lacks; alike for all languages, so that small samples aren't favoured.
 FLOOR = 1e-6
 #: Words whose scores a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 def script_of(word: str) -> str:
@@ -68,10 +68,18 @@ class Model:
             size.append(len(found))
         ends = np.cumsum(size)
         out = np.add.reduceat(self.logs[idx], np.concatenate([[0], ends[:-1]]), axis=0)
+        some = {k: np.where(v, 0, self.foreign) for k, v in self.scripts.items() if not all(v)}
+        all_fit = self.scripts.keys() - some.keys()
+        latin = "Latin" in all_fit
         for i, w in enumerate(words):
-            fits = self.scripts.get("Latin" if w.isascii() else script_of(w))
-            if fits is not None:
-                out[i] -= np.where(fits, 0, self.foreign)
+            if w.isascii() or max(w) < "\u0250":  # letters below are Latin
+                if latin:
+                    continue
+                script = "Latin"
+            else:
+                script = script_of(w)
+            if script in some:
+                out[i] -= some[script]
         return out
 
     def label(self, scores: np.ndarray) -> np.ndarray:
@@ -86,18 +94,21 @@ class Model:
         total = np.cumsum(gain.max(1))
         if (total - np.minimum.accumulate(np.concatenate([[0.0], total[:-1]]))).max() <= self.penalty:
             return np.full(n, best)
-        now, stay, origin = scores[0].astype(float), np.ones((n, k), bool), np.zeros(n, np.int64)
-        for t in range(1, n):
-            origin[t] = top = int(now.argmax())
-            change = now[top] - self.penalty
-            stay[t] = now >= change
-            now = np.where(stay[t], now, change) + scores[t]
+        rows = scores.tolist()
+        now, penalty = rows[0], self.penalty
+        came: list[tuple[list[float], float, int]] = []
+        for row in rows[1:]:
+            top = max(now)
+            change = top - penalty
+            came.append((now, change, now.index(top)))
+            now = [(x if x >= change else change) + y for x, y in zip(now, row, strict=True)]
         out = np.empty(n, np.int64)
-        at = int(now.argmax())
-        for t in range(n - 1, -1, -1):
+        out[-1] = at = now.index(max(now))
+        for t in range(n - 2, -1, -1):
+            before, change, origin = came[t]
+            if before[at] < change:
+                at = origin
             out[t] = at
-            if not stay[t, at]:
-                at = int(origin[t])
         return out
 
 
