@@ -149,14 +149,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     blocks, _ = written(ranged.mapInArrow(_pack(ROWS), _PACKED), "blocks")
     asked = rows.where("asks").select("vec_id", "terms").distinct()
     chunks, _ = written(asked.mapInArrow(_pack(QUERIES), _PACKED), "queries")
-    groups = max(1, -(-blocks.count() // BLOCKS))
-    # a group's number and a chunk's are hashes of their contents, so they don't change if a task runs again
-    group = F.pmod(F.xxhash64("ids", "data"), F.lit(groups)).cast("int")
-    chunk = F.xxhash64("ids", "data")
-    names = chunks.select(chunk.alias("chunk"))
-    left = chunks.withColumn("chunk", chunk).withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    # every pair of a chunk and a group, in blocks of bounded size: a stated query set against all rows
-    right = blocks.withColumn("grp", group).crossJoin(F.broadcast(names.agg(F.collect_list("chunk").alias("all")))).withColumn("chunk", F.explode("all"))
-    found = left.groupBy("grp", "chunk").cogroup(right.select("grp", "chunk", "ids", "width", "small", "data").groupBy("grp", "chunk")).applyInArrow(_search(k), "chunk long, nth long, query_id long, vec_id long, score long")
+    groups, sets = max(1, -(-blocks.count() // BLOCKS)), max(1, chunks.count())
+    # groups and sets go by hashes of their contents, so they don't change if a task runs again
+    code = F.xxhash64("ids", "data")
+    left = chunks.select(code.alias("chunk"), F.pmod(code, F.lit(sets)).alias("qset"), "ids", "width", "small", "data")
+    left = left.withColumn("bset", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    # every pair of a set of queries and a group of blocks, both of bounded size: a stated query set against all rows
+    right = blocks.select(F.pmod(code, F.lit(groups)).alias("bset"), "ids", "width", "small", "data")
+    right = right.withColumn("qset", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sets - 1).cast("long"))))
+    found = left.groupBy("bset", "qset").cogroup(right.groupBy("bset", "qset")).applyInArrow(_search(k), "chunk long, nth long, query_id long, vec_id long, score long")
     order = Window.partitionBy("chunk", "nth").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
