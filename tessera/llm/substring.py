@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow import binaries, flat, slices, sorted_runs
+from tessera.sources.scratch import written
 
 #: Perfect difference covers by their modulus.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -76,7 +77,7 @@ class Words:
 def _emit(hashes: np.ndarray, second: np.ndarray, rows: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Rows (p, x, row) for a shuffle by p: of hashes that occur once here, and of one occurrence of each other hash,
     p is the hash; all occurrences of the latter are known to recur and go to any task (p of their place).
-    x: 31 bits of the place and whether p is known to recur, over 32 bits of the second hash."""
+    x: the kind (0, 1 for one known to recur that stands for others, 2 for those others), 30 bits of the place, 32 of the second hash."""
     order = np.argsort(hashes, kind="stable")
     h, s = hashes[order], second[order]
     cut = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
@@ -84,19 +85,38 @@ def _emit(hashes: np.ndarray, second: np.ndarray, rows: np.ndarray, place: np.nd
     size = np.bincount(group, minlength=int(cut.sum()))
     # hashes that agree here in full; where second hashes differ too, all go by the hash
     same = np.logical_and.reduceat(np.concatenate([[True], s[1:] == s[:-1]]) | cut, np.flatnonzero(cut)) if len(h) else np.zeros(0, bool)
-    known = ((size > 1) & same)[group]
-    r, at = rows[order], place[order].astype(np.uint64)
-    sends = ~known | cut
-    flag = known.astype(np.uint64) << np.uint64(31)
-    x = (s << np.uint64(32)) | at
-    p = np.concatenate([h[sends], _mix(r[known].view(np.uint64) + at[known])])
-    kind = np.concatenate([np.zeros(int(sends.sum()), np.int8) + known[sends].astype(np.int8), np.full(int(known.sum()), 2, np.int8)])
-    x = np.concatenate([(x | flag)[sends], x[known]])
-    row = np.concatenate([r[sends], r[known]])
-    return pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(x.view(np.int64)), pa.array(row), pa.array(kind)], ["p", "x", "row", "kind"])
+    # back in the order of places, in which neighbours share their row's number and so compress
+    known, first = np.empty(len(h), bool), np.empty(len(h), bool)
+    known[order] = ((size > 1) & same)[group]
+    first[order] = cut
+    at = place.astype(np.uint64)
+    x = (second << np.uint64(32)) | (at << np.uint64(2))
+    sends = np.flatnonzero(~known | first)
+    spread = np.flatnonzero(known)
+    p = np.concatenate([hashes[sends], _mix(rows[spread].view(np.uint64) + at[spread])])
+    x = np.concatenate([x[sends] | known[sends].astype(np.uint64), x[spread] | np.uint64(2)])
+    row = np.concatenate([rows[sends], rows[spread]])
+    return pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(x.view(np.int64)), pa.array(row)], ["p", "x", "row"])
 
 
-_ROWS = "p long, x long, row long, kind byte"
+#: Bytes of text hashed at a time, and hashes that are settled among themselves before they are sent.
+SLICE, HELD = 1 << 19, 400_000
+
+
+def _emitted(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of _emit for (hashes, second hashes, rows, places), about HELD at a time."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= HELD:
+            yield _emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held, n = [], 0
+    if held:
+        yield _emit(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+
+_ROWS = "p long, x long, row long"
 
 
 def _anchors(window: int, modulus: int):
@@ -104,50 +124,41 @@ def _anchors(window: int, modulus: int):
     cover = np.zeros(modulus, bool)
     cover[list(COVERS[modulus])] = True
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            found = []
-            for batch in slices(whole):
-                w = Words(batch.column("text"))
-                at = np.flatnonzero(cover[w.place % modulus] & (w.place + size <= w.n[w.text]) & (w.n[w.text] >= window))
-                rows = np.asarray(batch.column("row"))[w.text[at]]
-                found.append((w.windows(at, size, 0), np.zeros(len(at), np.uint64), rows, w.place[at]))
-            if found:
-                yield _emit(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for batch in (x for whole in batches for x in slices(whole, most=SLICE)):
+            w = Words(batch.column("text"))
+            at = np.flatnonzero(cover[w.place % modulus] & (w.place + size <= w.n[w.text]) & (w.n[w.text] >= window))
+            yield w.windows(at, size, 0), np.zeros(len(at), np.uint64), np.asarray(batch.column("row"))[w.text[at]], w.place[at]
 
-    return over
+    return lambda batches: _emitted(hashes(batches))
 
 
 def _extended(window: int, modulus: int):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            found = []
-            for batch in slices(whole):
-                w = Words(batch.column("text"))
-                places = batch.column("places")
-                anchors = np.asarray(places.flatten(), np.int64)
-                text = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(places.offsets)))
-                # every window that holds the anchor: it starts up to modulus - 1 words before
-                spread = np.zeros(len(w.place) + modulus + 1, np.int64)
-                at = w.first[text] + anchors
-                np.add.at(spread, np.maximum(at - modulus + 1, w.first[text]), 1)
-                np.add.at(spread, at + 1, -1)
-                starts = np.flatnonzero(np.cumsum(spread)[: len(w.place)] > 0)
-                starts = starts[w.place[starts] + window <= w.n[w.text[starts]]]
-                rows = np.asarray(batch.column("row"))[w.text[starts]]
-                found.append((w.windows(starts, window, 0), w.windows(starts, window, 1) >> np.uint64(32), rows, w.place[starts]))
-            if found:
-                yield _emit(*(np.concatenate(x) for x in zip(*found, strict=True)))
-
-    return over
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for batch in (x for whole in batches for x in slices(whole, most=SLICE)):
+            w = Words(batch.column("text"))
+            places = batch.column("places")
+            anchors = np.asarray(places.flatten(), np.int64)
+            text = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(places.offsets)))
+            # every window that holds the anchor: it starts up to modulus - 1 words before
+            spread = np.zeros(len(w.place) + modulus + 1, np.int64)
+            at = w.first[text] + anchors
+            np.add.at(spread, np.maximum(at - modulus + 1, w.first[text]), 1)
+            np.add.at(spread, at + 1, -1)
+            starts = np.flatnonzero(np.cumsum(spread)[: len(w.place)] > 0)
+            starts = starts[w.place[starts] + window <= w.n[w.text[starts]]]
+            yield w.windows(starts, window, 0), w.windows(starts, window, 1) >> np.uint64(32), np.asarray(batch.column("row"))[w.text[starts]], w.place[starts]
+
+    return lambda batches: _emitted(hashes(batches))
 
 
 def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """row, place of what recurs, from rows of _emit that are sorted by p."""
     for batch in sorted_runs(batches, "p"):
-        p, x, row, kind = (np.asarray(batch.column(c)) for c in ("p", "x", "row", "kind"))
+        p, x, row = (np.asarray(batch.column(c)) for c in ("p", "x", "row"))
         x = x.view(np.uint64)
-        place = (x & np.uint64(0x7FFFFFFF)).astype(np.int32)
+        kind = x & np.uint64(3)
+        place = ((x >> np.uint64(2)) & np.uint64((1 << 30) - 1)).astype(np.int32)
         counted = np.flatnonzero(kind < 2)
         h, s = p[counted], (x >> np.uint64(32))[counted]
         order = np.lexsort((s, h))
@@ -197,19 +208,21 @@ def dedup_substrings(docs: DataFrame, window: int = 35, modulus: int = 21, id_co
     Words lie between ASCII white space. A word goes if a window of ``window`` words covers it whose words also start
     anywhere else, in the same document or another. Anchors meet by one 64-bit hash and windows by 96 bits of two.
 
-    What recurs within an Arrow batch is settled there: a hash goes to the shuffle once a batch, and the places of
+    What recurs among HELD hashes of a task is settled there: such a hash goes to the shuffle once, and the places of
     hashes known to recur spread evenly over tasks, so a passage that a third of all documents hold is no hot key.
-    Documents are dealt out once by a hash of the row, and both later steps read that one exchange.
+    Places of recurring anchors are written to the shared folder, which frees the anchors' shuffle. Documents are dealt
+    out once by a hash of the row, and both later steps read that one exchange.
 
     Null texts have no words; repeated rows are documents of their own, each the other's copy; a null doc_id takes
-    part. An empty table gives an empty result; further columns are ignored. A text may have up to 2 ** 31 words.
+    part. An empty table gives an empty result; further columns are ignored. A text may have up to 2 ** 30 words.
     """
     if modulus not in COVERS or window - modulus < 1:
         raise ValueError(f"the modulus must be one of {sorted(COVERS)} and less than the window")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    anchors = _recur(base.select("row", "text").mapInArrow(_anchors(window, modulus), _ROWS))
+    anchors, _ = written(_recur(base.select("row", "text").mapInArrow(_anchors(window, modulus), _ROWS)), "anchors")
     dealt = base.repartition("row")
-    near = dealt.join(anchors, "row").select("row", "text", "places").mapInArrow(_extended(window, modulus), _ROWS)
+    # both steps take the same columns of the dealt documents, so that one exchange serves them
+    near = dealt.join(anchors, "row").select("row", "doc_id", "text", "places").mapInArrow(_extended(window, modulus), _ROWS)
     starts = _recur(near)
     out = dealt.join(starts, "row", "left").select("doc_id", "text", "places")
     return out.mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
