@@ -67,7 +67,7 @@ def margin_tradeoff(tiles: DataFrame, cuts: tuple[float, ...], bands: tuple[tupl
         acc = F.when((F.col("vote_margin") >= low) & (F.col("vote_margin") < high), a).otherwise(acc)
     rows = tiles.select("vote_margin", acc.alias("accuracy"), F.explode(F.array(*map(F.lit, cuts))).alias("cut"))
     kept = F.col("vote_margin") >= F.col("cut")
-    return rows.groupBy("cut").agg(F.count_if(kept).alias("kept"), F.round(F.count_if(kept) / F.count("*"), 6).alias("share"), F.round(F.avg(F.when(kept, F.col("accuracy"))), 6).alias("accuracy"))
+    return rows.groupBy("cut").agg(F.count_if(kept).alias("kept"), F.round(F.count_if(kept) / F.count("*"), 6).alias("share"), F.round(F.avg(F.when(kept, F.col("accuracy"))) + 1e-9, 6).alias("accuracy"))
 
 
 def majority(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -130,7 +130,7 @@ def risk(prop: DataFrame, survival: DataFrame, most_p: float = 0.05) -> DataFram
     j = prop.join(survival.where(F.col("p") < most_p), "hpc_id")
     out = j.groupBy("samples", "slides").agg(F.sum(F.col("proportion") * F.col("coef")).alias("risk"))
     top = F.nullif(F.max(F.abs("risk")).over(Window.partitionBy("samples")), F.lit(0.0))
-    return out.select("samples", "slides", F.round("risk", 6).alias("risk"), F.round(F.col("risk") / top, 6).alias("norm"))
+    return out.select("samples", "slides", F.round(F.col("risk") + 1e-9, 6).alias("risk"), F.round(F.col("risk") / top + 1e-9, 6).alias("norm"))
 
 
 def duplicates(df: DataFrame, *keys: str, value: str) -> DataFrame:

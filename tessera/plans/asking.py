@@ -119,7 +119,7 @@ def _(s, d):
 def _(s, d):
     t = B.tiles(s, d)
     first = t.orderBy("slide_tile").limit(1000)
-    there = t.where("run % 4 <> 0").select("slide_tile", F.lit(1).alias("hit"))
+    there = t.where("run % 4 <> 0").select("slide_tile", F.lit(1).alias("hit")).distinct()
     return first.join(there, "slide_tile", "left").agg(F.count("*").alias("n"), F.count_if(F.col("slide_tile").isNull()).alias("null_keys"), F.countDistinct("samples").alias("samples"), F.count("hit").alias("matched"))
 
 

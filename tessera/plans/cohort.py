@@ -71,7 +71,7 @@ BANDS = ((0.0, 0.1, 61.7), (0.1, 0.25, 81.2), (0.25, 0.5, 95.5), (0.5, 0.75, 99.
 
 
 @query("a10_margin_tradeoff", """WITH acc AS (SELECT vote_margin, CASE WHEN vote_margin < 0.1 THEN 61.7 WHEN vote_margin < 0.25 THEN 81.2 WHEN vote_margin < 0.5 THEN 95.5 WHEN vote_margin < 0.75 THEN 99.5 WHEN vote_margin < 1.01 THEN 100.0 END::DOUBLE AS accuracy FROM tiles)
-    SELECT cut, count(*) FILTER (WHERE vote_margin >= cut) AS kept, round(count(*) FILTER (WHERE vote_margin >= cut) / count(*)::DOUBLE, 6) AS share, round(avg(accuracy) FILTER (WHERE vote_margin >= cut), 6) AS accuracy
+    SELECT cut, count(*) FILTER (WHERE vote_margin >= cut) AS kept, round(count(*) FILTER (WHERE vote_margin >= cut) / count(*)::DOUBLE, 6) AS share, round(avg(accuracy) FILTER (WHERE vote_margin >= cut) + 1e-9, 6) AS accuracy
     FROM acc, (SELECT unnest([0.0, 0.1, 0.25, 0.5, 0.75]::DOUBLE[]) AS cut) GROUP BY cut""")
 def _(s, d):
     return P.margin_tradeoff(B.tiles(s, d), (0.0, 0.1, 0.25, 0.5, 0.75), BANDS)
@@ -132,10 +132,10 @@ def _(s, d):
     return P.crosstab(B.tiles(s, d), "samples", "flag", ["A", "N", "R"], share=True)
 
 
-@query("a28_pivot_mean", "SELECT samples, round(avg(vote_margin) FILTER (WHERE flag = 'A'), 6) AS a, round(avg(vote_margin) FILTER (WHERE flag = 'N'), 6) AS n, round(avg(vote_margin) FILTER (WHERE flag = 'R'), 6) AS r FROM tiles GROUP BY samples")
+@query("a28_pivot_mean", "SELECT samples, round(avg(vote_margin) FILTER (WHERE flag = 'A') + 1e-9, 6) AS a, round(avg(vote_margin) FILTER (WHERE flag = 'N') + 1e-9, 6) AS n, round(avg(vote_margin) FILTER (WHERE flag = 'R') + 1e-9, 6) AS r FROM tiles GROUP BY samples")
 def _(s, d):
     wide = B.tiles(s, d).groupBy("samples").pivot("flag", ["A", "N", "R"]).agg(F.avg("vote_margin"))
-    return wide.select("samples", *(F.round(c, 6).alias(c.lower()) for c in ("A", "N", "R")))
+    return wide.select("samples", *(F.round(F.col(c) + 1e-9, 6).alias(c.lower()) for c in ("A", "N", "R")))  # off the halves, where orders of summation would show
 
 
 @query("a29_melt", "SELECT slides, 'n_a' AS measure, count(*) FILTER (WHERE flag = 'A') AS n FROM tiles GROUP BY slides UNION ALL SELECT slides, 'n_r', count(*) FILTER (WHERE flag = 'R') FROM tiles GROUP BY slides")
@@ -152,7 +152,7 @@ def _(s, d):
 
 
 @query("a34_survival_risk", """WITH r AS (SELECT samples, slides, sum(proportion * coef) AS risk FROM proportion JOIN survival USING (hpc_id) WHERE p < 0.05 GROUP BY ALL)
-    SELECT samples, slides, round(risk, 6) AS risk, round(risk / nullif(max(abs(risk)) OVER (PARTITION BY samples), 0), 6) AS norm FROM r""")
+    SELECT samples, slides, round(risk + 1e-9, 6) AS risk, round(risk / nullif(max(abs(risk)) OVER (PARTITION BY samples), 0) + 1e-9, 6) AS norm FROM r""")
 def _(s, d):
     return P.risk(P.proportion(B.tiles(s, d)), B.survival(s))
 
@@ -174,10 +174,10 @@ def _(s, d):
     return P.divergence(B.tiles(s, d), "slides", "hpc_id")
 
 
-@query("a46_robust_z", """SELECT hpc_id, round(median(vote_margin), 6) AS med, round(avg(vote_margin), 6) AS mean, round(quantile_cont(vote_margin, 0.25), 6) AS q1, round(quantile_cont(vote_margin, 0.75), 6) AS q3 FROM tiles GROUP BY hpc_id""")
+@query("a46_robust_z", """SELECT hpc_id, round(median(vote_margin), 6) AS med, round(avg(vote_margin) + 1e-9, 6) AS mean, round(quantile_cont(vote_margin, 0.25), 6) AS q1, round(quantile_cont(vote_margin, 0.75), 6) AS q3 FROM tiles GROUP BY hpc_id""")
 def _(s, d):
     q = lambda x: F.round(F.percentile("vote_margin", x), 6)
-    return B.tiles(s, d).groupBy("hpc_id").agg(F.round(F.median("vote_margin"), 6).alias("med"), F.round(F.avg("vote_margin"), 6).alias("mean"), q(0.25).alias("q1"), q(0.75).alias("q3"))
+    return B.tiles(s, d).groupBy("hpc_id").agg(F.round(F.median("vote_margin"), 6).alias("med"), F.round(F.avg("vote_margin") + 1e-9, 6).alias("mean"), q(0.25).alias("q1"), q(0.75).alias("q3"))
 
 
 @query("a48_site_positives", "SELECT samples AS site, count(*) FILTER (WHERE malignant) AS positives, count(*) AS total FROM tiles LEFT JOIN dictionary USING (hpc_id) GROUP BY samples")

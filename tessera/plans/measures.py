@@ -275,9 +275,9 @@ def _(s, d):
     return M.risk_split(people(s, d), F.col("id") % 2 == 0, "x", 0.33, 0.66).groupBy("segment", "risk_group").agg(F.count("*").alias("n"))
 
 
-@query("m20_mean_ci", f"WITH {PEOPLE} SELECT segment, count(*) AS n, round(avg(x), 6) AS mean, round(1.959964 * stddev_samp(x) / sqrt(count(*)), 6) AS half_width FROM people GROUP BY segment")
+@query("m20_mean_ci", f"WITH {PEOPLE} SELECT side, count(*) AS n, round(avg(x), 6) AS mean, round(1.959964 * stddev_samp(x) / sqrt(count(*)), 6) AS half_width FROM people GROUP BY side")
 def _(s, d):
-    return M.mean_ci(people(s, d), "x", "segment")
+    return M.mean_ci(people(s, d), "x", "side")
 
 
 @query("m21_auc", f"WITH {PEOPLE}, r AS (SELECT event, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0::DOUBLE AS r FROM people), g AS (SELECT count(*) FILTER (WHERE event = 1) AS p, count(*) FILTER (WHERE event = 0) AS n, sum(CASE WHEN event = 1 THEN r ELSE 0 END) AS w FROM r) SELECT round((w - p * (p + 1) / 2.0::DOUBLE) / (p * n), 6) AS auc, p AS positives, n AS negatives FROM g")
