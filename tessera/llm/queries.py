@@ -119,6 +119,20 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op4_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i,
+                   unnest(list_transform(range(1, len(words) + 1), lambda i: CASE WHEN i + 34 <= len(words) THEN array_to_string(words[i:i + 34], ' ') END)) AS win
+            FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM documents WHERE text IS NOT NULL)
+        ), seen AS (
+            SELECT win FROM w WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1
+        ), judged AS (
+            SELECT doc_id, word, i, max(CASE WHEN s.win IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+            FROM w LEFT JOIN seen s ON w.win = s.win
+        )
+        SELECT d.doc_id, count(word) AS n_words, count(*) FILTER (WHERE gone = 1) AS n_removed,
+               sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '')) AS kept_sha256
+        FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id""",
     "op5_url_filter": f"""
         WITH rules(verdict, host, path) AS (
             VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
