@@ -15,8 +15,8 @@ from tessera.llm.arrow import slices
 WORD = re.compile(r"\w+")
 #: The usual constants of BM25.
 K1, B = 1.2, 0.75
-#: Postings a block holds.
-BLOCK = 32
+#: Items of a block: impacts are bounded by block.
+BLOCK = 8
 #: The text of items that one broadcast index holds, in characters; more items take more passes over the documents.
 INDEX_CHARS = 8_000_000
 
@@ -31,16 +31,25 @@ def shingles(ids: list[int], size: int) -> list[tuple[int, ...]]:
 
 @dataclass
 class Postings:
-    """Items that hold a term, in order, with impacts; the largest impact of each block and of all."""
+    """Items that hold a term, in order, with impacts; the blocks of items that they lie in, where each starts, and its largest impact."""
 
     items: np.ndarray
     impacts: np.ndarray
+    blocks: np.ndarray = field(init=False)
+    starts: np.ndarray = field(init=False)
     tops: np.ndarray = field(init=False)
-    top: float = field(init=False)
 
     def __post_init__(self) -> None:
-        self.tops = np.maximum.reduceat(self.impacts, np.arange(0, len(self.impacts), BLOCK))
-        self.top = float(self.tops.max())
+        self.blocks, self.starts = np.unique(self.items // BLOCK, return_index=True)
+        self.tops = np.maximum.reduceat(self.impacts, self.starts)
+
+    def of(self, block: int) -> tuple[float, list[int], list[float]] | None:
+        """The largest impact, the items and the impacts of a block."""
+        i = int(np.searchsorted(self.blocks, block))
+        if i == len(self.blocks) or self.blocks[i] != block:
+            return None
+        a, b = int(self.starts[i]), int(self.starts[i + 1]) if i + 1 < len(self.starts) else len(self.items)
+        return float(self.tops[i]), self.items[a:b].tolist(), self.impacts[a:b].tolist()
 
 
 class Index:
@@ -68,55 +77,45 @@ class Index:
         self.postings = {t: Postings(np.array([i for i, _ in x]), np.array([v for _, v in x])) for t, x in lists.items()}
         self.bound = np.zeros(len(terms) + 1)
         for t, p in self.postings.items():
-            self.bound[t] = p.top
+            self.bound[t] = p.tops.max()
 
     def retrieve(self, terms: list[int], least: float = 1 - 1e-9) -> list[tuple[int, float]]:
         """All items that score ``least`` or more for a query of distinct terms: block-max WAND.
 
-        Cursors stand in the order of their items. The pivot is the first one at which upper bounds sum to the
-        threshold; no item before its item can reach it. If the blocks that the pivot item lies in can't either, all
-        cursors skip to where the first of these blocks ends.
+        The largest impacts of the terms in a block bound all its items' scores; blocks that can't reach the threshold
+        are skipped. In the others cursors stand in the order of their items, and the pivot is the first one at which
+        the block's bounds sum to the threshold: no item before its item can reach it.
         """
-        cursors = [[int(p.items[0]), 0, p] for t in terms if (p := self.postings.get(t))]
-        found = []
-        while cursors:
-            cursors.sort(key=lambda c: c[0])
-            total, pivot = 0.0, -1
-            for i, c in enumerate(cursors):
-                total += c[2].top
-                if total >= least:
-                    pivot = i
+        lists = [p for t in terms if (p := self.postings.get(t))]
+        if not lists:
+            return []
+        bounds = np.bincount(np.concatenate([p.blocks for p in lists]), np.concatenate([p.tops for p in lists]))
+        found: list[tuple[int, float]] = []
+        for block in np.flatnonzero(bounds >= least).tolist():
+            cursors = [[items[0], 0, top, items, impacts] for p in lists if (x := p.of(block)) for top, items, impacts in (x,)]
+            while cursors:
+                cursors.sort(key=lambda c: c[0])
+                total, item = 0.0, None
+                for c in cursors:
+                    total += c[2]
+                    if total >= least:
+                        item = c[0]
+                        break
+                if item is None:
                     break
-            if pivot < 0:
-                break
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            part = cursors[: pivot + 1]
-            tops, ends = 0.0, [cursors[pivot + 1][0]] if pivot + 1 < len(cursors) else []
-            for c in part:
-                at = c[1] if c[0] == item else int(np.searchsorted(c[2].items, item))
-                if at < len(c[2].items):
-                    block = at // BLOCK
-                    tops += float(c[2].tops[block])
-                    last = min(len(c[2].items), (block + 1) * BLOCK) - 1
-                    ends.append(int(c[2].items[last]) + 1)
-            if tops >= least:
                 score = 0.0
-                for c in part:
-                    at = c[1] if c[0] == item else int(np.searchsorted(c[2].items, item))
-                    if at < len(c[2].items) and c[2].items[at] == item:
-                        score += float(c[2].impacts[at])
+                for c in cursors:
+                    if c[0] > item:
+                        break
+                    while c[1] < len(c[3]) and c[3][c[1]] < item:
+                        c[1] += 1
+                    if c[1] < len(c[3]) and c[3][c[1]] == item:
+                        score += c[4][c[1]]
+                        c[1] += 1
+                    c[0] = c[3][c[1]] if c[1] < len(c[3]) else -1
                 if score >= least:
                     found.append((item, score))
-                go = item + 1
-            else:
-                go = max(min(ends), item + 1)
-            for c in part:
-                if c[0] < go:
-                    c[1] = int(np.searchsorted(c[2].items, go))
-                    c[0] = int(c[2].items[c[1]]) if c[1] < len(c[2].items) else -1
-            cursors = [c for c in cursors if c[0] >= 0]
+                cursors = [c for c in cursors if c[0] >= 0]
         return found
 
     def search(self, ids: np.ndarray) -> dict[int, tuple[float, float]]:
