@@ -250,3 +250,44 @@ def tile_at(tiles: DataFrame, slide: str, x: float, y: float, px: float) -> Data
     """Q15, Q18."""
     col, row = grid_xy(F.lit(x), F.lit(y), F.lit(px))
     return tiles.where((F.col("slides") == slide) & (F.col("grid_col") == col) & (F.col("grid_row") == row))
+
+
+def sql_frame(df: DataFrame, name: str, text: str) -> DataFrame:
+    """An SQL scan over a named view of a frame."""
+    return df.sparkSession.sql(text, **{name: df})
+
+
+def descriptions(sheet: DataFrame, key: str = "hpc_id", text: str = "description", removed: str = "removed") -> tuple[DataFrame, DataFrame]:
+    """The description of each cluster, and the clusters that a review removed."""
+    gone = F.lower(F.trim(removed)).isin("x", "yes", "true", "1")
+    return sheet.where(~F.coalesce(gone, F.lit(False)) & (F.trim(text) != "")).select(key, F.trim(text).alias(text)), sheet.where(gone).select(key)
+
+
+def write_list(df: DataFrame, col: str, path: str) -> None:
+    """One name a line, in order; Spark's committer makes it appear whole."""
+    df.select(F.col(col).cast("string")).orderBy(col).coalesce(1).write.mode("overwrite").text(path)
+
+
+def to_long(df: DataFrame, key: str, prefix: str = "p_hpc_") -> DataFrame:
+    """Probability columns as rows of cluster and value."""
+    cols = probability_columns(df, prefix)
+    return df.unpivot(key, cols, "hpc_id", "p").withColumn("hpc_id", F.substring("hpc_id", len(prefix) + 1, 9).cast("int")).where("p is not null")
+
+
+def to_wide(df: DataFrame, key: str, clusters: list[int], prefix: str = "p_hpc_") -> DataFrame:
+    """One column a named cluster."""
+    return df.groupBy(key).agg(*(F.max(F.when(F.col("hpc_id") == c, F.col("p"))).alias(f"{prefix}{c}") for c in clusters))
+
+
+def titled(df: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
+    """A left join with the dictionary; strict refuses clusters that it lacks."""
+    j = df.join(dictionary.withColumn("_known", F.lit(True)), "hpc_id", "left")
+    if strict:
+        require_empty(j.where(F.col("hpc_id").isNotNull() & F.col("_known").isNull()).select("hpc_id").distinct(), "unknown clusters")
+    return j.drop("_known")
+
+
+def matched(stage: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows of the stage that the registry has, on the canonical key of both."""
+    key = lambda df: df.withColumn("_key", F.upper(F.trim("slide_tile")))
+    return key(stage).join(key(registry).select("_key").distinct(), "_key", "left_semi").drop("_key")

@@ -216,3 +216,38 @@ def _(s, d):
 @query("q15_slide_view", "SELECT t.slide_tile, d.malignant FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id WHERE t.slides = '4' AND t.grid_col = 21 AND t.grid_row = 13")
 def _(s, d):
     return C.tile_at(B.tiles(s, d), "4", 35000, 21000, 1600.0).join(B.dictionary(s), "hpc_id", "left").select("slide_tile", "malignant")
+
+
+@query("s11_sql_scan", "SELECT slides, max(vote_margin) AS top FROM tiles WHERE hpc_id = 3 GROUP BY slides")
+def _(s, d):
+    return C.sql_frame(B.tiles(s, d), "t", "SELECT slides, max(vote_margin) AS top FROM {t} WHERE hpc_id = 3 GROUP BY slides")
+
+
+@query("s18_descriptions", "SELECT hpc_id, hpc_title AS description FROM dictionary WHERE hpc_id % 9 <> 0")
+def _(s, d):
+    sheet = B.dictionary(s).select("hpc_id", F.concat(F.lit(" "), "hpc_title").alias("description"), F.when(F.col("hpc_id") % 9 == 0, "X").alias("removed"))
+    return C.descriptions(sheet)[0]
+
+
+@query("k17_wide_to_long", "SELECT slides, hpc_id, n / 10.0::DOUBLE AS p FROM proportion WHERE hpc_id IN (1, 2, 30)")
+def _(s, d):
+    n = P.counts_by(B.tiles(s, d), "slides", "hpc_id").select("slides", "hpc_id", (F.col("n") / 10).alias("p"))
+    return C.to_long(C.to_wide(n, "slides", [1, 2, 30]), "slides")
+
+
+@query("j5_preview_match", "SELECT count(*) AS n FROM tiles WHERE upper(trim(slide_tile)) IN (SELECT upper(trim(slide_tile)) FROM tiles WHERE run % 3 = 0)")
+def _(s, d):
+    t = B.tiles(s, d).select("slide_tile", "run")
+    lower = t.where("run % 3 = 0").select(F.concat(F.lit(" "), F.lower("slide_tile")).alias("slide_tile"))
+    return C.matched(t, lower).agg(F.count("*").alias("n"))
+
+
+@query("j10_malignancy_map", "SELECT malignant, count(*) AS n FROM tiles LEFT JOIN dictionary USING (hpc_id) GROUP BY malignant")
+def _(s, d):
+    return C.titled(B.tiles(s, d), B.dictionary(s), strict=True).groupBy("malignant").agg(F.count("*").alias("n"))
+
+
+@query("a3_unfiltered_profiles", "SELECT samples, slides, CAST(sum(n) AS BIGINT) AS total_tiles, round(max(proportion), 6) AS top FROM proportion GROUP BY samples, slides")
+def _(s, d):
+    p = P.proportion(B.tiles(s, d))
+    return p.groupBy("samples", "slides").agg(F.sum("n").alias("total_tiles"), F.round(F.max("proportion"), 6).alias("top"))

@@ -55,3 +55,13 @@ def test_sample_keeps_whole_keys(spark):
     a, b = C.sample_of(df, "k", 3), C.sample_of(df.repartition(5), "k", 3)
     assert a.count() == 30 and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert C.sample_of(df, "k", 3, seed=1).count() == 30
+
+
+def test_lists_and_unknown_clusters(spark, tmp_path):
+    df = spark.createDataFrame([("b", 1), ("a", 2)], "slide_id string, hpc_id int")
+    C.write_list(df, "slide_id", f"{tmp_path}/list")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/list").collect()] == ["a", "b"]
+    dictionary = spark.createDataFrame([(1, True)], "hpc_id int, malignant boolean")
+    assert C.titled(df, dictionary).count() == 2
+    with pytest.raises(guards.Refused, match="unknown"):
+        C.titled(df, dictionary, strict=True)
