@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow import binaries, slices
-from tessera.sources.scratch import new_path, release, remove
+from tessera.sources.scratch import new_path, remove, shuffles_dropped
 
 MAGIC = b"TSR1"
 #: Ids a block holds before it is closed; a document is never split.
 BLOCK = 1 << 17
-#: Words whose ids a task remembers.
-REMEMBERED = 700_000
+#: Words, and pieces of them, whose ids a task remembers. Pieces are fewer and cost more, so they stay longer.
+WORDS, PIECES = 500_000, 900_000
 BLOCKS = "shard int, block int, at long, n_tokens long, doc_ids array<bigint>, payload binary"
 
 _present = (np.arange(4) <= ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)[:, :, None]).reshape(256, 16)
@@ -127,8 +127,9 @@ class Encoder:
         if not self.by_word:
             return self._ids([(t or b"").decode() for t in texts])
         split = [(t or b"").split() for t in texts]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > WORDS:
             self.known.clear()
+        if len(self.pieces) > PIECES:
             self.pieces = {"": b""}
         known = self.known
         self._learn(list({w for words in split for w in words if w not in known}))
@@ -238,9 +239,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, order: tu
     ordered = src.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     scratch = new_path(spark, "tokens")
     schema = f"{BLOCKS}, sizes array<int>"
-    ordered.mapInArrow(_tokenise(definition, by_word, end), schema).write.option("compression", "zstd").parquet(scratch)
-    del ordered
-    release(spark)  # the ordered texts' shuffle files, before a second copy of the ids is written
+    with shuffles_dropped(spark):  # the ordered texts' files go before a second copy of the ids is written
+        ordered.mapInArrow(_tokenise(definition, by_word, end), schema).write.option("compression", "zstd").parquet(scratch)
     plain = spark.read.schema(schema).parquet(scratch)
     width = _width(Encoder(definition.value, False).tokenizer.get_vocab_size(), end)
     counts = plain.select("payload").mapInArrow(_count(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
