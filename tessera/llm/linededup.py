@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import written
+
 #: What may surround a line's key: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,7 +44,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
     else:
         by_doc = lines.groupBy("h1", "h2", "of").agg(F.lit(1).alias("one"))
         shared = by_doc.groupBy("h1", "h2").agg(F.min("of").alias("first"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    shared = shared.select("h1", "h2", "first")
+    # written, so that the join gets a shuffle of its own, which adaptive execution can split; one under an aggregate it can't
+    shared, _ = written(shared.select("h1", "h2", "first"), "shared-lines")
     lost = lines.join(shared, ["h1", "h2"]).where("of <> first").groupBy("of", "row").agg(F.collect_set("at").alias("lost"))
     met = base.join(lost, ["of", "row"], "left").select("doc_id", "text", F.coalesce("lost", F.array().cast("array<int>")).alias("lost"))
 
