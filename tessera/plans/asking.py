@@ -106,15 +106,24 @@ def _(s, d):
     return not_integral(table(s, d, "part"), "p_retailprice").agg(F.count("*").alias("n"), F.min("p_retailprice").alias("example"))
 
 
-@query("r25_next_ids", "SELECT c_custkey, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS id FROM customer WHERE c_custkey % 10 = 0")
-def _(s, d):
+def next_ids(s, d, customers):
     from tessera.sources.text import with_index
 
     top = table(s, d, "orders").agg(F.max("o_orderkey").alias("top"))
-    new = with_index(table(s, d, "customer").where("c_custkey % 10 = 0").select("c_custkey"), "c_custkey")
+    new = with_index(customers.select("c_custkey"), "c_custkey")
     return new.crossJoin(top).select("c_custkey", (F.col("top") + F.col("image_index") + 1).alias("id"))  # one row
 
 
+@query("r25_next_ids", "SELECT c_custkey, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS id FROM customer WHERE c_custkey % 10 = 0")
+def _(s, d):
+    return next_ids(s, d, table(s, d, "customer").where("c_custkey % 10 = 0"))
+
+
+@query("r25_next_ids_whole", "SELECT c_custkey, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY c_custkey) AS id FROM customer")
+def _(s, d):
+    return next_ids(s, d, table(s, d, "customer"))
+
+
 @query("r27_diagnose_join", "SELECT count(*) AS n, count(*) FILTER (WHERE slide_tile IS NULL) AS null_keys, count(DISTINCT samples) AS samples, count(*) FILTER (WHERE run % 4 <> 0) AS matched FROM (SELECT * FROM tiles ORDER BY slide_tile LIMIT 1000)")
 def _(s, d):
     t = B.tiles(s, d)

@@ -10,13 +10,21 @@ from tessera.plans.registry import query
 from tessera.sources import table
 
 
-@query("p1_names", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles WHERE run % 5 = 0""")
-def _(s, d):
-    t = B.tiles(s, d).where("run % 5 = 0")
+def tile_names(t):
     x, y = K.tile_xy(F.col("tiles"))
     return t.select("slide_tile", x.alias("x"), y.alias("y"), K.normalize_tile(F.col("tiles")).alias("named"))
 
 
+@query("p1_names", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles WHERE run % 5 = 0""")
+def _(s, d):
+    return tile_names(B.tiles(s, d).where("run % 5 = 0"))
+
+
+@query("p1_names_whole", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles""")
+def _(s, d):
+    return tile_names(B.tiles(s, d))
+
+
 @query("p2_tile_name_verdict", "SELECT 'mixed' AS verdict, count(*) FILTER (WHERE run % 2 = 0) AS n_done, count(*) AS n FROM tiles")
 def _(s, d):
     return K.tile_name_verdict(B.tiles(s, d).withColumn("tiles", F.when(F.col("run") % 2 == 0, F.col("tiles")).otherwise(F.replace("tiles", F.lit(".jpeg"), F.lit("")))))
@@ -98,17 +106,34 @@ def _(s, d):
     return B.tiles(s, d).groupBy(K.supercluster(F.col("hpc_id"), groups).alias("grp")).agg(F.count("*").alias("n"))
 
 
+def trimmed(li):
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", K.trim_event(F.col("l_quantity") * 4 - 20).alias("months"))
+
+
 @query("p23_trim_events", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0.0, least(l_quantity * 4 - 20, 144.0))::DOUBLE AS months FROM lineitem WHERE l_orderkey % 20 = 0")
 def _(s, d):
-    return table(s, d, "lineitem").where("l_orderkey % 20 = 0").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", K.trim_event(F.col("l_quantity") * 4 - 20).alias("months"))
+    return trimmed(table(s, d, "lineitem").where("l_orderkey % 20 = 0"))
 
 
-@query("p25_scanner_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders WHERE o_orderkey % 10 = 0")
+@query("p23_trim_events_whole", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0.0, least(l_quantity * 4 - 20, 144.0))::DOUBLE AS months FROM lineitem")
 def _(s, d):
-    o = table(s, d, "orders").where("o_orderkey % 10 = 0")
+    return trimmed(table(s, d, "lineitem"))
+
+
+def scanner_dates(o):
     return o.select("o_orderkey", K.utc_text(K.scanner_date(F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss"))).alias("shown"))
 
 
+@query("p25_scanner_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders WHERE o_orderkey % 10 = 0")
+def _(s, d):
+    return scanner_dates(table(s, d, "orders").where("o_orderkey % 10 = 0"))
+
+
+@query("p25_scanner_dates_whole", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders")
+def _(s, d):
+    return scanner_dates(table(s, d, "orders"))
+
+
 @query("p27_json_params", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def _(s, d):
     return table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))

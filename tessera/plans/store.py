@@ -39,9 +39,18 @@ def _(s, d):
     return w.select("vec_id", *(F.round(F.col(f"d{i}").cast("double"), 6).alias(f"d{i}") for i in range(64)))
 
 
+def titles(s, t):
+    return text.decode(t, B.dictionary(s).where("hpc_title is not null"), "hpc_id").select("slide_tile", "hpc_title")
+
+
 @query("s7_decode_categories", "SELECT t.slide_tile, d.hpc_title FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id WHERE t.run % 11 = 0")
 def _(s, d):
-    return text.decode(B.tiles(s, d).where("run % 11 = 0"), B.dictionary(s).where("hpc_title is not null"), "hpc_id").select("slide_tile", "hpc_title")
+    return titles(s, B.tiles(s, d).where("run % 11 = 0"))
+
+
+@query("s7_decode_categories_whole", "SELECT t.slide_tile, d.hpc_title FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id")
+def _(s, d):
+    return titles(s, B.tiles(s, d))
 
 
 @query("s8_image_index", "SELECT slide_tile, row_number() OVER (ORDER BY slide_tile) - 1 AS image_index FROM tiles WHERE hpc_id < 5")
@@ -299,6 +308,11 @@ def _(s, d):
     return B.runs(s, d).where("submission_id % 40 = 0").groupBy((F.col("dataset") % 50).alias("dataset")).agg(rollup.coarse_state().alias("state"))
 
 
+@query("a41_coarse_state_whole", "SELECT dataset, CASE WHEN bool_or(state = 'running') THEN 'running' WHEN bool_or(state = 'pending') THEN 'pending' WHEN bool_or(state = 'failed') THEN 'failed' ELSE 'complete' END AS state FROM runs GROUP BY dataset")
+def _(s, d):
+    return B.runs(s, d).groupBy("dataset").agg(rollup.coarse_state().alias("state"))
+
+
 @query("a42_missing_slides", """SELECT CASE WHEN l.k IS NULL THEN 'never' WHEN l.n IS NULL THEN 'corrupt' WHEN l.n = 0 THEN 'zero' ELSE 'complete' END AS state, count(*) AS n FROM supplier LEFT JOIN (SELECT l_suppkey AS k, CASE WHEN l_suppkey % 13 = 0 THEN NULL WHEN l_suppkey % 11 = 0 THEN 0 ELSE count(*) END AS n FROM lineitem WHERE l_suppkey % 7 <> 0 GROUP BY l_suppkey) l ON s_suppkey = l.k GROUP BY 1""")
 def _(s, d):
     k = F.col("s_suppkey")
