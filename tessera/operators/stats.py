@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.text import with_index
+
 
 def average_rank(df: DataFrame, value: str, *group: str, out: str = "rank") -> DataFrame:
     """Ranks with ties averaged, by group: from counts of equal values, so a group's rows needn't sit in one task before they are counted."""
@@ -156,13 +158,33 @@ def cox(df: DataFrame, time: str, event: str, cols: list[str], fold: Column | No
     return src.groupBy("fold").applyInPandas(_cox(cols, ridge), "fold int, feature string, coef double, se double")
 
 
+def _halves(rank: str, bits: str, out: str) -> Column:
+    """A rank in every level of a binary tree: two ranks are in the two halves of one node exactly once, the smaller in half 0."""
+    return F.explode(F.expr(f"transform(sequence(0, {bits} - 1), l -> struct(l, shiftright({rank}, l + 1) as node, shiftright({rank}, l) & 1 as half))")).alias(out)
+
+
 def c_index(df: DataFrame, time: str, event: str, score: str, key: str) -> DataFrame:
-    """Share of comparable pairs (the earlier had the event) that the score orders. Rows of one cohort pair up once."""
-    a = df.where(F.col(event) == 1).select(F.col(time).alias("ta"), F.col(score).alias("sa"))
-    b = df.select(F.col(time).alias("tb"), F.col(score).alias("sb"))
-    j = a.join(b, F.col("ta") < F.col("tb"))
-    right = F.when(F.col("sa") > F.col("sb"), 1.0).when(F.col("sa") == F.col("sb"), 0.5).otherwise(0.0)
-    return j.agg(F.round(F.avg(right), 6).alias("c_index"), F.count("*").alias("pairs"))
+    """Share of comparable pairs (the earlier had the event) that the score orders.
+
+    Rows with the same time and score are counted first. Pairs are products of counts in the nodes of binary trees over
+    the ranks of times and scores, so work grows as rows by the logarithms of both, and no pair is formed.
+    """
+    rows = df.where(F.col(time).isNotNull()).groupBy(F.col(time).alias("t"), F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(F.col(event) == 1).alias("e"))
+    for c in ("t", "s"):
+        ranks = with_index(rows.select(c).where(F.col(c).isNotNull()).distinct(), c).withColumnRenamed("image_index", f"r{c}")
+        rows = rows.join(ranks, c, "left").crossJoin(ranks.agg(F.length(F.bin(F.max(f"r{c}"))).alias(f"bits_{c}")))  # one row
+    at = rows.select("n", "e", "rs", "bits_s", _halves("rt", "bits_t", "t"))
+    early, late = F.when(F.col("t.half") == 0, F.col("e")).otherwise(0), F.when(F.col("t.half") == 1, F.col("n")).otherwise(0)
+    at = at.select("rs", "bits_s", F.col("t.l").alias("tl"), F.col("t.node").alias("tn"), early.alias("early"), late.alias("late")).where("early > 0 or late > 0")
+    both = at.where("rs is not null")
+    split = both.select("*", _halves("rs", "bits_s", "s")).where("(early > 0 and s.half = 1) or (late > 0 and s.half = 0)")
+
+    def product(d: DataFrame, kind: str, *node: str | Column) -> DataFrame:
+        return d.groupBy("tl", "tn", *node).agg(F.sum("early").alias("a"), F.sum("late").alias("b")).select(F.lit(kind).alias("kind"), (F.col("a") * F.col("b")).alias("n"))
+
+    all_of = product(at, "pairs").unionAll(product(both, "ties", "rs")).unionAll(product(split, "right", F.col("s.l").alias("sl"), F.col("s.node").alias("sn")))
+    n = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
+    return all_of.agg(F.round((n("right") + n("ties") / 2) / F.nullif(n("pairs"), F.lit(0)), 6).alias("c_index"), n("pairs").alias("pairs"))
 
 
 def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) -> DataFrame:

@@ -295,6 +295,11 @@ def _(s, d):
     return M.c_index(people(s, d).where("id % 5 = 0"), "time", "event", "y", "id")
 
 
+@query("m18_c_index_whole", f"WITH {PEOPLE}, g AS (SELECT time, y, count(*) AS n, sum(event) AS e FROM people GROUP BY time, y) SELECT round(sum(a.e * b.n * CASE WHEN a.y > b.y THEN 1.0 WHEN a.y = b.y THEN 0.5 ELSE 0.0 END)::DOUBLE / sum(a.e * b.n)::DOUBLE, 6) AS c_index, CAST(sum(a.e * b.n) AS BIGINT) AS pairs FROM g a JOIN g b ON a.time < b.time")
+def _(s, d):
+    return M.c_index(people(s, d), "time", "event", "y", "id")
+
+
 @query("m19_risk_split", f"WITH {PEOPLE}, c AS (SELECT quantile_cont(x, 0.33) AS a, quantile_cont(x, 0.66) AS b FROM people WHERE id % 2 = 0) SELECT segment, CASE WHEN x > b THEN 2 WHEN x > a THEN 1 ELSE 0 END AS risk_group, count(*) AS n FROM people, c GROUP BY ALL")
 def _(s, d):
     return M.risk_split(people(s, d), F.col("id") % 2 == 0, "x", 0.33, 0.66).groupBy("segment", "risk_group").agg(F.count("*").alias("n"))

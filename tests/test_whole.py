@@ -2,9 +2,11 @@
 
 import os
 
+import numpy as np
 import pytest
 
 from tessera import plans
+from tessera.operators import stats as M
 from tessera.plans import bindings as B
 from tessera.sources import table
 
@@ -25,3 +27,23 @@ QUERIES = plans.queries()
 )
 def test_query_covers_its_table(spark, name, rows):
     assert QUERIES[name](spark, DATA).count() == rows(spark)
+
+
+def brute_c_index(rows):
+    right = [None if a[2] is None or b[2] is None else (a[2] > b[2]) + (a[2] == b[2]) / 2 for a in rows if a[1] == 1 for b in rows if a[0] < b[0]]
+    return round(sum(x or 0 for x in right) / len(right), 6), len(right)
+
+
+def test_c_index_of_all_customers(spark):
+    rows = [((r.c_custkey * 37) % 120 + 1, int(r.c_custkey % 3 != 0), (r.c_custkey * 13) % 29) for r in table(spark, DATA, "customer").select("c_custkey").collect()]
+    assert QUERIES["m18_c_index_whole"](spark, DATA).collect() == [brute_c_index(rows)]
+
+
+def test_c_index_by_brute_force(spark):
+    rng = np.random.default_rng(7)
+    rows = [(float(rng.normal()), int(rng.integers(0, 2)), None if i % 17 == 0 else float(rng.normal())) for i in range(300)]
+    rows += [(float(rng.integers(0, 5)), int(rng.integers(0, 2)), float(rng.integers(0, 4))) for _ in range(200)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, time double, event int, score double")
+    assert M.c_index(df, "time", "event", "score", "id").collect() == [brute_c_index(rows)]
+    alone = M.c_index(df.limit(1), "time", "event", "score", "id").collect()
+    assert alone == M.c_index(df.limit(0), "time", "event", "score", "id").collect() == [(None, 0)]
