@@ -36,6 +36,13 @@ def _(s, d):
     return nlq.title_matches(q, B.dictionary(s).where("hpc_id in (12, 40, 55)"))
 
 
+# 'cluster 1' is in the first text as wholly as 'cluster 12' is: of equal scores the smallest id is taken, as in the reference
+@query("q3_title_match_whole", "SELECT q, (SELECT min(hpc_id) FROM dictionary WHERE contains(q, hpc_title)) AS hpc_id FROM (VALUES ('about cluster 12 please'), ('cluster 70'), ('zzz')) v(q)")
+def _(s, d):
+    q = s.createDataFrame([("about cluster 12 please",), ("cluster 70",), ("zzz",)], "q string")
+    return nlq.title_matches(q, B.dictionary(s))
+
+
 @query("q18_tile_at_point", "SELECT slide_tile FROM tiles WHERE slides = '4' AND grid_col = CAST(floor(35000 / 1600.0) AS INTEGER) AND grid_row = CAST(floor(21000 / 1600.0) AS INTEGER)")
 def _(s, d):
     from tessera.operators.keys import grid_xy
@@ -160,10 +167,19 @@ def _(s, d):
     return windowed_events(table(s, d, "events"))
 
 
+def stacked(customers, parts):
+    c = customers.select(F.lit("c").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    p = parts.select(F.lit("p").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
+    return c.unionByName(p, allowMissingColumns=True)
+
+
 @query("u3_union_by_name", "SELECT 'c' AS kind, c_custkey AS id, c_acctbal AS balance, NULL::VARCHAR AS brand FROM customer WHERE c_custkey < 20 UNION ALL SELECT 'p', p_partkey, NULL, p_brand FROM part WHERE p_partkey < 20")
 def _(s, d):
-    c = table(s, d, "customer").where("c_custkey < 20").select(F.lit("c").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
-    p = table(s, d, "part").where("p_partkey < 20").select(F.lit("p").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
-    return c.unionByName(p, allowMissingColumns=True)
+    return stacked(table(s, d, "customer").where("c_custkey < 20"), table(s, d, "part").where("p_partkey < 20"))
+
+
+@query("u3_union_by_name_whole", "SELECT 'c' AS kind, c_custkey AS id, c_acctbal AS balance, NULL::VARCHAR AS brand FROM customer UNION ALL SELECT 'p', p_partkey, NULL, p_brand FROM part")
+def _(s, d):
+    return stacked(table(s, d, "customer"), table(s, d, "part"))
 
 

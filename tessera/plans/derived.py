@@ -185,6 +185,11 @@ def _(s, d):
     return C.with_participants(B.tiles(s, d).where("slides = '8'").select("slide_tile"), "slide_tile")
 
 
+@query("r20_participants_whole", "SELECT slide_tile, split_part(slide_tile, '_', 1) AS slide, split_part(slide_tile, '_', 1) AS participant FROM tiles")
+def _(s, d):
+    return C.with_participants(B.tiles(s, d).select("slide_tile"), "slide_tile")
+
+
 @query("m25_combined_sets", "SELECT part, count(*) AS n FROM (SELECT 'train' AS part FROM tiles WHERE run % 5 > 0 UNION ALL SELECT 'test' FROM tiles WHERE run % 5 = 0) GROUP BY part")
 def _(s, d):
     t = B.tiles(s, d).select("slide_tile", "run")

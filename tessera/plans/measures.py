@@ -77,18 +77,27 @@ def _(s, d):
     return out.select("slide_tile")
 
 
-@query("p18_heatmap_scale", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l WHERE slides IN ('1', '2')")
-def _(s, d):
+def heat(tiles):
     from pyspark.sql import Window
 
     from tessera.operators.profiles import proportion
 
-    p = proportion(B.tiles(s, d).where("slides in ('1', '2')")).withColumn("v", F.log10(F.greatest("proportion", F.lit(1e-6))))
+    p = proportion(tiles).withColumn("v", F.log10(F.greatest("proportion", F.lit(1e-6))))
     w = Window.partitionBy("slides")
     low, high = F.min("v").over(w), F.max("v").over(w)
     return p.select("slides", "hpc_id", F.round((F.col("v") - low) / F.nullif(high - low, F.lit(0.0)), 5).alias("heat"))
 
 
+@query("p18_heatmap_scale", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l WHERE slides IN ('1', '2')")
+def _(s, d):
+    return heat(B.tiles(s, d).where("slides in ('1', '2')"))
+
+
+@query("p18_heatmap_scale_whole", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l")
+def _(s, d):
+    return heat(B.tiles(s, d))
+
+
 @query("p19_risk_rgba", "SELECT hpc_id, CASE WHEN abs(coef) < 0.02 THEN [0.0, 0.0, 0.0, 0.0]::DOUBLE[] WHEN coef > 0 THEN [1.0, 0.0, 0.0, least(abs(coef), 1.0)]::DOUBLE[] ELSE [0.0, 0.0, 1.0, least(abs(coef), 1.0)]::DOUBLE[] END AS rgba FROM survival")
 def _(s, d):
     return B.survival(s).select("hpc_id", K.risk_rgba(F.col("coef")).alias("rgba"))

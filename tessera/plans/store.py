@@ -58,6 +58,11 @@ def _(s, d):
     return text.with_index(B.tiles(s, d).where("hpc_id < 5").select("slide_tile"), "slide_tile")
 
 
+@query("s8_image_index_whole", "SELECT slide_tile, row_number() OVER (ORDER BY slide_tile) - 1 AS image_index FROM tiles")
+def _(s, d):
+    return text.with_index(B.tiles(s, d).select("slide_tile"), "slide_tile")
+
+
 @query("s14_slide_id_from_path", r"""SELECT page_id, regexp_extract(url, '([^/?#]+?)(\.[A-Za-z0-9]+)?/?([?#].*)?$', 1) AS slide_id FROM pages""")
 def _(s, d):
     return table(s, d, "pages").select("page_id", text.slide_id_from_path(F.col("url")).alias("slide_id"))
@@ -199,6 +204,15 @@ def _(s, d):
     return X.letter_neighbours(X.first_occupants(B.tiles(s, d).where("slides in ('1', '2', '3')")))
 
 
+OFFSETS = ", ".join(f"('{k}', {dx}, {dy})" for k, (dx, dy) in X.LETTERS.items())
+BY_LETTER = ", ".join(f"max(u.hpc_id) FILTER (WHERE o.k = '{k}') AS \"{k}\"" for k in X.LETTERS)
+
+
+@query("j20_letter_neighbours_whole", f"SELECT t.slide_tile AS tile, {BY_LETTER} FROM first_tiles t CROSS JOIN (VALUES {OFFSETS}) o(k, dx, dy) LEFT JOIN first_tiles u ON u.slides = t.slides AND u.grid_col = t.grid_col + o.dx AND u.grid_row = t.grid_row + o.dy GROUP BY t.slide_tile")
+def _(s, d):
+    return X.letter_neighbours(X.first_occupants(B.tiles(s, d)))
+
+
 @query("a35_interactions", f"WITH {PAIRS}, n AS (SELECT slide, a, b, count(*) AS n FROM (SELECT slide, a, b FROM grid UNION ALL SELECT slide, b, a FROM grid) GROUP BY ALL) SELECT slide, a, b, n, round(n / sum(n) OVER (PARTITION BY slide, a)::DOUBLE, 6) AS share FROM n")
 def _(s, d):
     return X.interactions(grid(s, d), "label").withColumn("share", F.round("share", 6))

@@ -22,6 +22,11 @@ QUERIES = plans.queries()
         ("p25_scanner_dates_whole", lambda s: table(s, DATA, "orders").count()),
         ("s7_decode_categories_whole", lambda s: B.tiles(s, DATA).count()),
         ("a41_coarse_state_whole", lambda s: B.runs(s, DATA).select("dataset").distinct().count()),
+        ("s8_image_index_whole", lambda s: B.tiles(s, DATA).count()),
+        ("p18_heatmap_scale_whole", lambda s: B.tiles(s, DATA).select("slides", "hpc_id").distinct().count()),
+        ("j20_letter_neighbours_whole", lambda s: B.tiles(s, DATA).select("slides", "grid_col", "grid_row").distinct().count()),
+        ("r20_participants_whole", lambda s: B.tiles(s, DATA).count()),
+        ("u3_union_by_name_whole", lambda s: table(s, DATA, "customer").count() + table(s, DATA, "part").count()),
         ("r25_next_ids_whole", lambda s: table(s, DATA, "customer").count()),
     ],
 )
