@@ -26,10 +26,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays, the one with the smallest doc_id.
 
-    Documents without an id count as ids above all others, by a hash of their text. Of rows that repeat an id, one stays.
+    Documents without an id count as ids above all others, by a hash of their text. Texts that share an id are documents
+    of their own, in the order of a hash of the text; of rows that repeat both, one stays.
     """
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
-    numbered = docs.withColumn("pipeline_id", F.coalesce("doc_id", by_text))
+    key = F.struct(F.coalesce("doc_id", by_text).alias("id"), F.xxhash64("text").alias("text"))
+    numbered = docs.withColumn("pipeline_id", key)
     kept = simhash.near_duplicates(numbered, id_col="pipeline_id").where("doc_id = component_id").select(F.col("doc_id").alias("pipeline_id"))
     return numbered.join(kept, "pipeline_id", "left_semi").dropDuplicates(["pipeline_id"]).select(*docs.columns)
 

@@ -55,3 +55,15 @@ def test_docs_that_are_no_scan(spark):
     for _, stage in corpus_pipeline.STAGES[:2]:
         assert stage(spark, none, "").count() == 0
     assert corpus_pipeline.mix_sources(spark, none, "").count() == 0
+
+
+def test_texts_that_share_an_id(spark):
+    words = [f"{a}{b}" for a in "bcdfghklmn" for b in ("ada", "eno", "iru", "ost")]
+    text = lambda k: " ".join(words[(i * (2 * k + 1) + k * k) % 40] for i in range(60))
+    copy, lone, other = text(1), text(2), text(3)
+    assert min((brute_fingerprint(a) ^ brute_fingerprint(b)).bit_count() for a, b in ((copy, lone), (copy, other), (lone, other))) > 4
+    # id 5 names a copy of 1's text and a text of its own, which stays; of the two rows that repeat both, one stays
+    rows = [(1, copy), (5, copy), (5, lone), (5, lone), (7, other), (7, copy), (None, other)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, copy), (5, lone), (7, other)])
