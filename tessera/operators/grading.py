@@ -1,4 +1,4 @@
-"""Growth-pattern grading by pooled pixels."""
+"""Growth-pattern grading by pooled pixels."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

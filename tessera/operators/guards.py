@@ -23,6 +23,21 @@ def blank_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.where(blank)
 
 
+#: What a slide list may say for true, in lower case.
+TRUE = ("true", "1", "yes", "y", "t")
+
+
+def slide_list_problems(slides: DataFrame, slide: str = "slide_id", sample: str = "samples", tumour: str = "is_tumour", verified: bool = True) -> DataFrame:
+    """Rows of a slide list that must not be graded, with the first rule they break; a null counts as blank and as not true.
+
+    A list that isn't verified may say 'unverified' of a slide, but still not that it is no tumour.
+    """
+    bare = lambda c: F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"^\s+|\s+$", ""), F.lit(""))
+    known = F.lower(bare(tumour)).isin(*TRUE, *([] if verified else ["unverified"]))
+    problem = F.when(bare(slide) == "", "blank slide").when(~known, "not tumour").when(bare(sample) == "", "blank sample")
+    return slides.withColumn("problem", problem).where("problem is not null")
+
+
 def not_numeric(df: DataFrame, *cols: str) -> DataFrame:
     """G1: text that is there but isn't a number."""
     bad: Column = F.lit(False)

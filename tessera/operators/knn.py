@@ -231,7 +231,7 @@ def medoids(refs: DataFrame, most: int = 400) -> DataFrame:
 
 
 def centroid_scores(refs: DataFrame) -> DataFrame:
-    """Simplified silhouette and the mean distance to the own centroid, by cluster. Centroids, one row a cluster, meet every row."""
+    """V26 in part (no disruption, VRC or DBI): simplified silhouette and the mean distance to the own centroid, by cluster. Centroids, one row a cluster, meet every row."""
     c = mean_vector(refs, "vec", "code").select(F.col("code").alias("c"), "mean")
     d = refs.crossJoin(F.broadcast(c)) if c.count() <= 10_000 else refs.join(c)
     d = d.select("ref_id", "code", "c", F.sqrt(squared_distance(F.col("vec"), F.col("mean"))).alias("d"))

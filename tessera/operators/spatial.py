@@ -1,4 +1,4 @@
-"""Grid adjacency and radius joins."""
+"""Grid adjacency and radius joins."""
 
 
 import numpy as np

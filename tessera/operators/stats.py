@@ -1,4 +1,4 @@
-"""Statistics: ranks, correlations, tests, survival."""
+"""Statistics: ranks, correlations, tests, survival."""
 
 import math
 

@@ -310,6 +310,17 @@ def _(s, d):
     return grading.tumour_grade(pixels(s, d))
 
 
+SLIDE_LIST = "l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN '  ' ELSE CAST(s_suppkey AS VARCHAR) END AS slide_id, CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE s_name END AS samples, CASE s_suppkey % 4 WHEN 0 THEN ' True' WHEN 1 THEN 'no' WHEN 2 THEN 'yes' ELSE 'unverified' END AS is_tumour FROM supplier)"
+
+
+@query("g13_slide_list", f"WITH {SLIDE_LIST} SELECT * FROM (SELECT s_suppkey, CASE WHEN trim(slide_id) = '' THEN 'blank slide' WHEN lower(trim(is_tumour)) NOT IN ('true', 'yes') THEN 'not tumour' WHEN samples = '' THEN 'blank sample' END AS problem FROM l) WHERE problem IS NOT NULL")
+def _(s, d):
+    k = F.col("s_suppkey")
+    said = F.when(k % 4 == 0, " True").when(k % 4 == 1, "no").when(k % 4 == 2, "yes").otherwise("unverified")
+    slides = table(s, d, "supplier").select(k, F.when(k % 7 == 0, "  ").otherwise(k.cast("string")).alias("slide_id"), F.when(k % 5 == 0, "").otherwise(F.col("s_name")).alias("samples"), said.alias("is_tumour"))
+    return guards.slide_list_problems(slides).select("s_suppkey", "problem")
+
+
 @query("a40_dataset_rollup", """SELECT dataset, count(*) AS n_runs, CASE WHEN bool_or(state = 'running') THEN 'running' WHEN bool_or(state = 'pending') THEN 'pending' ELSE 'complete' END AS state, first(submission_id ORDER BY submitted_at DESC, submission_id DESC) AS latest_run,
     first(submission_id ORDER BY submitted_at DESC, submission_id DESC) FILTER (WHERE state = 'complete') AS latest_artefact, round(max(size) FILTER (WHERE state = 'complete'), 2) AS largest,
     CASE WHEN bool_or(state IN ('running', 'pending')) THEN 'wait' WHEN count(*) FILTER (WHERE state = 'complete') = 0 THEN 'rerun' ELSE 'load' END AS next_action FROM runs GROUP BY dataset""")

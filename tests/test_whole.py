@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tessera import plans
+from tessera.operators import guards
 from tessera.operators import stats as M
 from tessera.plans import bindings as B
 from tessera.sources import table
@@ -52,3 +53,11 @@ def test_c_index_by_brute_force(spark):
     assert M.c_index(df, "time", "event", "score", "id").collect() == [brute_c_index(rows)]
     alone = M.c_index(df.limit(1), "time", "event", "score", "id").collect()
     assert alone == M.c_index(df.limit(0), "time", "event", "score", "id").collect() == [(None, 0)]
+
+
+def test_slide_list_rules(spark):
+    rows = [("a", "s", "TRUE "), ("\t", "s", "no"), ("b", "", "no"), ("c", " ", "y"), ("d", "s", "unverified"), ("e", "s", None), (None, None, None), ("f", None, "1")]
+    df = spark.createDataFrame(rows, "slide_id string, samples string, is_tumour string")
+    got = {r.slide_id: r.problem for r in guards.slide_list_problems(df).collect()}
+    assert got == {"\t": "blank slide", "b": "not tumour", "c": "blank sample", "d": "not tumour", "e": "not tumour", None: "blank slide", "f": "blank sample"}
+    assert "d" not in {r.slide_id for r in guards.slide_list_problems(df, verified=False).collect()}
