@@ -101,9 +101,12 @@ def slide_ids(text: str, slides: set[str], least: float = 90.0) -> list[str]:
     return [scored[0][1]] if scored and -scored[0][0] >= least else []
 
 
-def title_matches(asked: DataFrame, titles: DataFrame, least: float = 80.0) -> DataFrame:
-    """Q3: the cluster whose title is closest to a text, in Arrow batches; titles are one row a cluster."""
-    known = sorted((r.hpc_title, r.hpc_id) for r in titles.select("hpc_title", "hpc_id").limit(10_000).collect())
+def title_matches(asked: DataFrame, titles: DataFrame, least: float = 80.0, most: int = 10_000) -> DataFrame:
+    """Q3: the cluster whose title is closest to a text, in Arrow batches; titles are one row a cluster. More than ``most`` are refused."""
+    found = titles.select("hpc_title", "hpc_id").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} titles")
+    known = sorted((r.hpc_title, r.hpc_id) for r in found)
 
     @F.pandas_udf("int")
     def best(text: pd.Series) -> pd.Series:

@@ -9,6 +9,7 @@ from tessera import plans
 from tessera.operators import guards
 from tessera.operators import stats as M
 from tessera.plans import bindings as B
+from tessera.plans import nlq
 from tessera.sources import table
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -61,3 +62,10 @@ def test_slide_list_rules(spark):
     got = {r.slide_id: r.problem for r in guards.slide_list_problems(df).collect()}
     assert got == {"\t": "blank slide", "b": "not tumour", "c": "blank sample", "d": "not tumour", "e": "not tumour", None: "blank slide", "f": "blank sample"}
     assert "d" not in {r.slide_id for r in guards.slide_list_problems(df, verified=False).collect()}
+
+
+def test_too_many_titles_are_refused(spark):
+    asked = spark.createDataFrame([("cluster 10000",)], "q string")
+    titles = spark.range(10_001).selectExpr("'cluster ' || id AS hpc_title", "CAST(id AS INT) AS hpc_id")
+    with pytest.raises(ValueError, match="more than 10000 titles"):
+        nlq.title_matches(asked, titles)
