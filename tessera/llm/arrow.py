@@ -34,6 +34,21 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t for t in texts if t), np.uint8), np.concatenate([[0], np.cumsum(size)])
 
 
+def coded_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The words between ASCII white space of a slice of texts (null: none): the number of each word in the order of
+    the texts, how many words each text has, and the distinct words that the numbers stand for."""
+    split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    pieces = split.flatten()
+    size = np.diff(np.asarray(split.offsets))
+    held = np.asarray(pc.not_equal(pc.binary_length(pieces), 0))  # white space at either end leaves an empty piece
+    if not held.all():
+        text = np.repeat(np.arange(len(size)), size)
+        size = np.bincount(text[held], minlength=len(size))
+        pieces = pieces.filter(pa.array(held))
+    coded = pieces.dictionary_encode()
+    return np.asarray(coded.indices), size, coded.dictionary
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
     """Batches sorted by ``keys``, cut anew so that equal keys are never in two of them."""
     left: list[pa.RecordBatch] = []

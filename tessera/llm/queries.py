@@ -19,7 +19,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer, by_word=True)
+    return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,25 +14,26 @@ control bytes up in a table of 256 rows that say which of 16 bytes are there.
 
 import json
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import binaries, slices
+from tessera.llm.arrow import binaries, coded_words, slices
 from tessera.sources.scratch import new_path, remove, shuffles_dropped
 
 MAGIC = b"TSR1"
 #: Ids a block holds before it is closed; a document is never split.
 BLOCK = 1 << 17
-#: Words, and pieces of them, whose ids a task remembers. Pieces are fewer and cost more, so they stay longer.
-WORDS, PIECES = 500_000, 900_000
+#: Words whose ids a Python worker remembers, and bytes of text that it encodes at a time.
+WORDS, SLICE = 800_000, 4 << 20
 BLOCKS = "shard int, block int, at long, n_tokens long, doc_ids array<bigint>, payload binary"
 
 _present = (np.arange(4) <= ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3)[:, :, None]).reshape(256, 16)
@@ -76,64 +77,135 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, decode_list(body[used:], n)[0]
 
 
+#: Fixed parts of definitions whose tokenizers see words between ASCII white space one by one.
+WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+WORD_END = "</w>"
+
+
+def splits_by_word(definition: str) -> bool:
+    """Whether a definition folds case, drops white space before it splits, and parts letters from all else: then no
+    token, normal form or special token spans two words, so texts may be encoded word by word."""
+    d = json.loads(definition)
+    steps = (d.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    model = d["model"]
+    return (
+        (d.get("normalizer") or {}).get("normalizers") == WORD_NORMALIZERS
+        and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        and (steps[0]["pattern"], steps[0]["behavior"], steps[0]["invert"]) == ({"Regex": WORD_PATTERN}, "Removed", True)
+        and not steps[1]["add_prefix_space"]
+        and not steps[1]["use_regex"]
+        and (model["type"], model.get("end_of_word_suffix"), model.get("dropout"), model.get("unk_token")) == ("BPE", WORD_END, None, None)
+        and not any(d.get(k) for k in ("truncation", "padding"))
+        and not any(c.isspace() for t in d.get("added_tokens", []) for c in t["content"])
+    )
+
+
+def _runs(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that start at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    return ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """A tokenizer of the ``tokenizers`` library.
 
-    by_word: texts are encoded by their words between ASCII white space, each distinct word once. That is right for
-    tokenizers that fold case and drop white space before they split, and split letters from all else, as then no
-    token, normal form or special token spans two words. A word of plain letters with a tail of plain signs is two
-    such pieces; its letters go to the same model without the costly normal forms, which leave them as they are.
+    by_word: texts are encoded by their distinct words, each once (see splits_by_word). A word of plain letters with a
+    tail of plain signs is two pieces; its letters go to the same model, many words in a call, without the costly
+    normal forms, which leave them as they are.
     """
 
+    #: Letters that lower-case and compose to themselves, one for one, and signs that stay as they are.
+    PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿß]+)(?P<signs>[.,;:!?*#$%&|]*)$"
+
     def __init__(self, definition: str, by_word: bool) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.by_word = by_word
-        self.known: dict[bytes, bytes] = {}
         if by_word:
-            self.model = self.tokenizer.model
-            bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-            self.letters = {c: bytes_of(chr(c))[0][0] for c in range(0xDF, 0x100)}
-            self.pieces: dict[str, bytes] = {"": b""}
-            self.plain = re.compile(r"([a-zà-öø-ÿß]+)([.,;:!?*#$%&|]*)").fullmatch
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
+            if not splits_by_word(definition):
+                raise ValueError("this tokenizer doesn't see words one by one")
+            self.letters = Tokenizer(self.tokenizer.model)
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+            self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _each(self, texts: list[str], by=None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        found = []
         for at in range(0, len(texts), 20_000):
-            found = self.tokenizer.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in found]
-        return out
-
-    def _learn(self, words: list[bytes]) -> None:
-        pieces, parted, others = self.pieces, [], []
-        for w in words:
-            if m := self.plain(w.decode().lower()):  # lower() differs from the tokenizer's on no letter that can match
-                parted.append((w, m[1], m[2]))
-            else:
-                others.append(w)
-        self.known.update(zip(others, self._ids([w.decode() for w in others]), strict=True))
-        signs = list({c for _, _, c in parted if c not in pieces})
-        pieces.update(zip(signs, self._ids(signs), strict=True))
-        model, letters = self.model, self.letters
-        for _, b, _ in parted:
-            if b not in pieces:
-                pieces[b] = array("I", [t.id for t in model.tokenize(b if b.isascii() else b.translate(letters))]).tobytes()
-        self.known.update((w, pieces[b] + pieces[c]) for w, b, c in parted)
+            found += [e.ids for e in (by or self.tokenizer).encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As _each, for words of plain lower-case letters, a thousand in one text."""
+        ids, _ = self._each([" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)], self.letters)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            raise AssertionError("words and their ends differ in number")
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, words: pa.Array) -> None:
+        parts = pc.extract_regex(words, self.PLAIN)
+        plain = np.asarray(parts.is_valid())
+        whole = parts.filter(pa.array(plain))
+        letters = pc.utf8_lower(pc.struct_field(whole, "letters")).dictionary_encode()
+        signs = pc.struct_field(whole, "signs").dictionary_encode()
+        pieces = [self._of_letters(letters.dictionary.to_pylist()), self._each(signs.dictionary.to_pylist()), self._each(words.filter(pa.array(~plain)).to_pylist())]
+        ids, sizes = (np.concatenate(x) for x in zip(*pieces, strict=True))
+        starts = np.cumsum(sizes) - sizes
+        # the pieces of each word: letters and signs, or the whole word and nothing
+        first = np.empty(len(words), np.int64)
+        first[plain] = np.asarray(letters.indices)
+        first[~plain] = len(letters.dictionary) + len(signs.dictionary) + np.arange(len(words) - int(plain.sum()))
+        second = np.full(len(words), len(sizes))
+        second[plain] = len(letters.dictionary) + np.asarray(signs.indices)
+        of = np.stack([first, second], 1).reshape(-1)
+        starts, sizes = np.append(starts, 0), np.append(sizes, 0)
+        new = _runs(ids, starts[of], sizes[of])
+        sizes = sizes[of].reshape(-1, 2).sum(1)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, new])
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), and how many each has."""
+        if not self.by_word:
+            return self._each(pc.fill_null(texts, "").to_pylist())
+        codes, n, words = coded_words(texts)
+        keys = binaries(words)
+        number = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            if self.known and len(self.known) + len(new) > WORDS:
+                self._forget()
+                new = np.arange(len(keys))
+            number[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn(words.take(pa.array(new)))
+            self.known.update(zip([keys[i] for i in new.tolist()], number[new].tolist(), strict=True))
+        of = number[codes]
+        sizes = self.sizes[of]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.cumsum(n)
+        return _runs(self.ids, self.starts[of], sizes), total[ends] - total[ends - n]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if not self.by_word:
-            return self._ids([(t or b"").decode() for t in texts])
-        split = [(t or b"").split() for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        if len(self.pieces) > PIECES:
-            self.pieces = {"": b""}
-        known = self.known
-        self._learn(list({w for words in split for w in words if w not in known}))
-        return [b"".join([known[w] for w in words]) for words in split]
+        ids, sizes = self.column(pa.array(texts, pa.binary()).cast(pa.string()))
+        return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if len(sizes) else []
+
+
+@lru_cache(maxsize=1)
+def _encoder(definition: str, by_word: bool) -> Encoder:
+    """One encoder a Python worker, which keeps the words that it knows from task to task."""
+    return Encoder(definition, by_word)
 
 
 def _width(vocabulary: int, end: int) -> str:
@@ -142,32 +214,34 @@ def _width(vocabulary: int, end: int) -> str:
 
 def _tokenise(definition, by_word: bool, end: int):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value, by_word)
-        shard, block, at = TaskContext.get().partitionId(), 0, 0
-        tail = np.array([end], "<u4").tobytes()
+        encoder = _encoder(definition.value, by_word)
+        shard, block, at, n = TaskContext.get().partitionId(), 0, 0, 0
         width = _width(encoder.tokenizer.get_vocab_size(), end)
-        doc_ids: list[int | None] = []
-        held: list[bytes] = []
-        n = 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def close() -> pa.RecordBatch:
             nonlocal block, at, n
-            payload = np.frombuffer(b"".join(held), "<u4").astype(width).tobytes()
-            sizes = [len(x) // 4 for x in held]
-            row = [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([at]), pa.array([n]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([payload], pa.binary()), pa.array([sizes], pa.list_(pa.int32()))]
+            doc_ids, sizes, ids = zip(*held, strict=True)
+            doc_ids = pa.concat_arrays(doc_ids)
+            one = pa.array([0, len(doc_ids)], pa.int32())
+            sizes = pa.ListArray.from_arrays(one, pa.array(np.concatenate(sizes), pa.int32()))
+            row = [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([at]), pa.array([n]), pa.ListArray.from_arrays(one, doc_ids), pa.array([np.concatenate(ids).tobytes()], pa.binary()), sizes]
             block, at, n = block + 1, at + n, 0
-            doc_ids.clear()
             held.clear()
             return pa.RecordBatch.from_arrays(row, ["shard", "block", "at", "n_tokens", "doc_ids", "payload", "sizes"])
 
-        for whole in batches:
-            for batch in slices(whole):
-                for i, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(binaries(batch.column("text"))), strict=True):
-                    doc_ids.append(i)
-                    held.append(ids + tail)
-                    n += len(ids) // 4 + 1
-                    if n >= BLOCK:
-                        yield close()
+        for batch in (x for whole in batches for x in slices(whole, most=SLICE)):
+            ids, sizes = encoder.column(batch.column("text"))
+            ids = np.insert(ids, np.cumsum(sizes), end).astype(width)
+            sizes = sizes + 1
+            ends, first = np.cumsum(sizes), 0
+            while first < len(sizes):
+                before = int(ends[first - 1]) if first else 0
+                to = min(int(np.searchsorted(ends, before + BLOCK - n)) + 1, len(sizes))
+                held.append((batch.column("doc_id").slice(first, to - first), sizes[first:to], ids[before : ends[to - 1]]))
+                n, first = n + int(ends[to - 1]) - before, to
+                if n >= BLOCK:
+                    yield close()
         if held:
             yield close()
 
@@ -221,18 +295,21 @@ def _read(id_of):
     return over
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, order: tuple[str, ...] = ("doc_id",), by_word: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, order: tuple[str, ...] = ("doc_id",), by_word: bool | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every document, each closed by ``end``, to the folder ``path`` in the order of ``order``.
 
     tokenizer: path of a definition for the ``tokenizers`` library, read on the driver and sent to the tasks. Texts are
     dealt out by ranges of the order, encoded once and held in a scratch table; counting, at most one row a task and
     vocabulary entry, gives ranks, and a second pass over the scratch table rewrites ids as ranks. Only the rank
-    table, which the vocabulary bounds, reaches the driver. Rows that tie go by a hash of their text. Null texts count
+    table, which the vocabulary bounds, reaches the driver. by_word: whether texts are encoded by distinct words; by
+    default, if the definition is known to allow that (see splits_by_word), else ValueError. Rows that tie go by a hash of their text. Null texts count
     as empty, null ids come first, repeated rows are written each time; an empty table gives empty files.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(json.dumps(json.load(f)))
+    if by_word is None:
+        by_word = splits_by_word(definition.value)
     tie = F.xxhash64(text_col)
     src = docs.select(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), tie.alias("tie"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keys = [*(f"o{i}" for i in range(len(order))), "tie"]
