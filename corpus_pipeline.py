@@ -5,9 +5,11 @@ one's docs. All but the last return the columns of documents.
 
 The mix decides the order of documents. Its stage writes files whose names, and rows within them, are in that order;
 the token stage reads it back from the files' names and row numbers, which Spark gives as metadata of Parquet scans.
-Docs that aren't a Parquet scan are taken in the order of doc_id.
+Docs that aren't a Parquet scan are taken in the order of doc_id, with a warning.
 """
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +29,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of linked fingerprints stays, the one with the smallest doc_id.
 
     Documents without an id count as ids above all others, by a hash of their text. Texts that share an id are documents
-    of their own, in the order of a hash of the text; of rows that repeat both, one stays.
+    of their own, in the order of a hash of the text; of rows that repeat both, one stays, by a hash of the whole row.
     """
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
-    key = F.struct(F.coalesce("doc_id", by_text).alias("id"), F.xxhash64("text").alias("text"))
+    key = F.struct(F.coalesce("doc_id", by_text).alias("id"), F.xxhash64("text").alias("text"), F.xxhash64(*docs.columns).alias("row"))
     numbered = docs.withColumn("pipeline_id", key)
     kept = simhash.near_duplicates(numbered, id_col="pipeline_id").where("doc_id = component_id").select(F.col("doc_id").alias("pipeline_id"))
     return numbered.join(kept, "pipeline_id", "left_semi").dropDuplicates(["pipeline_id"]).select(*docs.columns)
@@ -59,8 +61,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer: s
         placed = docs.select("doc_id", "text", part.alias("part"), file.alias("file"), F.col("_metadata.row_index").alias("row"))
         order = ("part", "file", "row")
     except AnalysisException:
+        warnings.warn("docs aren't a scan of files: they are taken in the order of doc_id", stacklevel=2)
         placed, order = docs.select("doc_id", "text"), ("doc_id",)
-    return tokens.token_output(placed, tokenizer, order=order, by_word=True)
+    return tokens.token_output(placed, tokenizer, order=order)
 
 
 STAGES = [
