@@ -7,16 +7,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.arrow import slices
+from tessera.llm.arrow import coded_words, slices
 
 WORD = re.compile(r"\w+")
 #: The usual constants of BM25.
 K1, B = 1.2, 0.75
 #: Items of a block: impacts are bounded by block.
 BLOCK = 8
+#: Bounds of blocks that are summed at a time.
+SUMS = 1 << 22
 #: The text of items that one broadcast index holds, in characters; more items take more passes over the documents.
 INDEX_CHARS = 8_000_000
 
@@ -78,72 +81,121 @@ class Index:
         self.bound = np.zeros(len(terms) + 1)
         for t, p in self.postings.items():
             self.bound[t] = p.tops.max()
+        # the blocks of all terms in one array, those of term t from blocks_from[t] on
+        held = [self.postings.get(t) for t in range(len(terms))]
+        self.blocks_from = np.concatenate([[0], np.cumsum([len(p.blocks) if p else 0 for p in held], dtype=np.int64)])
+        self.block_of = np.concatenate([np.zeros(0, np.int64), *(p.blocks for p in held if p)])
+        self.block_top = np.concatenate([np.zeros(0), *(p.tops for p in held if p)])
+        self.n_blocks = -(-len(items) // BLOCK)
+
+    def reached(self, passage: np.ndarray, term: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The passages and blocks whose bounds sum to ``least`` or more, for passages (numbered, in order) of distinct terms."""
+        out = []
+        step = max(1, SUMS // self.n_blocks)
+        first = 0
+        while first < len(passage):
+            base = int(passage[first])
+            to = int(np.searchsorted(passage, base + step))
+            t = term[first:to]
+            n = self.blocks_from[t + 1] - self.blocks_from[t]
+            ends = np.cumsum(n)
+            at = np.repeat(self.blocks_from[t] - (ends - n), n) + np.arange(int(ends[-1]))
+            where = np.repeat(passage[first:to] - base, n) * self.n_blocks + self.block_of[at]
+            hot = np.flatnonzero(np.bincount(where, self.block_top[at]) >= least)
+            out.append((hot // self.n_blocks + base, hot % self.n_blocks))
+            first = to
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def walk(self, terms: list[int], block: int, least: float) -> list[tuple[int, float]]:
+        """The items of a block that score ``least`` or more for a query of distinct terms.
+
+        Cursors stand in the order of their items, and the pivot is the first one at which the block's bounds sum to
+        the threshold: no item before its item can reach it.
+        """
+        found: list[tuple[int, float]] = []
+        lists = [x for t in terms if (p := self.postings.get(t)) and (x := p.of(block))]
+        cursors = [[items[0], 0, top, items, impacts] for top, items, impacts in lists]
+        while cursors:
+            cursors.sort(key=lambda c: c[0])
+            total, item = 0.0, None
+            for c in cursors:
+                total += c[2]
+                if total >= least:
+                    item = c[0]
+                    break
+            if item is None:
+                break
+            score = 0.0
+            for c in cursors:
+                if c[0] > item:
+                    break
+                while c[1] < len(c[3]) and c[3][c[1]] < item:
+                    c[1] += 1
+                if c[1] < len(c[3]) and c[3][c[1]] == item:
+                    score += c[4][c[1]]
+                    c[1] += 1
+                c[0] = c[3][c[1]] if c[1] < len(c[3]) else -1
+            if score >= least:
+                found.append((item, score))
+            cursors = [c for c in cursors if c[0] >= 0]
+        return found
 
     def retrieve(self, terms: list[int], least: float = 1 - 1e-9) -> list[tuple[int, float]]:
         """All items that score ``least`` or more for a query of distinct terms: block-max WAND.
 
         The largest impacts of the terms in a block bound all its items' scores; blocks that can't reach the threshold
-        are skipped. In the others cursors stand in the order of their items, and the pivot is the first one at which
-        the block's bounds sum to the threshold: no item before its item can reach it.
+        are skipped, the others are walked.
         """
-        lists = [p for t in terms if (p := self.postings.get(t))]
-        if not lists:
-            return []
-        bounds = np.bincount(np.concatenate([p.blocks for p in lists]), np.concatenate([p.tops for p in lists]))
-        found: list[tuple[int, float]] = []
-        for block in np.flatnonzero(bounds >= least).tolist():
-            cursors = [[items[0], 0, top, items, impacts] for p in lists if (x := p.of(block)) for top, items, impacts in (x,)]
-            while cursors:
-                cursors.sort(key=lambda c: c[0])
-                total, item = 0.0, None
-                for c in cursors:
-                    total += c[2]
-                    if total >= least:
-                        item = c[0]
-                        break
-                if item is None:
-                    break
-                score = 0.0
-                for c in cursors:
-                    if c[0] > item:
-                        break
-                    while c[1] < len(c[3]) and c[3][c[1]] < item:
-                        c[1] += 1
-                    if c[1] < len(c[3]) and c[3][c[1]] == item:
-                        score += c[4][c[1]]
-                        c[1] += 1
-                    c[0] = c[3][c[1]] if c[1] < len(c[3]) else -1
-                if score >= least:
-                    found.append((item, score))
-                cursors = [c for c in cursors if c[0] >= 0]
-        return found
+        own = np.array(terms, np.int64)
+        _, blocks = self.reached(np.zeros(len(own), np.int64), own, least)
+        return [x for block in blocks.tolist() for x in self.walk(terms, block, least)]
 
-    def search(self, ids: np.ndarray) -> dict[int, tuple[float, float]]:
-        """item: (overlap, score) of the items in a document's terms (-1: in no item), verified on its passages."""
-        step = self.span
+    def search(self, ids: np.ndarray, size: np.ndarray, before: np.ndarray) -> dict[int, dict[int, tuple[float, float]]]:
+        """{document: {item: (overlap, score)}} of the items that documents hold, verified on their passages.
+
+        ids: the terms (-1: in no item) of all documents' words, ``size`` of each; before: where each word was last
+        seen in its document, or -1.
+        """
+        step, least = self.span, 1 - 1e-9
+        n = np.where(size > 0, np.maximum(1, -(-(size - step) // step)), 0)  # passages of each document
+        doc = np.repeat(np.arange(len(size)), n)
+        starts = np.cumsum(size) - size
+        a = starts[doc] + (np.arange(len(doc)) - (np.cumsum(n) - n)[doc]) * step
+        b = np.minimum(a + 2 * step, (starts + size)[doc])
         total = np.concatenate([[0.0], np.cumsum(self.bound[ids])])
-        starts = np.arange(0, max(1, len(ids) - step), step)
-        ends = np.minimum(starts + 2 * step, len(ids))
-        out: dict[int, tuple[float, float]] = {}
-        for a, b in zip(starts[hot := total[ends] - total[starts] >= 1 - 1e-9].tolist(), ends[hot].tolist(), strict=True):
-            passage = ids[a:b].tolist()
-            terms = [t for t in dict.fromkeys(passage) if t >= 0]
-            if self.bound[terms].sum() < 1 - 1e-9:
-                continue
-            there = None
-            for item, score in self.retrieve(terms):
-                if there is None:
-                    there = set(shingles(passage, self.size)) | {tuple(passage[i : i + k]) for k in range(1, self.size) for i in range(len(passage) - k + 1)}
+        hot = total[b] - total[a] >= 1 - 1e-6
+        doc, a, b = doc[hot], a[hot], b[hot]
+        # the distinct terms of each passage: words not seen before in it
+        length = b - a
+        passage = np.repeat(np.arange(len(a)), length)
+        at = np.repeat(a - (np.cumsum(length) - length), length) + np.arange(len(passage))
+        distinct = (self.bound[ids[at]] > 0) & (before[at] < a[passage])
+        passage, term = passage[distinct], ids[at[distinct]]
+        enough = np.bincount(passage, self.bound[term], len(a)) >= least
+        held = enough[passage]
+        passage, term = passage[held], term[held]
+        out: dict[int, dict[int, tuple[float, float]]] = {}
+        found: dict[int, list[tuple[int, float]]] = {}
+        for p, block in zip(*(x.tolist() for x in self.reached(passage, term, least)), strict=True):
+            first, to = np.searchsorted(passage, (p, p + 1))
+            if hits := self.walk(term[first:to].tolist(), block, least):
+                found.setdefault(p, []).extend(hits)
+        for p, hits in found.items():
+            words = ids[a[p] : b[p]].tolist()
+            there = set(shingles(words, self.size)) | {tuple(words[i : i + k]) for k in range(1, self.size) for i in range(len(words) - k + 1)}
+            best = out.setdefault(int(doc[p]), {})
+            for item, score in hits:
                 own = self.shingles[item]
                 share = sum(s in there for s in own) / len(own)
-                if share >= self.overlap - 1e-9 and share > out.get(item, (0, 0))[0]:
-                    out[item] = (share, score)
-        for item in [i for i in out if self.answers[i]]:
-            doc = ids.tolist()
-            k = len(self.answers[item][0])
-            there = {tuple(doc[i : i + k]) for i in range(len(doc) - k + 1)}
-            if sum(s in there for s in self.answers[item]) < self.overlap * len(self.answers[item]) - 1e-9:
-                del out[item]
+                if share >= self.overlap - 1e-9 and share > best.get(item, (0, 0))[0]:
+                    best[item] = (share, score)
+        for d, best in out.items():
+            for item in [i for i in best if self.answers[i]]:
+                words = ids[starts[d] : starts[d] + size[d]].tolist()
+                k = len(self.answers[item][0])
+                there = {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+                if sum(s in there for s in self.answers[item]) < self.overlap * len(self.answers[item]) - 1e-9:
+                    del best[item]
         return out
 
 
@@ -170,17 +222,55 @@ def build(items: list[tuple], size: int = 5, overlap: float = 0.8) -> Indexes:
     return Indexes(terms, [Index(group, span, terms, size, overlap, mean, len(parsed), df) for span, group in sorted(spans.items())])
 
 
+class Reader:
+    """Terms of texts, read off their distinct words between ASCII white space, which lower-case and match one by one.
+
+    A word of plain letters, digits and underscores among plain signs is matched by Arrow, any other by ``words``.
+    """
+
+    PLAIN = r"^[!-/:-@\[-^`{-~]*(?P<word>[0-9A-Z_a-zÀ-ÖØ-öø-ÿß]+)[!-/:-@\[-^`{-~]*$"
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.terms = terms
+        self.values = pa.array(list(terms), pa.string())
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The term (-1: none) of each word, how many words each text has, and where each was last seen in its text (-1: nowhere)."""
+        codes, n, tokens = coded_words(texts)
+        parts = pc.extract_regex(tokens, self.PLAIN)
+        plain = np.asarray(parts.is_valid())
+        lower = pc.utf8_lower(pc.struct_field(parts.filter(pa.array(plain)), "word"))
+        others = [[self.terms.get(w, -1) for w in words(x)] for x in tokens.filter(pa.array(~plain)).to_pylist()]
+        size = np.ones(len(tokens), np.int64)
+        size[~plain] = [len(x) for x in others]
+        flat = np.empty(int(size.sum()), np.int64)
+        of_plain = np.repeat(plain, size)
+        flat[of_plain] = np.asarray(pc.fill_null(pc.index_in(lower, value_set=self.values), -1))
+        flat[~of_plain] = [t for x in others for t in x]
+        each = size[codes]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat((np.cumsum(size) - size)[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        total = np.concatenate([[0], ends])
+        last = np.cumsum(n)
+        sizes = total[last] - total[last - n]
+        held = np.flatnonzero(ids >= 0)
+        own = np.repeat(np.arange(len(sizes)), sizes)[held] * (len(self.terms) + 1) + ids[held]
+        order = np.argsort(own, kind="stable")
+        same = own[order][1:] == own[order][:-1]
+        before = np.full(len(ids), -1, np.int64)
+        before[held[order[1:][same]]] = held[order[:-1][same]]
+        return ids, sizes, before
+
+
 def _search(shared, keep: list[str], hit: pa.DataType):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Indexes = shared.value
-        get = index.terms.get
+        reader = Reader(index.terms)
         for whole in batches:
             for batch in slices(whole):
-                hits = []
-                for text in batch.column("text").to_pylist():
-                    ids = np.array([get(w, -1) for w in words(text)], np.int64)
-                    found = [(part.item_ids[i], o, s) for part in index.parts for i, (o, s) in part.search(ids).items()] if len(ids) else []
-                    hits.append([{"item_id": i, "overlap": o, "score": s} for i, o, s in found])
+                ids, sizes, before = reader.read(batch.column("text"))
+                found = [(part, part.search(ids, sizes, before)) for part in index.parts]
+                hits = [[{"item_id": part.item_ids[i], "overlap": o, "score": s} for part, of in found for i, (o, s) in of.get(d, {}).items()] for d in range(batch.num_rows)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(hits, pa.list_(hit))], [*keep, "found"])
 
     return over

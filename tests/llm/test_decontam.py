@@ -1,5 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from corpus import SCHEMA, documents
 from tessera.llm import decontam
 
@@ -80,3 +85,17 @@ def test_answers_and_awkward_rows(spark):
     df = spark.createDataFrame(documents(), SCHEMA)
     assert decontam.search(df, items.limit(0)).count() == df.count()
     assert decontam.search(df.limit(0), items).count() == 0
+
+
+@given(st.lists(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aB_9éÉßẞİΣſK×ªµ´́'.,-[]^`{~\\ \x1c\x85\xa0\r\n\t"))), max_size=5))
+@settings(max_examples=300, deadline=None)
+def test_terms_are_those_of_whole_texts(texts):
+    terms = {w: i for i, w in enumerate(sorted({w for t in texts for w in decontam.words(t)})[::2])}
+    ids, sizes, before = decontam.Reader(terms).read(pa.array([*texts, None], pa.string()))
+    want = [[terms.get(w, -1) for w in decontam.words(t)] for t in texts] + [[]]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+    at = 0
+    for x in want:
+        for i, t in enumerate(x):
+            assert before[at + i] == (at + max((j for j in range(i) if x[j] == t), default=-at - 1) if t >= 0 else -1)
+        at += len(x)
