@@ -50,3 +50,24 @@ def test_repeats_nulls_and_empty(spark):
 def test_covers():
     for m, cover in substring.COVERS.items():
         assert {(a - b) % m for a in cover for b in cover} == set(range(m))
+
+
+def test_words_that_agree_in_a_rolling_hash_stay(spark):
+    # sums of terms times powers of an odd number modulo 2 ** 64 agree on these two words, whatever the number
+    thue = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    head, tail = [f"h{i}" for i in range(17)], [f"t{i}" for i in range(17)]
+    df = spark.createDataFrame([(i, " ".join([*head, w, *tail])) for i, w in enumerate((thue, other))], "doc_id long, text string")
+    assert [r.n_removed for r in substring.dedup_substrings(df).collect()] == [0, 0]
+    same = df.unionAll(spark.createDataFrame([(2, " \t".join([*head, other, *tail]))], df.schema))
+    assert {r.doc_id: r.n_removed for r in substring.dedup_substrings(same).collect()} == {0: 0, 1: 35, 2: 35}
+
+
+def test_very_long_texts(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    long = " ".join(f"w{i}" for i in range(400_000))
+    texts = [f"{long} {passage}", f"{passage} x", long[: 3 << 20], "y" * (3 << 20)]
+    want = brute(texts, 35)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.dedup_substrings(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()}
+    assert [got[i] for i in range(4)] == want
