@@ -1,44 +1,41 @@
-"""Sources interleaved to target weights by Pfair scheduling of blocks."""
+"""Sources interleaved to target weights by Pfair scheduling of blocks.
+
+The fluid schedule gives every source its weight's share of each slot until its rows end, when the others' shares grow
+in proportion: at any slot a source has had min(its rows, weight times the virtual time), which is known in closed form.
+Slots are dealt in periods. At both ends of a period each source's count is the fluid one rounded by largest remainders;
+within it, unit j of a source with q of n slots is released at floor(j n / q) and due at ceil((j + 1) n / q), and of the
+units released the one with the earliest deadline goes first. Counts are then off by less than one unit at the ends of a
+period and by less than one more within it. A unit is half a block, so a source is off by less than a block, until the
+first source ends and also later where ends are a period or more apart (a new stretch of periods starts at each).
+Periods don't depend on each other, so tasks work them out side by side.
+"""
 
 from bisect import bisect_right
-from collections import Counter
+from collections.abc import Iterator
 from fractions import Fraction
 from heapq import heappop, heappush
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-#: Parts that a source's documents are dealt into, so that ranks within a source don't need one task for it.
-PARTS = 1024
-#: Sources that a plan may have; the plan, which is broadcast, is bounded by their square times ten.
-MOST_SOURCES = 1000
-
-
-def quotas(weights: dict[str, float], resolution: int = 1000) -> dict[str, int]:
-    """Integers that sum to the resolution (or more, for many sources), by largest remainders, at least 1 each."""
-    total = sum(weights.values())
-    if not weights or any(w < 0 for w in weights.values()) or total <= 0:
-        raise ValueError("weights must be positive")
-    n = max(resolution, 10 * len(weights))
-    share = {s: Fraction(w) / Fraction(total) * n for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in share.items()}
-    for s in sorted(share, key=lambda s: (int(share[s]) - share[s], s)):
-        if sum(out.values()) >= n:
-            break
-        out[s] += 1
-    while sum(out.values()) > n:  # at least 1 each may take more than there is
-        out[max(out, key=lambda s: (out[s] - share[s], out[s], s))] -= 1
-    return out
-
+#: Sources that the plan may have, which goes to tasks as a broadcast; a share is at least one in LEAST.
+MOST_SOURCES, LEAST = 100_000, 1 << 20
+#: Weights are integers of about so many bits, slots of a period at least so many.
+BITS, PERIOD = 62, 1024
+#: Rows of a source that one task ranks, about, and bytes of slots that may be broadcast.
+RANKED, BROADCAST = 100_000, 64 << 20
 
-def period(quota: dict[str, int]) -> list[str]:
-    """One period of the schedule, a slot for each block: of the blocks released, the one with the earliest deadline.
 
-    Block j of a source with weight w = quota / period is released at floor(j / w), due at ceil((j + 1) / w).
-    """
+def period(quota: dict[int, int]) -> list[int]:
+    """The source of each slot of a period: of the units released, the one with the earliest deadline."""
     n = sum(quota.values())
-    waiting: list[tuple[int, str, int]] = []
-    ready: list[tuple[int, str, int]] = []
+    waiting: list[tuple[int, int, int]] = []
+    ready: list[tuple[int, int, int]] = []
     for s in quota:
         heappush(waiting, (0, s, 0))
     out = []
@@ -55,78 +52,130 @@ def period(quota: dict[str, int]) -> list[str]:
     return out
 
 
-def plan(blocks: dict[str, int], quota: dict[str, int]) -> list[tuple[str, int, int, int, int, list[int]]]:
-    """(source, first block, blocks, first slot, period, slots of a period) of each phase.
-
-    A phase lasts until a source has no block left; the others then go on with their weights scaled up.
-    """
-    left = {s: n for s, n in blocks.items() if n}
-    done: Counter = Counter()
-    slot, out = 0, []
-    while left:
-        active = {s: quota[s] for s in left}
-        pattern = period(active)
-        n = len(pattern)
-        at: dict[str, list[int]] = {s: [] for s in active}
-        for i, s in enumerate(pattern):
-            at[s].append(i)
-        end = min((left[s] - 1) // q * n + at[s][(left[s] - 1) % q] + 1 for s, q in active.items())
-        for s, q in active.items():
-            took = end // n * q + bisect_right(at[s], end % n - 1)
-            if took:
-                out.append((s, done[s], took, slot, n, at[s]))
-            done[s] += took
-            left[s] -= took
-        left = {s: x for s, x in left.items() if x}
-        slot += end
-    return out
-
-
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, power: float = 0.5, resolution: int = 1000, seed: int = 1, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """``docs`` with mix_block (of its source), mix_slot (of the block) and mix_pos (of the row, from 0, without gaps).
-
-    A source's documents, in the order of a hash, form blocks of ``block``; slots interleave the blocks so that, until
-    the first source ends, each source's share of any first slots is off its target by less than one block. Then the
-    rest goes on with weights scaled up, and so on: every row has its place once, none is dropped or repeated.
-
-    weights: by source; sources that it lacks get the least share. None: the number of documents to ``power``.
-    Only counts by source reach the driver, and a plan that the number of sources bounds goes back. Ranks come from
-    1,024 parts by hash of every source, so a source with a third of all rows is as many tasks' work as any.
-
-    A null source is a source of its own. Rows that repeat an id each have a place; rows alike in both columns may
-    change places among themselves. An empty table gives an empty result. Columns called mix_* are replaced.
+class Plan:
+    """Slots of sources with ``rows`` rows each, in units of ``unit`` rows, to positive weights."""
+
+    def __init__(self, names: list[str], rows: list[int], weights: list[float | Fraction], unit: int) -> None:
+        self.names, self.rows, self.unit = names, rows, unit
+        self.units = [-(-n // unit) for n in rows]
+        self.total = sum(self.units)
+        whole = sum(map(Fraction, weights))
+        self.weights = [max((Fraction(w) / whole * (1 << BITS)).__floor__(), (1 << BITS) // LEAST) for w in weights]
+        # sources by the virtual time at which they end; what has ended by then, what is left, and the slot
+        self.order = sorted(range(len(names)), key=lambda s: Fraction(self.units[s], self.weights[s]))
+        self.ended = [0, *accumulate(self.units[s] for s in self.order)]
+        self.left = [sum(self.weights), *(sum(self.weights) - x for x in accumulate(self.weights[s] for s in self.order))]
+        self.ends = [self.ended[i] + Fraction(self.units[s], self.weights[s]) * self.left[i] for i, s in enumerate(self.order)]
+        # a period is so long that each source has a slot in it: then counts never fall from one to the next
+        self.length = max(PERIOD, -(-sum(self.weights) // min(self.weights, default=1)))
+        # stretches of slots start where a source ends: where the first does, and later ones a period or more on. The
+        # first and the last stretch may be shorter, as counts are zero before and final after them
+        self.cuts = [0]
+        for i, end in enumerate(self.ends):
+            slot = -(-end // 1)
+            if slot > self.cuts[-1] and (i == 0 or slot == self.total or slot - self.cuts[-1] >= self.length):
+                self.cuts.append(slot)
+        self.first = [0, *accumulate(max(1, (b - a) // self.length) for a, b in zip(self.cuts, self.cuts[1:]))]
+        self.periods = self.first[-1]
+
+    def start(self, k: int) -> int:
+        """The first slot of period k, for the last one's successor the number of slots. The last of a stretch takes its rest."""
+        i = bisect_right(self.first, k) - 1
+        return self.cuts[i] + (k - self.first[i]) * self.length
+
+    def fluid(self, slot: int, source: int) -> Fraction:
+        """The share of the first ``slot`` slots that a source is due."""
+        i = bisect_right(self.ends, slot)
+        return Fraction(self.units[source]) if source in self.order[:i] else Fraction(self.weights[source] * (slot - self.ended[i]), self.left[i])
+
+    def counts(self, k: int) -> list[int]:
+        """The units of each source before period k: the fluid counts by largest remainders."""
+        slot = self.start(k)
+        i = bisect_right(self.ends, slot)
+        out = list(self.units)
+        part = [(s, *divmod(self.weights[s] * (slot - self.ended[i]), self.left[i])) for s in self.order[i:]]
+        for s, n, _ in part:
+            out[s] = n
+        for s, _, _ in sorted(part, key=lambda x: (-x[2], x[0]))[: slot - sum(out)]:
+            out[s] += 1
+        return out
+
+    def slots(self, k: int) -> tuple[int, list[int], list[int], list[int]]:
+        """The first slot of period k, and for each slot the source, its unit and the row that it starts at."""
+        before, after = self.counts(k), self.counts(k + 1)
+        sources = period({s: b - a for s, (a, b) in enumerate(zip(before, after, strict=True)) if b > a})
+        row = sum(min(n * self.unit, rows) for n, rows in zip(before, self.rows, strict=True))
+        units, rows = [], []
+        for s in sources:
+            units.append(before[s])
+            rows.append(row)
+            row += min(self.unit, self.rows[s] - before[s] * self.unit)
+            before[s] += 1
+        return self.start(k), sources, units, rows
+
+
+_SLOTS = "mix_src string, mix_unit long, mix_slot long, mix_at long"
+
+
+def _slots(shared):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan: Plan = shared.value
+        names = pa.array(plan.names, pa.string())
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                first, sources, units, rows = plan.slots(k)
+                slot = np.arange(first, first + len(sources))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(sources, pa.int64())), pa.array(units, pa.int64()), pa.array(slot), pa.array(rows, pa.int64())], ["mix_src", "mix_unit", "mix_slot", "mix_at"])
+
+    return over
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, power: float = 0.5, seed: int = 1, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """``docs`` with mix_block (of its source), mix_slot (of the half block) and mix_pos (of the row, from 0, without gaps).
+
+    A source's documents, in the order of a hash, form blocks of ``block`` (2 or more); slots interleave half blocks so
+    that, until the first source ends, each source's share of any first slots is off its target by less than one block.
+    When a source ends, the others go on with weights scaled up: every row has its place once, none is dropped or repeated.
+
+    weights: by source; sources that it lacks get the least share, one in LEAST, to which smaller ones are lifted.
+    None: the number of documents to ``power``. Only counts by source reach the driver, of MOST_SOURCES at most (more
+    refuse). Slots are worked out by tasks and joined to rows by source and unit, as a broadcast if they are few.
+    Ranks come from parts by hash of every source, of about RANKED rows, so a hot source is as many tasks' work as any.
+
+    A null source is a source of its own. The hash is over the whole row (but for maps), so repeated ids, null ones too,
+    are spread; rows alike in all columns may change places among themselves. An empty table gives an empty result.
+    Columns called mix_* are replaced.
     """
+    if block < 2:
+        raise ValueError("a block has 2 rows or more")
+    spark, unit = docs.sparkSession, block // 2
     own = docs.drop("mix_block", "mix_slot", "mix_pos")
     names = own.columns
-    own = own.withColumn("mix_src", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("n"))).withColumn("mix_hash", F.xxhash64(F.lit(seed), id_col, source_col))
-    own = own.withColumn("mix_part", F.shiftrightunsigned("mix_hash", 54))
-    counts = own.groupBy("mix_src", "mix_part").agg(F.count("*").alias("n"))
-    n = {r.mix_src: r.n for r in counts.groupBy("mix_src").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()}
+    hashed = [f.name for f in own.schema if not isinstance(f.dataType, T.MapType)]
+    own = own.withColumn("mix_src", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("n"))).withColumn("mix_hash", F.xxhash64(F.lit(seed), *hashed))
+    n = {r.mix_src: r.n for r in own.groupBy("mix_src").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
     if len(n) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    given = None if weights is None else {f"s{s}": w for s, w in weights.items() if f"s{s}" in n and w > 0}
-    share = {s: float(k) ** power for s, k in n.items()} if given is None else {s: given.get(s, 1e-12) for s in n}
-    spark = docs.sparkSession
-    quota = quotas(share, resolution) if n else {}
-    blocks = {s: -(-k // block) for s, k in n.items()}
-    phases = plan(blocks, quota)
-    slots = spark.createDataFrame(phases, "mix_src string, first long, size long, slot long, period long, at array<int>")
-    # the last block of a source may be short; later rows move up
-    short = []
-    for s, first, size, slot, length, at in phases:
-        if first + size == blocks[s] and n[s] % block:
-            j = size - 1
-            short.append((slot + j // len(at) * length + at[j % len(at)], block - n[s] % block))
+    n = dict(sorted(n.items()))
+    if weights is None:
+        share = [float(k) ** power for k in n.values()]
+    else:
+        share = [max(weights.get(s[1:], 0.0), 0.0) if s != "n" else 0.0 for s in n]
+        if n and not sum(share):
+            raise ValueError("no source has a weight above zero")
+    plan = Plan(list(n), list(n.values()), share, unit)
+    tasks = max(1, min(plan.periods, plan.total >> 17))
+    slots = spark.range(0, plan.periods, 1, tasks).mapInArrow(_slots(spark.sparkContext.broadcast(plan)), _SLOTS)
+    if sum(k * (len(s) + 40) for s, k in zip(n, plan.units, strict=True)) <= BROADCAST:
+        slots = F.broadcast(slots)
+    # the upper bits of the hash: more parts never change the order
+    bits = max(10, (max(n.values(), default=1) // RANKED).bit_length())
+    own = own.withColumn("mix_part", F.shiftrightunsigned("mix_hash", 64 - bits))
+    counts = own.groupBy("mix_src", "mix_part").agg(F.count("*").alias("n"))
     by_src = Window.partitionBy("mix_src").orderBy("mix_part")
     before = counts.select("mix_src", "mix_part", (F.sum("n").over(by_src) - F.col("n")).alias("before"))
     ranked = own.withColumn("mix_rank", F.row_number().over(Window.partitionBy("mix_src", "mix_part").orderBy("mix_hash")) - 1)
     ranked = ranked.join(before, ["mix_src", "mix_part"]).withColumn("mix_rank", F.col("mix_rank") + F.col("before"))
-    ranked = ranked.withColumn("mix_block", F.floor(F.col("mix_rank") / block).cast("long"))
-    placed = ranked.join(F.broadcast(slots), (ranked.mix_src == slots.mix_src) & (F.col("mix_block") >= F.col("first")) & (F.col("mix_block") < F.col("first") + F.col("size")))
-    j, q = F.col("mix_block") - F.col("first"), F.size("at")
-    slot = F.col("slot") + F.floor(j / q).cast("long") * F.col("period") + F.get("at", (j % q).cast("int"))
-    placed = placed.withColumn("mix_slot", slot.cast("long"))
-    gaps = F.array(*(F.struct(F.lit(a).cast("long").alias("at"), F.lit(d).cast("long").alias("n")) for a, d in short)) if short else F.array().cast("array<struct<at:bigint,n:bigint>>")
-    moved = F.aggregate(gaps, F.lit(0).cast("long"), lambda acc, g: acc + F.when(g.at < F.col("mix_slot"), g.n).otherwise(F.lit(0).cast("long")))
-    placed = placed.withColumn("mix_pos", F.col("mix_slot") * block + F.col("mix_rank") % block - moved)
-    return placed.select(*names, "mix_block", "mix_slot", "mix_pos")
+    ranked = ranked.withColumn("mix_unit", F.floor(F.col("mix_rank") / unit).cast("long"))
+    placed = ranked.join(slots, ["mix_src", "mix_unit"])
+    return placed.select(*names, F.floor(F.col("mix_rank") / block).cast("long").alias("mix_block"), "mix_slot", (F.col("mix_at") + F.col("mix_rank") % unit).alias("mix_pos"))
