@@ -1,22 +1,25 @@
 """Exact k nearest neighbours, weighted votes, margins and what is measured on them (V rows)."""
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.guards import Refused
+from tessera.operators.guards import Refused, duplicate_keys, require_empty
 
-#: Bytes of reference vectors that one broadcast holds. A larger reference is searched block by block.
-BROADCAST_BYTES = 64 << 20
+#: References and queries that meet in one task, at most about so many, and queries that it scores at a time.
+REFS, ASKS, SCORED = 32_768, 16_384, 256
 #: Vote settings by name. Published presets.
 PRESETS = {
     "tuned": {"k": 10, "power": 3.0, "adaptive_k": 25, "adaptive_margin": 0.15},
     "legacy": {"k": 250, "power": 0.0, "adaptive_k": None, "adaptive_margin": None},
 }
 EPS = 1e-6
+#: Clusters whose centroids may go to the driver and to tasks.
+MOST_CENTROIDS = 10_000
 
 
 def resolve_vote(preset: str = "tuned", **changes) -> dict:
@@ -72,62 +75,70 @@ def unit(vec: Column, eps: float = 1e-12) -> Column:
 def neighbours(asks: DataFrame, refs: DataFrame, k: int, metric: str = "l2", exclude_self: bool = False, blocks: int | None = None) -> DataFrame:
     """row_id, truth, ref_id, code, d2, rank of the k nearest references, ties to the smaller ref_id.
 
-    References go in blocks of bounded size, each to every partition of queries as matrices: distances are one product,
-    corrected on the candidates it picks so that ranks follow exactly summed distances. The blocks' k best meet in a
-    window over k rows a block and query. cosine: on unit vectors, d2 = max(2 - 2 sim, 0).
+    Sets of queries and blocks of references, both of bounded size, meet pair by pair in tasks of their own; only their
+    counts reach the driver. Distances are one product of matrices, and on the candidates that it picks they are summed
+    exactly, so ranks follow exact distances. A pair hands on k rows a query, which meet in a window. cosine: on unit
+    vectors, d2 = max(2 - 2 sim, 0). blocks: how many, by default as many as REFS asks for.
     """
     if metric == "cosine":
         asks, refs = asks.withColumn("vec", unit(F.col("vec"))), refs.withColumn("vec", unit(F.col("vec")))
     elif metric != "l2":
         raise Refused(f"no metric {metric}")
-    n = refs.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
-    blocks = blocks or max(1, -(-(n.n * (n.d or 1) * 8) // BROADCAST_BYTES))
-    spark, out = asks.sparkSession, None
+    blocks, sets = blocks or max(1, -(-refs.count() // REFS)), max(1, -(-asks.count() // ASKS))
+
+    def dealt(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        """Each row by a hash of its key, and once for each part of the other side: stated queries against all rows."""
+        every = F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))
+        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(other, F.explode(every))
+
+    fresh = lambda df, *names: df.select(*(F.col(c).alias(c) for c in names))  # noqa: E731  sides of one frame share no column
+    left = dealt(fresh(asks, "row_id", "truth", "vec"), "row_id", "qset", sets, "block", blocks)
+    right = dealt(fresh(refs, "ref_id", "code", "vec"), "ref_id", "block", blocks, "qset", sets)
     schema = "row_id long, truth int, ref_id long, code int, d2 double"
-    for i in range(blocks):
-        part = refs.where(F.pmod(F.xxhash64("ref_id"), F.lit(blocks)) == i).select("ref_id", "code", "vec").toArrow() if n.n else None
-        if part is None or not part.num_rows:
-            continue
-        order = np.argsort(np.asarray(part.column("ref_id")), kind="stable")
-        ids, codes = np.asarray(part.column("ref_id"))[order], np.asarray(part.column("code"))[order]
-        matrix = np.asarray(part.column("vec").combine_chunks().flatten(), np.float64).reshape(part.num_rows, -1)[order]
-        shared = spark.sparkContext.broadcast((ids, codes, matrix))
-        found = asks.select("row_id", "truth", "vec").mapInArrow(_nearest(shared, k, exclude_self), schema)
-        out = found if out is None else out.unionAll(found)
-    if out is None:
-        out = spark.createDataFrame([], schema)
+    out = left.groupBy("block", "qset").cogroup(right.groupBy("block", "qset")).applyInArrow(_nearest(k, exclude_self), schema)
     w = Window.partitionBy("row_id").orderBy("d2", "ref_id")
     out = out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return out.withColumn("d2", F.greatest("d2", F.lit(0.0))) if metric == "cosine" else out
 
 
-def _nearest(shared, k: int, exclude_self: bool):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, codes, r = shared.value
+def _matrix(table: pa.Table) -> np.ndarray:
+    return np.asarray(table.column("vec").combine_chunks().flatten(), np.float64).reshape(table.num_rows, -1)
+
+
+def _nearest(k: int, exclude_self: bool):
+    names = ["row_id", "truth", "ref_id", "code", "d2"]
+
+    def over(asks: pa.Table, refs: pa.Table) -> pa.Table:
+        none = pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64())], names)
+        if not asks.num_rows or not refs.num_rows:
+            return none
+        refs = refs.take(pa.array(np.argsort(np.asarray(refs.column("ref_id")), kind="stable")))
+        ids, codes, r = np.asarray(refs.column("ref_id")), refs.column("code").combine_chunks(), _matrix(refs)
+        rows, truths, all_q = np.asarray(asks.column("row_id")), asks.column("truth").combine_chunks(), _matrix(asks)
         r2 = (r * r).sum(1)
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
-                row = np.asarray(part.column("row_id"))
-                q = np.asarray(part.column("vec").flatten(), np.float64).reshape(part.num_rows, -1)
-                rough = r2 - 2 * (q @ r.T)
-                if exclude_self:
-                    rough[row[:, None] == ids] = np.inf
-                own = np.isfinite(rough).sum(1)
-                # the product rounds: take all within its error of the k-th, then sum these distances exactly
-                kth = np.partition(rough, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-                slack = 1e-9 * (1 + np.abs(r2).max() + (q * q).sum(1))
-                i, j = np.nonzero(np.isfinite(rough) & (rough <= (np.where(np.isfinite(kth), kth, np.inf) + slack)[:, None]))
-                d2 = np.zeros(len(i))
-                for c in range(q.shape[1]):
-                    d2 += (q[i, c] - r[j, c]) ** 2
-                best = np.lexsort((ids[j], d2, i))
-                i, j, d2 = i[best], j[best], d2[best]
-                nth = np.arange(len(i)) - np.searchsorted(i, i)
-                keep = nth < np.minimum(k, own)[i]
-                i, j, d2 = i[keep], j[keep], d2[keep]
-                truth = part.column("truth").take(pa.array(i))
-                yield pa.RecordBatch.from_arrays([pa.array(row[i]), truth, pa.array(ids[j]), pa.array(codes[j]), pa.array(d2)], ["row_id", "truth", "ref_id", "code", "d2"])
+        half, short, far = r2.astype(np.float32) / 2, np.ascontiguousarray(r.T, np.float32), float(np.sqrt(r2.max()))
+        out = [none]
+        for at in range(0, len(rows), SCORED):
+            q, row = all_q[at : at + SCORED], rows[at : at + SCORED]
+            rough = half - q.astype(np.float32) @ short  # half the squared distance, less what the query adds to all
+            if exclude_self:
+                rough[row[:, None] == ids] = np.inf
+            own = len(ids) - np.isinf(rough).sum(1) if exclude_self else np.full(len(q), len(ids))
+            kth = np.partition(rough, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            # single precision rounds: take all within its error of the k-th, then sum these distances exactly
+            slack = (q.shape[1] + 8) * 2.0**-22 * (np.sqrt((q * q).sum(1)) + far) ** 2
+            limit = (np.where(np.isfinite(kth), kth, np.finfo(np.float32).max) + slack).astype(np.float32)
+            i, j = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            d2 = np.zeros(len(i))
+            for c in range(q.shape[1]):
+                d2 += (q[i, c] - r[j, c]) ** 2
+            best = np.lexsort((ids[j], d2, i))
+            i, j, d2 = i[best], j[best], d2[best]
+            nth = np.arange(len(i)) - np.searchsorted(i, i)
+            keep = nth < np.minimum(k, own)[i]
+            i, j, d2 = i[keep], j[keep], d2[keep]
+            out.append(pa.table([pa.array(row[i]), truths.take(pa.array(at + i)), pa.array(ids[j]), codes.take(pa.array(j)), pa.array(d2)], names))
+        return pa.concat_tables(out)
 
     return over
 
@@ -139,13 +150,9 @@ def local_scales(refs: DataFrame, r: int) -> DataFrame:
     return near.groupBy(F.col("row_id").alias("ref_id")).agg(F.sqrt(F.max("d2")).alias("scale"))
 
 
-def vote(near: DataFrame, k: int, power: float = 0.0, class_weights: DataFrame | None = None, scales: DataFrame | None = None) -> DataFrame:
-    """Label, margin and mean distance of each query's first k neighbours; ties go to the highest code.
-
-    Weights are 1 / (distance + eps) ** power, over the class size or the reference's scale where given. The margin is
-    the lead over the sum of weights; the distance is neither weighted nor scaled.
-    """
-    n = near.where(F.col("rank") <= k)
+def _votes(near: DataFrame, ks: list[int], power: float, class_weights: DataFrame | None, scales: DataFrame | None) -> DataFrame:
+    """row_id, truth and for each k a struct v<k>: label, runner_up, margin, neighbor_distance. One aggregation for all k."""
+    n = near.where(F.col("rank") <= max(ks))
     d = F.sqrt("d2")
     if scales is not None:
         n = n.join(scales, "ref_id", "left")
@@ -154,24 +161,38 @@ def vote(near: DataFrame, k: int, power: float = 0.0, class_weights: DataFrame |
     if class_weights is not None:
         n = n.join(class_weights, "code", "left")
         w = w * F.coalesce("weight", F.lit(1.0))
-    by_code = n.withColumn("w", w).groupBy("row_id", "code").agg(F.sum("w").alias("w"), F.sum(F.sqrt("d2")).alias("d"), F.count("*").alias("n"), F.first("truth").alias("truth"))
-    ranked = F.sort_array(F.collect_list(F.struct("w", "code")), asc=False)
-    out = by_code.groupBy("row_id").agg(ranked.alias("r"), F.sum("w").alias("total"), (F.sum("d") / F.sum("n")).alias("neighbor_distance"), F.first("truth").alias("truth"))
-    second = F.coalesce(F.get("r", F.lit(1)).w, F.lit(0.0))
-    margin = (F.get("r", F.lit(0)).w - second) / F.greatest("total", F.lit(1e-12))
-    return out.select("row_id", "truth", F.get("r", F.lit(0)).code.alias("label"), F.get("r", F.lit(1)).code.alias("runner_up"), margin.alias("margin"), "neighbor_distance")
+    n = n.withColumn("w", w)
+    held = {k: F.col("rank") <= k for k in ks}
+    sums = [f.alias(f"{x}{k}") for k in ks for x, f in (("w", F.sum(F.when(held[k], F.col("w")))), ("d", F.sum(F.when(held[k], F.sqrt("d2")))), ("n", F.count_if(held[k])))]
+    by_code = n.groupBy("row_id", "code").agg(*sums, F.first("truth").alias("truth"))
+    ranked = {k: F.sort_array(F.collect_list(F.when(F.col(f"n{k}") > 0, F.struct(F.col(f"w{k}").alias("w"), "code"))), asc=False) for k in ks}
+    parts = [f.alias(f"{x}{k}") for k in ks for x, f in (("r", ranked[k]), ("total", F.sum(f"w{k}")), ("mean", F.sum(f"d{k}") / F.sum(f"n{k}")))]
+    out = by_code.groupBy("row_id").agg(*parts, F.first("truth").alias("truth"))
+
+    def result(k: int) -> Column:
+        first, second = F.get(f"r{k}", F.lit(0)), F.get(f"r{k}", F.lit(1))
+        margin = (first.w - F.coalesce(second.w, F.lit(0.0))) / F.greatest(f"total{k}", F.lit(1e-12))
+        return F.struct(first.code.alias("label"), second.code.alias("runner_up"), margin.alias("margin"), F.col(f"mean{k}").alias("neighbor_distance"))
+
+    return out.select("row_id", "truth", *(result(k).alias(f"v{k}") for k in ks))
 
 
-def classify(near: DataFrame, k: int, power: float, adaptive_k: int | None = None, adaptive_margin: float | None = None, **weights) -> DataFrame:
-    """A vote over k, and where its margin is low the wider vote instead, with its margin and distance. One search serves both."""
-    first = vote(near, k, power, **weights)
+def vote(near: DataFrame, k: int, power: float = 0.0, class_weights: DataFrame | None = None, scales: DataFrame | None = None) -> DataFrame:
+    """Label, margin and mean distance of each query's first k neighbours; ties go to the highest code.
+
+    Weights are 1 / (distance + eps) ** power, over the class size or the reference's scale where given. The margin is
+    the lead over the sum of weights; the distance is neither weighted nor scaled.
+    """
+    return _votes(near, [k], power, class_weights, scales).select("row_id", "truth", f"v{k}.*")
+
+
+def classify(near: DataFrame, k: int, power: float, adaptive_k: int | None = None, adaptive_margin: float | None = None, class_weights: DataFrame | None = None, scales: DataFrame | None = None) -> DataFrame:
+    """A vote over k, and where its margin is low the wider vote instead, with its margin and distance. One search and one aggregation serve both."""
     if adaptive_k is None:
-        return first.withColumn("revoted", F.lit(False))
-    names = ["label", "runner_up", "margin", "neighbor_distance"]
-    wide = vote(near, adaptive_k, power, **weights).select("row_id", *(F.col(c).alias(f"w_{c}") for c in names))
-    low = F.col("margin") < adaptive_margin
-    j = first.join(wide, "row_id", "left")
-    return j.select("row_id", "truth", *(F.when(low, F.col(f"w_{c}")).otherwise(F.col(c)).alias(c) for c in names), low.alias("revoted"))
+        return vote(near, k, power, class_weights, scales).withColumn("revoted", F.lit(False))
+    both = _votes(near, [k, adaptive_k], power, class_weights, scales)
+    low = F.col(f"v{k}.margin") < adaptive_margin
+    return both.select("row_id", "truth", F.when(low, F.col(f"v{adaptive_k}")).otherwise(F.col(f"v{k}")).alias("v"), low.alias("revoted")).select("row_id", "truth", "v.*", "revoted")
 
 
 def accuracy(votes: DataFrame) -> DataFrame:
@@ -230,16 +251,90 @@ def medoids(refs: DataFrame, most: int = 400) -> DataFrame:
     return cost.groupBy("code").agg(F.min_by("ref_id", F.struct(F.round("cost", 9), F.col("ref_id"))).alias("medoid"))
 
 
+def _centroids(refs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes in order and their mean vectors; more than MOST_CENTROIDS are refused, so the matrix has a bound."""
+    found = mean_vector(refs, "vec", "code").limit(MOST_CENTROIDS + 1).collect()
+    if len(found) > MOST_CENTROIDS:
+        raise Refused(f"more than {MOST_CENTROIDS} clusters")
+    found.sort(key=lambda r: r.code)
+    return np.array([r.code for r in found], np.int64), np.array([r.mean for r in found], np.float64)
+
+
+def _to_centroids(shared):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, means = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                x = np.asarray(b.column("vec").flatten(), np.float64).reshape(b.num_rows, -1)
+                d = np.sqrt(np.maximum((x * x).sum(1)[:, None] - 2 * (x @ means.T) + (means * means).sum(1), 0))
+                own = np.searchsorted(codes, np.asarray(b.column("code")))
+                rows = np.arange(len(x))
+                a = np.sqrt(((x - means[own]) ** 2).sum(1))
+                d[rows, own] = np.inf
+                other = d.min(1)
+                yield pa.RecordBatch.from_arrays([b.column("ref_id"), b.column("code"), pa.array(a), pa.array(other, mask=np.isinf(other))], ["ref_id", "code", "a", "b"])
+
+    return over
+
+
+def centroid_distances(refs: DataFrame, centroids: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """ref_id, code, a, b: each row's distance to its own centroid and to the nearest other one (null if there is none)."""
+    shared = refs.sparkSession.sparkContext.broadcast(centroids)
+    return refs.select("ref_id", "code", "vec").mapInArrow(_to_centroids(shared), "ref_id long, code int, a double, b double")
+
+
 def centroid_scores(refs: DataFrame) -> DataFrame:
-    """V26 in part (no disruption, VRC or DBI): simplified silhouette and the mean distance to the own centroid, by cluster. Centroids, one row a cluster, meet every row."""
-    c = mean_vector(refs, "vec", "code").select(F.col("code").alias("c"), "mean")
-    d = refs.crossJoin(F.broadcast(c)) if c.count() <= 10_000 else refs.join(c)
-    d = d.select("ref_id", "code", "c", F.sqrt(squared_distance(F.col("vec"), F.col("mean"))).alias("d"))
-    per = d.groupBy("ref_id", "code").agg(F.min(F.when(F.col("c") == F.col("code"), F.col("d"))).alias("a"), F.min(F.when(F.col("c") != F.col("code"), F.col("d"))).alias("b"))
+    """Simplified silhouette and mean distance to the own centroid (disruption), by cluster."""
+    per = centroid_distances(refs, _centroids(refs))
     s = (F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0))
     return per.groupBy("code").agg(F.round(F.avg(s), 6).alias("silhouette"), F.round(F.avg("a"), 6).alias("spread"))
 
 
+def cluster_quality(refs: DataFrame, config: str) -> DataFrame:
+    """One row for a configuration: n, clusters, silhouette, disruption, variance ratio and Davies-Bouldin index.
+
+    Rows are summed by cluster in Spark; sums by cluster and centroids, of a checked number, are put together here.
+    """
+    codes, means = _centroids(refs)
+    s = (F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0))
+    sums = (F.count("*").alias("n"), F.avg("a").alias("s"), F.sum(F.col("a") * F.col("a")).alias("w"), F.sum(s).alias("silhouette"))
+    per = sorted(centroid_distances(refs, (codes, means)).groupBy("code").agg(*sums).collect(), key=lambda r: r.code)
+    n, spread, within = (np.array([r[c] for r in per], np.float64) for c in ("n", "s", "w"))
+    k, total = len(per), n.sum()
+    grand = (n[:, None] * means).sum(0) / total
+    between = (n * ((means - grand) ** 2).sum(1)).sum()
+    vrc = float(between / (k - 1) / (within.sum() / (total - k))) if k > 1 and total > k and within.sum() else None
+    apart = np.sqrt(((means[:, None] - means[None]) ** 2).sum(2)) if k <= 2000 else np.stack([np.sqrt(((means - m) ** 2).sum(1)) for m in means])
+    np.fill_diagonal(apart, np.inf)
+    dbi = float(((spread[:, None] + spread) / apart).max(1).mean()) if k > 1 else None
+    silhouette = float(sum(r.silhouette or 0.0 for r in per) / total)
+    row = (config, int(total), k, silhouette, float((n * spread).sum() / total), vrc, dbi)
+    out = refs.sparkSession.createDataFrame([row], "config string, n long, clusters long, silhouette double, disruption double, vrc double, dbi double")
+    return out.select("config", "n", "clusters", *(F.round(c, 6).alias(c) for c in ("silhouette", "disruption", "vrc", "dbi")))
+
+
+def configurations(refs: DataFrame, codes: dict[str, Column]) -> DataFrame:
+    """The table of cluster configurations, one row for each way to code the same vectors."""
+    return reduce(DataFrame.unionAll, (cluster_quality(refs.withColumn("code", c.cast("int")), name) for name, c in codes.items()))
+
+
+def agreement(predicted: DataFrame, truth: DataFrame, keys: list[str], label: str, least: float = 0.99) -> DataFrame:
+    """Rows that both have, the share whose labels are equal, and whether that is enough. Truth without a label, or
+    with several for one key, is left out; a key that repeats among the predictions refuses."""
+    require_empty(duplicate_keys(predicted, *keys), "predicted keys repeat")
+    clear = truth.where(F.col(label).isNotNull()).groupBy(*keys).agg(F.min(label).alias("_t"), F.max(label).alias("_u")).where("_t = _u")
+    j = predicted.join(clear, keys)
+    return j.agg(F.count("*").alias("n"), F.round(F.avg((F.col(label) == F.col("_t")).cast("int")), 6).alias("agreement")).withColumn("passes", F.col("agreement") >= least)
+
+
+def compared_tiebreaks(near: DataFrame, votes: DataFrame, k: int, flips: tuple[float, ...]) -> DataFrame:
+    """For each flip margin, rows with a narrow vote and how many the vote, the nearest neighbour and the mean distance get right."""
+    right = lambda c: F.count_if(F.col(c) == F.col("truth"))
+    one = lambda f: tiebreak(near, votes, k, f).agg(F.lit(f).alias("flip"), F.count("*").alias("n"), right("label").alias("vote"), right("nearest").alias("nearest"), right("mean_distance").alias("mean_distance"))
+    return reduce(DataFrame.unionAll, map(one, flips))
+
+
 def graph_silhouette(near: DataFrame) -> DataFrame:
     """On neighbour edges, mean distance inside the cluster against that to the closest other."""
     e = near.groupBy("truth", "code").agg(F.avg(F.sqrt("d2")).alias("d"))
