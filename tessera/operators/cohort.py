@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import profiles as P
-from tessera.operators.guards import Refused, conflicting, one_to_one, require_empty
+from tessera.operators.guards import Refused, conflicting, incomplete, one_to_one, require_empty
 from tessera.operators.keys import grid_xy, supercluster
 
 
@@ -88,8 +88,8 @@ def side_by_side(a: DataFrame, b: DataFrame, row: str = "row_id") -> DataFrame:
 
 
 def sample_of(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """N keys by a hash with all their rows. A sampling operator: the limit is the feature."""
-    chosen = df.select(key).distinct().orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    """N keys in the order of a digest of seed and key, with all their rows. A sampling operator: the limit is the feature."""
+    chosen = df.select(key).distinct().orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
     return df.join(chosen, key, "left_semi")
 
 
@@ -150,18 +150,21 @@ def pca(df: DataFrame, k: int, vec: str = "vec") -> tuple[DataFrame, list[float]
     return model.transform(v).withColumn("pca", vector_to_array("_p")).drop("_v", "_p"), [float(x) for x in model.explainedVariance]
 
 
+def dictionary_state(dictionary: DataFrame) -> DataFrame:
+    """Rows of a dictionary, malignant ones among them, and whether it can be used: both must be there."""
+    return dictionary.agg(F.count("*").alias("n"), F.count_if("malignant").alias("malignant")).withColumn("usable", (F.col("n") > 0) & (F.col("malignant") > 0))
+
+
 def require_dictionary(dictionary: DataFrame) -> None:
-    """A dictionary must have rows, and a malignant one among them."""
-    r = dictionary.agg(F.count("*").alias("n"), F.count_if("malignant").alias("m")).first()
-    if not r.n or not r.m:
-        raise Refused(f"a dictionary of {r.n} rows, {r.m} malignant")
+    """G8."""
+    r = dictionary_state(dictionary).first()
+    if not r.usable:
+        raise Refused(f"a dictionary of {r.n} rows, {r.malignant} malignant")
 
 
 def require_complete(df: DataFrame, columns: dict[str, str], rows: int) -> None:
     """A packaged table has these columns and types and so many rows."""
-    types = dict(df.dtypes)
-    if wrong := {c: types.get(c) for c, t in columns.items() if types.get(c) != t}:
-        raise Refused(f"columns differ: {wrong}")
+    require_empty(incomplete(df, columns), "columns differ")
     if (n := df.count()) != rows:
         raise Refused(f"{n} rows, not {rows}")
 

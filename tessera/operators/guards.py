@@ -100,11 +100,38 @@ def inspect(stage: DataFrame, registry: DataFrame, dictionary: DataFrame, low: f
 
 def require_match(report: DataFrame, least: float = 0.95) -> None:
     """Refuses a load of which too little matches, or with unknown clusters."""
-    r = report.first()
-    if not r.n_rows or r.matched < least * r.n_rows:
-        raise Refused(f"{r.matched} of {r.n_rows} rows match; at least {least:.0%} must")
-    if r.unknown_clusters:
-        raise Refused(f"{r.unknown_clusters} unknown clusters")
+    r = match_verdict(report, least).first()
+    if r.verdict != "ok":
+        raise Refused(f"{r.verdict}: {r.matched} of {r.n_rows} rows match (at least {least:.0%} must), {r.unknown_clusters} unknown clusters")
+
+
+def row_counts(source: DataFrame, output: DataFrame, *group: str) -> DataFrame:
+    """Groups whose numbers of rows differ between a source and what was written of it."""
+    n = lambda df, name: df.groupBy(*group).agg(F.count("*").alias(name))
+    j = n(source, "n_source").join(n(output, "n_output"), list(group), "full_outer").na.fill(0, ["n_source", "n_output"])
+    return j.where("n_source <> n_output")
+
+
+def incomplete(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Columns of a packaged table that are missing or of another type; from the schema, no job."""
+    types = dict(df.dtypes)
+    wrong = [(c, t, types.get(c)) for c, t in columns.items() if types.get(c) != t]
+    return df.sparkSession.createDataFrame(wrong, "name string, expected string, found string")
+
+
+def match_verdict(report: DataFrame, least: float = 0.95) -> DataFrame:
+    """What a load's report comes to."""
+    few = (F.col("n_rows") == 0) | (F.col("matched") < least * F.col("n_rows"))
+    return report.withColumn("verdict", F.when(few, "too few rows match").when(F.col("unknown_clusters") > 0, "unknown clusters").otherwise("ok"))
+
+
+def whole_pixels(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows whose pixel counts, read as text, are no whole numbers."""
+    bad: Column = F.lit(False)
+    for c in cols:
+        v = F.col(c).try_cast("double")
+        bad = bad | v.isNull() | (v != F.floor(v)) | (v < 0)
+    return df.where(bad)
 
 
 def reconcile(expected: DataFrame, counted: DataFrame, key: str, label: str) -> DataFrame:

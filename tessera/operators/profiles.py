@@ -47,6 +47,20 @@ def tumour_list(prop: DataFrame, dictionary: DataFrame) -> DataFrame:
     ).withColumn("fraction", F.col("malignant_tiles") / F.col("total_tiles"))
 
 
+def tumour_list_from_rows(tiles: DataFrame, malignant: Column) -> DataFrame:
+    """The same from a table of tiles that says of each whether it is malignant; clusters without an id aren't counted."""
+    return tiles.withColumn("_m", F.coalesce(malignant, F.lit(False))).groupBy("samples", "slides").agg(
+        F.count("*").alias("total_tiles"), F.count_if("_m").alias("malignant_tiles"), F.countDistinct(F.when(F.col("_m"), F.col("hpc_id"))).alias("malignant_hpcs")
+    )
+
+
+def purity_thresholds(df: DataFrame, label: str, reduction: float = 2.0) -> DataFrame:
+    """Each label's share of all rows in percent, and the purity that a cluster must have of it: p + (100 - p) / reduction."""
+    n = counts_by(df, label).crossJoin(df.agg(F.count("*").alias("all")))  # one row
+    p = 100.0 * F.col("n") / F.col("all")
+    return n.select(label, "n", F.round(p, 6).alias("percent"), F.round(p + (100 - p) / reduction, 6).alias("threshold"))
+
+
 def fraction_distribution(slides: DataFrame, floors: tuple[float, ...] = (0.0, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.75)) -> DataFrame:
     """What each floor would keep; one pass, the floors exploded by row and combined before the shuffle."""
     cuts = F.explode(F.array(*map(F.lit, floors))).alias("floor")
@@ -138,6 +152,12 @@ def duplicates(df: DataFrame, *keys: str, value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct(value).alias("n_values")).where("n > 1")
 
 
+def repeated_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Every row whose key repeats, the first one too."""
+    keyed = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return df.join(keyed, list(keys), "left_semi")
+
+
 def first_of(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     """The first row of each key by an order that must settle ties."""
     w = Window.partitionBy(*keys).orderBy(*order)

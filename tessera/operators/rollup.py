@@ -25,6 +25,12 @@ def datasets(runs: DataFrame) -> DataFrame:
     return out.withColumn("next_action", action)
 
 
+def newest(runs: DataFrame, skip: str) -> DataFrame:
+    """The newest run of each dataset that isn't in a state to skip."""
+    order = F.struct("submitted_at", "submission_id")
+    return runs.where(F.col("state") != skip).groupBy("dataset").agg(F.max_by("submission_id", order).alias("submission_id"), F.max_by("state", order).alias("state"))
+
+
 def missing(manifest: DataFrame, counted: DataFrame, key: str, n: str) -> DataFrame:
     """Never (no row), corrupt (null count), zero, complete."""
     there = counted.select(key, F.col(n).alias("_n"), F.lit(True).alias("_there"))

@@ -1,11 +1,12 @@
-"""Grid adjacency and radius joins."""
-
+"""Grid adjacency and radius joins."""
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.stats import average_rank
+
 #: The half of the eight offsets that finds each unordered pair of neighbours once.
 HALF = ((1, 0), (0, 1), (1, 1), (1, -1))
 #: Fixed letters of the eight neighbours; y + 1 is up.
@@ -19,11 +20,17 @@ def first_occupants(tiles: DataFrame, slide: str = "slides", x: str = "grid_col"
 
 
 def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile") -> DataFrame:
-    """Pairs of 8-neighbours, each once: an equi-join on the cell a tile's offset points to."""
-    at = F.explode(F.array(*(F.struct((F.col(x) + dx).alias("x"), (F.col(y) + dy).alias("y")) for dx, dy in HALF))).alias("to")
-    a = tiles.select(F.col(slide).alias("slide"), F.col(label).alias("a"), F.col(name).alias("tile_a"), at).select("slide", "a", "tile_a", F.col("to.x").alias("x"), F.col("to.y").alias("y"))
-    b = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("b"), F.col(name).alias("tile_b"))
-    return a.join(b, ["slide", "x", "y"]).select("slide", "a", "b", "tile_a", "tile_b")
+    """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. A tile goes to its own cell and to
+    half of those around it, where it meets the tile that lies there: one aggregation by cell, without a join."""
+    own = F.struct(F.lit(0).alias("k"), F.lit(0).alias("dx"), F.lit(0).alias("dy"))
+    to = F.explode(F.array(own, *(F.struct(F.lit(k).alias("k"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for k, (dx, dy) in enumerate(HALF, 1)))).alias("to")
+    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"), F.col(name).alias("name"), to)
+    of = lambda k, c: F.max(F.when(F.col("to.k") == k, F.col(c)))
+    met = [f for k in range(len(HALF) + 1) for f in (F.count_if(F.col("to.k") == k).alias(f"n{k}"), of(k, "label").alias(f"label{k}"), of(k, "name").alias(f"name{k}"))]
+    cells = sent.groupBy("slide", (F.col("x") + F.col("to.dx")).alias("x"), (F.col("y") + F.col("to.dy")).alias("y")).agg(*met).where("n0 > 0")
+    others = F.array(*(F.when(F.col(f"n{k}") > 0, F.struct(F.col(f"label{k}").alias("a"), F.col(f"name{k}").alias("tile"))) for k in range(1, len(HALF) + 1)))
+    out = cells.select("slide", F.explode(F.filter(others, lambda o: o.isNotNull())).alias("o"), F.col("label0").alias("b"), F.col("name0").alias("tile_b"))
+    return out.select("slide", F.col("o.a").alias("a"), "b", F.col("o.tile").alias("tile_a"), "tile_b")
 
 
 def edge_counts(pairs: DataFrame) -> DataFrame:
@@ -35,22 +42,28 @@ def edge_counts(pairs: DataFrame) -> DataFrame:
 def touching(pairs: DataFrame) -> DataFrame:
     """How many tiles of a label touch another label, by slide."""
     p = pairs.where("a <> b")
-    both = p.select("slide", F.col("a").alias("label"), F.col("b").alias("other"), F.col("tile_a").alias("tile")).unionAll(p.select("slide", "b", "a", "tile_b"))
+    side = lambda label, other, tile: F.struct(F.col(label).alias("label"), F.col(other).alias("other"), F.col(tile).alias("tile"))
+    both = p.select("slide", F.explode(F.array(side("a", "b", "tile_a"), side("b", "a", "tile_b"))).alias("s")).select("slide", "s.*")
     return both.groupBy("slide", "label", "other").agg(F.countDistinct("tile").alias("tiles"))
 
 
 def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile") -> DataFrame:
-    """The label of each of the eight neighbours in a column of its own, null where there is none."""
-    at = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), (F.col(x) + dx).alias("x"), (F.col(y) + dy).alias("y")) for k, (dx, dy) in LETTERS.items()))).alias("to")
-    a = tiles.select(F.col(slide).alias("slide"), F.col(name).alias("tile"), at).select("slide", "tile", "to.*")
-    b = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("b"))
-    return a.join(b, ["slide", "x", "y"], "left").groupBy("tile").agg(*(F.max(F.when(F.col("k") == k, F.col("b"))).alias(k) for k in LETTERS))
+    """The label of each of the eight neighbours in a column of its own, null where there is none. A tile goes to its
+    own cell and, as the neighbour that it is there, to the eight around it: one aggregation by cell."""
+    own = F.struct(F.lit("").alias("k"), F.lit(0).alias("dx"), F.lit(0).alias("dy"))
+    to = F.explode(F.array(own, *(F.struct(F.lit(k).alias("k"), F.lit(-dx).alias("dx"), F.lit(-dy).alias("dy")) for k, (dx, dy) in LETTERS.items()))).alias("to")
+    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"), F.col(name).alias("name"), to)
+    cell = ["slide", (F.col("x") + F.col("to.dx")).alias("x"), (F.col("y") + F.col("to.dy")).alias("y")]
+    sent = sent.select(*cell, F.col("to.k").alias("k"), "label", F.when(F.col("to.k") == "", F.col("name")).alias("name"))
+    met = sent.groupBy("slide", "x", "y").agg(F.count_if(F.col("k") == "").alias("n"), F.max("name").alias("tile"), *(F.max(F.when(F.col("k") == k, F.col("label"))).alias(k) for k in LETTERS))
+    return met.where("n > 0").select("tile", *LETTERS)
 
 
 def interactions(pairs: DataFrame, by: str = "slide") -> DataFrame:
     """Directed counts of neighbouring labels as shares, of the slide or of the label."""
-    both = pairs.select("slide", "a", "b").unionAll(pairs.select("slide", F.col("b").alias("a"), F.col("a").alias("b")))
-    n = both.groupBy("slide", "a", "b").agg(F.count("*").alias("n"))
+    found = pairs.groupBy("slide", "a", "b").agg(F.count("*").alias("n"))  # counted once, then both ways round
+    way = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    n = found.select("slide", F.explode(F.array(way("a", "b"), way("b", "a"))).alias("w"), "n").groupBy("slide", "w.a", "w.b").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("slide") if by == "slide" else Window.partitionBy("slide", "a")
     return n.withColumn("share", F.col("n") / F.sum("n").over(w))
 
@@ -88,6 +101,18 @@ def density(pairs: DataFrame, group: str = "core") -> DataFrame:
     return near.groupBy("pa").agg(F.round(1 / F.nullif(F.avg("d"), F.lit(0.0)), 6).alias("density"), F.count("*").alias("n"))
 
 
+def density_correlation(cells: DataFrame, a: str, b: str, r: float, group: str = "core") -> DataFrame:
+    """Spearman's correlation, over all cells of a core, of how many cells of two phenotypes lie nearer than r, the
+    cell itself included; null where either count is the same everywhere."""
+    near = radius_pairs(cells, cells, r, group).where(F.col("d") < r).groupBy(group, F.col("a").alias("cell"))
+    near = near.agg(F.count_if(F.col("pb") == a).alias("na"), F.count_if(F.col("pb") == b).alias("nb"))
+    own = lambda n, p: (F.coalesce(n, F.lit(0)) + (F.col("phenotype") == p).cast("int")).alias(n)
+    n = cells.join(near, [group, "cell"], "left").select(group, own("na", a), own("nb", b))
+    ranked = average_rank(average_rank(n, "na", group, out="ra"), "nb", group, out="rb")
+    varied = (F.min("ra") < F.max("ra")) & (F.min("rb") < F.max("rb"))
+    return ranked.groupBy(group).agg(F.count("*").alias("n"), F.round(F.when(varied, F.corr("ra", "rb")), 6).alias("rho"))
+
+
 def tessellation(cells: DataFrame, tile: float, group: str = "core") -> DataFrame:
     """Cells of each phenotype in each square of a grid: each point is in one, so no join is needed."""
     sq = lambda c: F.floor(F.col(c) / tile).cast("int")

@@ -1,4 +1,4 @@
-"""Statistics: ranks, correlations, tests, survival."""
+"""Statistics: ranks, correlations, tests, survival (M6 to M12, M17 to M22, R8, R10 to R13; of R10 the fits, not the search over penalties)."""
 
 import math
 
@@ -31,6 +31,49 @@ def correlation(df: DataFrame, pairs: list[tuple[str, str]], method: str = "pear
     return out
 
 
+def masked_correlation(df: DataFrame, pairs: list[tuple[str, str]], least: int = 10, critical: float = 1.959964) -> DataFrame:
+    """Correlations of pairs with enough rows; those whose t statistic is below the critical value are masked as null."""
+    c = correlation(df, pairs).where(F.col("n") >= least)
+    t = F.abs("r") * F.sqrt((F.col("n") - 2) / F.nullif(1 - F.col("r") * F.col("r"), F.lit(0.0)))
+    return c.select("x", "y", "n", "r", F.when(t.isNull() | (t >= critical), F.col("r")).alias("masked"))
+
+
+def class_balance(df: DataFrame, label: str, fold: str) -> DataFrame:
+    """The share of positives, to two places, in the train and the test rows of each fold."""
+    n = df.groupBy(fold).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("int")).alias("p"))
+    whole = n.agg(F.sum("n").alias("all"), F.sum("p").alias("positive"))
+    share = lambda p, m: F.round(p / F.nullif(m, F.lit(0)), 2)
+    return n.crossJoin(whole).select(fold, share(F.col("positive") - F.col("p"), F.col("all") - F.col("n")).alias("train"), share(F.col("p"), F.col("n")).alias("test"))  # one row
+
+
+def logit(df: DataFrame, label: str, cols: list[str], fold: str, alpha: float = 1.0, intercept: bool = False) -> DataFrame:
+    """For each fold, a lasso logistic fit on the other folds' rows (the penalty is alpha times the coefficients' sizes,
+    against the summed loss), with rows, accuracy and area under the curve of its train and test rows."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    v = df.select(F.col(fold).alias("fold"), F.col(label).cast("double").alias("label"), array_to_vector(F.array(*(F.col(c).cast("double") for c in cols))).alias("features"))
+    out = None
+    for i in sorted(r.fold for r in v.select("fold").distinct().collect()):
+        train = v.where(F.col("fold") != i)
+        n = train.count()
+        model = LogisticRegression(regParam=alpha / max(n, 1), elasticNetParam=1.0, fitIntercept=intercept, standardization=False, maxIter=500, tol=1e-10).fit(train)
+        scored = model.transform(v).select("label", F.element_at(vector_to_array("probability"), 2).alias("p"), F.when(F.col("fold") == i, "test").otherwise("train").alias("part"))
+        for part in ("train", "test"):
+            rows = scored.where(F.col("part") == part)
+            right = rows.agg(F.count("*").alias("n"), F.round(F.avg(((F.col("p") >= 0.5) == (F.col("label") == 1)).cast("int")), 6).alias("accuracy"))
+            one = right.crossJoin(auc(rows, "p", "label").select("auc")).select(F.lit(i).alias("fold"), F.lit(part).alias("part"), "n", "accuracy", "auc")  # one row each
+            out = one if out is None else out.unionAll(one)
+    return out
+
+
+def combined_risk(df: DataFrame, score: str, fold: str, k: int) -> DataFrame:
+    """High or low by each fold's cutoff, the median score of the rows of the other folds, and the majority of the folds."""
+    cuts = df.agg(*(F.percentile(F.when(F.col(fold) != i, F.col(score)), 0.5).alias(f"_c{i}") for i in range(k)))
+    high = sum(((F.col(score) > F.col(f"_c{i}")).cast("int") for i in range(k)), F.lit(0))
+    return df.crossJoin(cuts).withColumn("n_high", high).withColumn("risk_group", F.when(2 * F.col("n_high") > k, "high").otherwise("low")).drop(*(f"_c{i}" for i in range(k)))  # one row
+
+
 def benjamini_hochberg(df: DataFrame, p: str, out: str = "q") -> DataFrame:
     """M7: adjusted p-values. The window is over the family of tests, one row a test."""
     up = Window.orderBy(F.col(p), "_id")

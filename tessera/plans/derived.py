@@ -73,7 +73,7 @@ def _(s, d):
     return C.first_tiles(B.tiles(s, d).where("hpc_id = 12").select("slide_tile"), 6, "slide_tile")
 
 
-@query("t12_seeded_sample")
+@query("t12_seeded_sample", "SELECT slides, slide_tile FROM tiles WHERE slides IN (SELECT slides FROM (SELECT DISTINCT slides FROM tiles) ORDER BY md5('7:' || slides), slides LIMIT 5)")
 def _(s, d):
     return C.sample_of(B.tiles(s, d).select("slides", "slide_tile"), "slides", 5, 7).orderBy("slides", "slide_tile")
 
@@ -180,12 +180,7 @@ def _(s, d):
     return C.topography(B.dictionary(s))
 
 
-@query("r20_participants", "SELECT slide_tile, split_part(slide_tile, '_', 1) AS slide, split_part(slide_tile, '_', 1) AS participant FROM tiles WHERE slides = '8'")
-def _(s, d):
-    return C.with_participants(B.tiles(s, d).where("slides = '8'").select("slide_tile"), "slide_tile")
-
-
-@query("r20_participants_whole", "SELECT slide_tile, split_part(slide_tile, '_', 1) AS slide, split_part(slide_tile, '_', 1) AS participant FROM tiles")
+@query("r20_participants", "SELECT slide_tile, split_part(slide_tile, '_', 1) AS slide, split_part(slide_tile, '_', 1) AS participant FROM tiles")
 def _(s, d):
     return C.with_participants(B.tiles(s, d).select("slide_tile"), "slide_tile")
 

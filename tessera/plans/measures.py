@@ -15,12 +15,7 @@ def tile_names(t):
     return t.select("slide_tile", x.alias("x"), y.alias("y"), K.normalize_tile(F.col("tiles")).alias("named"))
 
 
-@query("p1_names", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles WHERE run % 5 = 0""")
-def _(s, d):
-    return tile_names(B.tiles(s, d).where("run % 5 = 0"))
-
-
-@query("p1_names_whole", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles""")
+@query("p1_names", r"""SELECT slide_tile, regexp_extract(tiles, '^(\d+)_(\d+)', 1)::INTEGER AS x, regexp_extract(tiles, '^(\d+)_(\d+)', 2)::INTEGER AS y, tiles AS named FROM tiles""")
 def _(s, d):
     return tile_names(B.tiles(s, d))
 
@@ -88,12 +83,7 @@ def heat(tiles):
     return p.select("slides", "hpc_id", F.round((F.col("v") - low) / F.nullif(high - low, F.lit(0.0)), 5).alias("heat"))
 
 
-@query("p18_heatmap_scale", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l WHERE slides IN ('1', '2')")
-def _(s, d):
-    return heat(B.tiles(s, d).where("slides in ('1', '2')"))
-
-
-@query("p18_heatmap_scale_whole", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l")
+@query("p18_heatmap_scale", "WITH l AS (SELECT slides, hpc_id, log10(greatest(proportion, 1e-6)) AS v FROM proportion) SELECT slides, hpc_id, round((v - min(v) OVER (PARTITION BY slides)) / nullif(max(v) OVER (PARTITION BY slides) - min(v) OVER (PARTITION BY slides), 0), 5) AS heat FROM l")
 def _(s, d):
     return heat(B.tiles(s, d))
 
@@ -119,12 +109,7 @@ def trimmed(li):
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", K.trim_event(F.col("l_quantity") * 4 - 20).alias("months"))
 
 
-@query("p23_trim_events", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0.0, least(l_quantity * 4 - 20, 144.0))::DOUBLE AS months FROM lineitem WHERE l_orderkey % 20 = 0")
-def _(s, d):
-    return trimmed(table(s, d, "lineitem").where("l_orderkey % 20 = 0"))
-
-
-@query("p23_trim_events_whole", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0.0, least(l_quantity * 4 - 20, 144.0))::DOUBLE AS months FROM lineitem")
+@query("p23_trim_events", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(0.0, least(l_quantity * 4 - 20, 144.0))::DOUBLE AS months FROM lineitem")
 def _(s, d):
     return trimmed(table(s, d, "lineitem"))
 
@@ -133,12 +118,7 @@ def scanner_dates(o):
     return o.select("o_orderkey", K.utc_text(K.scanner_date(F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss"))).alias("shown"))
 
 
-@query("p25_scanner_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders WHERE o_orderkey % 10 = 0")
-def _(s, d):
-    return scanner_dates(table(s, d, "orders").where("o_orderkey % 10 = 0"))
-
-
-@query("p25_scanner_dates_whole", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders")
+@query("p25_scanner_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC' AS shown FROM orders")
 def _(s, d):
     return scanner_dates(table(s, d, "orders"))
 
@@ -258,7 +238,11 @@ def _(s, d):
     return M.enrichment(B.tiles(s, d), "hpc_id", "flag").drop("p")
 
 
-@query("m9_hypergeometric")
+CHOOSE = "lgamma({a} + 1.0) - lgamma({b} + 1.0) - lgamma({a} - {b} + 1.0)"
+
+
+@query("m9_hypergeometric", f"""WITH k AS (SELECT hpc_id, flag, count(*) AS k FROM tiles GROUP BY ALL), h AS (SELECT hpc_id, flag, k AS hits, CAST(sum(k) OVER (PARTITION BY hpc_id) AS BIGINT) AS drawn, CAST(sum(k) OVER (PARTITION BY flag) AS BIGINT) AS good, CAST(sum(k) OVER () AS BIGINT) AS whole FROM k),
+    i AS (SELECT *, unnest(range(hits, least(drawn, good) + 1)) AS i FROM h) SELECT hpc_id, flag, hits, drawn, good, whole, round(least(1.0::DOUBLE, sum(exp({CHOOSE.format(a='good', b='i')} + {CHOOSE.format(a='(whole - good)', b='(drawn - i)')} - ({CHOOSE.format(a='whole', b='drawn')})))), 9) AS p FROM i WHERE drawn - i <= whole - good GROUP BY ALL""")
 def _(s, d):
     return M.enrichment(B.tiles(s, d), "hpc_id", "flag")
 
@@ -299,12 +283,7 @@ def _(s, d):
     return M.cox(p, "time", "event", ["x", "y"], F.pmod(F.col("id"), F.lit(5))).select("fold", "feature", F.round("coef", 6).alias("coef"), F.round("se", 6).alias("se"))
 
 
-@query("m18_c_index", f"WITH {PEOPLE} SELECT round(avg(CASE WHEN a.y > b.y THEN 1.0 WHEN a.y = b.y THEN 0.5 ELSE 0.0 END), 6) AS c_index, count(*) AS pairs FROM people a JOIN people b ON a.event = 1 AND a.time < b.time WHERE a.id % 5 = 0 AND b.id % 5 = 0")
-def _(s, d):
-    return M.c_index(people(s, d).where("id % 5 = 0"), "time", "event", "y", "id")
-
-
-@query("m18_c_index_whole", f"WITH {PEOPLE}, g AS (SELECT time, y, count(*) AS n, sum(event) AS e FROM people GROUP BY time, y) SELECT round(sum(a.e * b.n * CASE WHEN a.y > b.y THEN 1.0 WHEN a.y = b.y THEN 0.5 ELSE 0.0 END)::DOUBLE / sum(a.e * b.n)::DOUBLE, 6) AS c_index, CAST(sum(a.e * b.n) AS BIGINT) AS pairs FROM g a JOIN g b ON a.time < b.time")
+@query("m18_c_index", f"WITH {PEOPLE}, g AS (SELECT time, y, count(*) AS n, sum(event) AS e FROM people GROUP BY time, y) SELECT round(sum(a.e * b.n * CASE WHEN a.y > b.y THEN 1.0 WHEN a.y = b.y THEN 0.5 ELSE 0.0 END)::DOUBLE / sum(a.e * b.n)::DOUBLE, 6) AS c_index, CAST(sum(a.e * b.n) AS BIGINT) AS pairs FROM g a JOIN g b ON a.time < b.time")
 def _(s, d):
     return M.c_index(people(s, d), "time", "event", "y", "id")
 

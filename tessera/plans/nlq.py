@@ -102,7 +102,7 @@ def slide_ids(text: str, slides: set[str], least: float = 90.0) -> list[str]:
 
 
 def title_matches(asked: DataFrame, titles: DataFrame, least: float = 80.0, most: int = 10_000) -> DataFrame:
-    """Q3: the cluster whose title is closest to a text, in Arrow batches; titles are one row a cluster. More than ``most`` are refused."""
+    """Q3: the cluster whose title is closest to a text: distinct texts are scored once, in Arrow batches. Titles are one row a cluster; more than ``most`` are refused."""
     found = titles.select("hpc_title", "hpc_id").limit(most + 1).collect()
     if len(found) > most:
         raise ValueError(f"more than {most} titles")
@@ -116,7 +116,8 @@ def title_matches(asked: DataFrame, titles: DataFrame, least: float = 80.0, most
 
         return text.map(lambda t: one(t or "")).astype("Int32")
 
-    return asked.withColumn("hpc_id", best("q"))
+    scored = asked.select("q").distinct().withColumn("hpc_id", best("q"))
+    return asked.join(scored.withColumnRenamed("q", "_q"), F.col("q").eqNullSafe(F.col("_q")), "left").drop("_q")
 
 
 def needs_data(p: Plan) -> bool:

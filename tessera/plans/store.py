@@ -43,22 +43,12 @@ def titles(s, t):
     return text.decode(t, B.dictionary(s).where("hpc_title is not null"), "hpc_id").select("slide_tile", "hpc_title")
 
 
-@query("s7_decode_categories", "SELECT t.slide_tile, d.hpc_title FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id WHERE t.run % 11 = 0")
-def _(s, d):
-    return titles(s, B.tiles(s, d).where("run % 11 = 0"))
-
-
-@query("s7_decode_categories_whole", "SELECT t.slide_tile, d.hpc_title FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id")
+@query("s7_decode_categories", "SELECT t.slide_tile, d.hpc_title FROM tiles t LEFT JOIN dictionary d ON t.hpc_id = d.hpc_id")
 def _(s, d):
     return titles(s, B.tiles(s, d))
 
 
-@query("s8_image_index", "SELECT slide_tile, row_number() OVER (ORDER BY slide_tile) - 1 AS image_index FROM tiles WHERE hpc_id < 5")
-def _(s, d):
-    return text.with_index(B.tiles(s, d).where("hpc_id < 5").select("slide_tile"), "slide_tile")
-
-
-@query("s8_image_index_whole", "SELECT slide_tile, row_number() OVER (ORDER BY slide_tile) - 1 AS image_index FROM tiles")
+@query("s8_image_index", "SELECT slide_tile, row_number() OVER (ORDER BY slide_tile) - 1 AS image_index FROM tiles")
 def _(s, d):
     return text.with_index(B.tiles(s, d).select("slide_tile"), "slide_tile")
 
@@ -199,16 +189,11 @@ def _(s, d):
 LETTERS = ", ".join(f"max(CASE WHEN u.grid_col = t.grid_col + ({dx}) AND u.grid_row = t.grid_row + ({dy}) THEN u.hpc_id END) AS \"{k}\"" for k, (dx, dy) in X.LETTERS.items())
 
 
-@query("j20_letter_neighbours", f"SELECT t.slide_tile AS tile, {LETTERS} FROM first_tiles t LEFT JOIN first_tiles u ON u.slides = t.slides AND abs(u.grid_col - t.grid_col) <= 1 AND abs(u.grid_row - t.grid_row) <= 1 AND u.slide_tile <> t.slide_tile WHERE t.slides IN ('1', '2', '3') GROUP BY t.slide_tile")
-def _(s, d):
-    return X.letter_neighbours(X.first_occupants(B.tiles(s, d).where("slides in ('1', '2', '3')")))
-
-
 OFFSETS = ", ".join(f"('{k}', {dx}, {dy})" for k, (dx, dy) in X.LETTERS.items())
 BY_LETTER = ", ".join(f"max(u.hpc_id) FILTER (WHERE o.k = '{k}') AS \"{k}\"" for k in X.LETTERS)
 
 
-@query("j20_letter_neighbours_whole", f"SELECT t.slide_tile AS tile, {BY_LETTER} FROM first_tiles t CROSS JOIN (VALUES {OFFSETS}) o(k, dx, dy) LEFT JOIN first_tiles u ON u.slides = t.slides AND u.grid_col = t.grid_col + o.dx AND u.grid_row = t.grid_row + o.dy GROUP BY t.slide_tile")
+@query("j20_letter_neighbours", f"SELECT t.slide_tile AS tile, {BY_LETTER} FROM first_tiles t CROSS JOIN (VALUES {OFFSETS}) o(k, dx, dy) LEFT JOIN first_tiles u ON u.slides = t.slides AND u.grid_col = t.grid_col + o.dx AND u.grid_row = t.grid_row + o.dy GROUP BY t.slide_tile")
 def _(s, d):
     return X.letter_neighbours(X.first_occupants(B.tiles(s, d)))
 
@@ -328,12 +313,7 @@ def _(s, d):
     return rollup.datasets(B.runs(s, d))
 
 
-@query("a41_coarse_state", "SELECT dataset % 50 AS dataset, CASE WHEN bool_or(state = 'running') THEN 'running' WHEN bool_or(state = 'pending') THEN 'pending' WHEN bool_or(state = 'failed') THEN 'failed' ELSE 'complete' END AS state FROM runs WHERE submission_id % 40 = 0 GROUP BY 1")
-def _(s, d):
-    return B.runs(s, d).where("submission_id % 40 = 0").groupBy((F.col("dataset") % 50).alias("dataset")).agg(rollup.coarse_state().alias("state"))
-
-
-@query("a41_coarse_state_whole", "SELECT dataset, CASE WHEN bool_or(state = 'running') THEN 'running' WHEN bool_or(state = 'pending') THEN 'pending' WHEN bool_or(state = 'failed') THEN 'failed' ELSE 'complete' END AS state FROM runs GROUP BY dataset")
+@query("a41_coarse_state", "SELECT dataset, CASE WHEN bool_or(state = 'running') THEN 'running' WHEN bool_or(state = 'pending') THEN 'pending' WHEN bool_or(state = 'failed') THEN 'failed' ELSE 'complete' END AS state FROM runs GROUP BY dataset")
 def _(s, d):
     return B.runs(s, d).groupBy("dataset").agg(rollup.coarse_state().alias("state"))
 

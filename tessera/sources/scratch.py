@@ -9,20 +9,33 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset (a single machine, as in tests)."""
+    """The folder named by spark.checkpoint.dir; one of our own only where that is unset and Spark runs on a single machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="tessera-"))
     return f"file://{_own[0]}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the scratch tables that this process has made, and says how many: call it when no frame that reads them is needed any more."""
+    n = len(_made)
+    while _made:
+        remove(spark, _made.pop())
+    return n
 
 
 @contextmanager

@@ -34,10 +34,14 @@ def insert_once(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     return target.unionByName(new.dropDuplicates(keys).join(target, keys, "left_anti"))
 
 
+def collisions(target: DataFrame, new: DataFrame, key: str, scope: str, dataset: str) -> DataFrame:
+    """Rows of other datasets whose keys a load would take."""
+    return target.where(F.col(scope) != dataset).join(new.select(key), key, "left_semi")
+
+
 def register(target: DataFrame, new: DataFrame, key: str, scope: str, dataset: str, replace: bool = False) -> DataFrame:
     """Adds a dataset's rows; refuses keys that another dataset holds; ``replace`` drops its old rows first."""
-    foreign = target.where(F.col(scope) != dataset).join(new.select(key), key, "left_semi")
-    require_empty(foreign, "keys of another dataset")
+    require_empty(collisions(target, new, key, scope, dataset), "keys of another dataset")
     old = target.where(F.col(scope) != dataset) if replace else target
     return old.unionByName(new.join(old.select(key), key, "left_anti"))
 
@@ -48,14 +52,19 @@ def stale(names: DataFrame, now: int, hours: int = 24, col: str = "name") -> Dat
     return names.where(epoch < now - 3600 * hours)
 
 
+def other_identity(done: DataFrame, identity: str) -> DataFrame:
+    """What was done under other settings, which a resumed run must not take over."""
+    return done.where(~F.col("identity").eqNullSafe(F.lit(identity)))
+
+
 def pending_ranges(ranges: DataFrame, done: DataFrame, identity: str) -> DataFrame:
     """Ranges that still have to run; what was done under another identity refuses."""
-    require_empty(done.where(F.col("identity") != identity), "done under other settings")
+    require_empty(other_identity(done, identity), "done under other settings")
     return ranges.join(done, ["lo", "hi"], "left_anti")
 
 
 def commit(df: DataFrame, path: str, expected: int | None = None) -> int:
-    """Writes beside ``path``, checks the count of what was written, then puts it in its place by renames."""
+    """Writes beside ``path``, checks the count of what was written, then puts it in its place by renames; between two of them a reader finds no table."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     new, old = f"{path}.new", f"{path}.old"

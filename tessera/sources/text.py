@@ -21,6 +21,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "")
 
 
+def read_slide_tables(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """One table a slide, in folders slides=<id>, as one frame with the slide's id as text."""
+    return spark.read.schema(f"{fields}, slides string").csv(path, header=True)
+
+
+def file_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Path, size and time of the files below a folder, with the slide that each name stands for; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"), slide_id_from_path(F.col("path")).alias("slide_id"))
+
+
 def cluster_column(columns: list[str]) -> str:
     """The only column that isn't a known one."""
     other = [c for c in columns if c not in KNOWN]

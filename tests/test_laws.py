@@ -193,3 +193,48 @@ def test_stream_matches_batch(spark, vectors, tmp_path):
     got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("row_id", "label").collect()))
     want = knn.classify(knn.neighbours(asks, refs, 9), **knn.resolve_vote("tuned", k=5, adaptive_k=9))
     assert got == sorted(map(tuple, want.select("row_id", "label").collect()))
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from tessera.sources import scratch
+
+    df, path = scratch.written(spark.range(5), "cleared")
+    assert df.count() == 5 and scratch.clear(spark) >= 1
+    with pytest.raises(Exception, match="(?i)path.*not.*exist"):
+        spark.read.parquet(path)
+
+
+def test_one_search_serves_both_votes(vectors):
+    asks, refs, *_ = vectors
+    out = knn.classify(knn.neighbours(asks, refs, 25), **knn.resolve_vote("tuned"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1
+
+
+def test_exclude_self_and_copies(spark):
+    rows = [(i, i % 2, [float(i // 3), 1.0]) for i in range(9)]
+    asks, refs = spark.createDataFrame(rows, "row_id long, truth int, vec array<double>"), spark.createDataFrame(rows, "ref_id long, code int, vec array<double>")
+    got = {(r.row_id, r["rank"]): (r.ref_id, r.d2) for r in knn.neighbours(asks, refs, 3, exclude_self=True, blocks=2).collect()}
+    for i in range(9):
+        others = sorted(((float(i // 3) - float(j // 3)) ** 2, j) for j in range(9) if j != i)[:3]
+        assert [got[i, k] for k in (1, 2, 3)] == [(j, d) for d, j in others]
+    assert knn.neighbours(asks, refs.where("ref_id = 4"), 3, exclude_self=True).where("row_id = 4").count() == 0
+
+
+def test_cluster_quality_by_brute_force(vectors):
+    _, refs, _, r = vectors
+    x, c = np.array([v for *_, v in r]), np.array([code for _, code, _ in r])
+    m = np.array([x[c == k].mean(0) for k in range(6)])
+    within = np.array([((x[c == k] - m[k]) ** 2).sum() for k in range(6)])
+    spread = np.array([np.sqrt(((x[c == k] - m[k]) ** 2).sum(1)).mean() for k in range(6)])
+    between = sum((c == k).sum() * ((m[k] - x.mean(0)) ** 2).sum() for k in range(6))
+    dbi = np.mean([max((spread[i] + spread[j]) / np.linalg.norm(m[i] - m[j]) for j in range(6) if j != i) for i in range(6)])
+    got = knn.cluster_quality(refs, "x").first()
+    assert abs(got.vrc - between / 5 / (within.sum() / (600 - 6))) < 1e-5 and abs(got.dbi - dbi) < 1e-5 and got.clusters == 6
+
+
+def test_logit_finds_the_sign(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i % 3, float(x), float(y), int(x - 0.2 * y + rng.normal(0, 0.3) > 0)) for i, (x, y) in enumerate(rng.normal(size=(240, 2)))]
+    got = M.logit(spark.createDataFrame(rows, "fold int, x double, y double, label int"), "label", ["x", "y"], "fold").collect()
+    assert len(got) == 6 and min(r.accuracy for r in got) > 0.8 and min(r.auc for r in got) > 0.9
