@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.arrow import slices
+from tessera.sources.scratch import remove, written
 
 UNKNOWN = "und"
 #: Fixed ranges of code points by script (first, last, script); letters outside all of them are "Other".
@@ -21,8 +22,10 @@ SCRIPTS = (
 _starts = np.array([a for a, _, _ in SCRIPTS])
 #: Chance of a gram that a language's sample lacks; alike for all languages, so that small samples aren't favoured.
 FLOOR = 1e-6
-#: Words whose scores a task remembers.
-REMEMBERED = 300_000
+#: Words whose scores a task remembers, and languages that a model may have.
+REMEMBERED, MOST_LANGS = 300_000, 1000
+#: Grams of a model, of all languages.
+MOST_GRAMS = 1_000_000
 
 
 def script_of(word: str) -> str:
@@ -130,20 +133,31 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([*cols, pa.array([found[k] for k in keys], pa.int64())], ["lang", "gram", "script", "n"])
 
 
-def fit(docs: DataFrame, max_docs: int = 6000, max_grams: int = 100_000, penalty: float = 10.0, foreign: float = 30.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(docs: DataFrame, max_docs: int = 1500, max_grams: int = 25_000, penalty: float = 10.0, foreign: float = 30.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the text and language of documents that aren't held out.
 
-    The sample is bounded: about ``max_docs`` whole documents, chosen by a hash of the row. Its grams are counted in
-    the cluster, and the ``max_grams`` most frequent ones make the model, which therefore fits any task. A language
-    uses a script if at least 1 % of its letters are of it.
+    The sample is bounded by language: about ``max_docs`` whole documents of each, chosen by a hash of id and text, so a
+    rare language is learned at any size. Its grams are counted in the cluster, and the ``max_grams`` most frequent ones
+    of each language (fewer, where there are so many languages that MOST_GRAMS would be passed) make the model, which
+    therefore fits any task; more than MOST_LANGS languages are refused. A language uses a script if at least 1 % of its
+    letters are of it.
     """
     src = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    src = src.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(1 << 30)).alias("h"))
-    n = src.count()
-    sample = src.where(F.col("h") < int((1 << 30) * min(1.0, max_docs / max(n, 1)))).select("text", "lang")
+    src = src.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30)).alias("h"))
+    n = src.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(n) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    spark = docs.sparkSession
+    taken = spark.createDataFrame([(r.lang, int((1 << 30) * min(1.0, max_docs / r.n))) for r in n], "lang string, below long")
+    sample = src.join(F.broadcast(taken), "lang").where("h < below").select("text", "lang")
     counts = sample.mapInArrow(_count_grams, "lang string, gram string, script string, n long").groupBy("lang", "gram", "script").agg(F.sum("n").alias("n"))
+    counts, path = written(counts, "grams")
     by_script = counts.where("gram = ''").collect()
-    by_gram = counts.where("gram <> ''").groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"), F.sum("n").alias("all")).orderBy(F.desc("all"), "gram").limit(max_grams).collect()
+    most = min(max_grams, MOST_GRAMS // max(1, len(n)))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    kept = counts.where("gram <> ''").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most).select("gram").distinct()
+    by_gram = counts.where("gram <> ''").join(kept, "gram", "left_semi").groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n")).orderBy("gram").collect()
+    remove(spark, path)
     langs = sorted({r.lang for r in by_script})
     number = {x: i for i, x in enumerate(langs)}
     logs = np.zeros((len(by_gram) + 1, len(langs)))

@@ -50,3 +50,16 @@ def test_awkward_rows(spark):
     none = df.limit(0)
     assert langid.identify(none, langid.fit(none)).count() == 0
     assert {r.lang_pred for r in langid.identify(df, langid.fit(none)).collect()} == {"und"}
+
+
+def test_rare_language_short_and_long_texts(spark):
+    rng = random.Random(4)
+    say = lambda lang, n: " ".join(rng.choice(WORDS[lang]) for _ in range(n))
+    rows = [(i, say("en", 20), "en") for i in range(2000)] + [(5000 + i, say("fr", 20), "fr") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, max_docs=50)
+    assert model.langs == ["en", "fr"]
+    asks = [(i, say(lang, n), lang) for i, (lang, n) in enumerate([(x, n) for x in ("en", "fr") for n in (1, 2, 3, 400_000) for _ in range(20 if n < 9 else 1)])]
+    got = langid.identify(spark.createDataFrame(asks, "doc_id long, text string, lang string"), model, ("doc_id", "lang")).collect()
+    right = {n: [r.lang_pred == r.lang for r in got if len(asks[r.doc_id][1].split()) == n] for n in (1, 2, 3, 400_000)}
+    assert all(right[400_000]) and sum(right[3]) >= 36 and sum(right[1]) >= 30
