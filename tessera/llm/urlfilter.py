@@ -25,52 +25,62 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
-def host_key(host: Column) -> Column:
-    """The host's labels from right to left, each closed by a zero: a host and its subdomains are then one interval of keys, those that start with the host's."""
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "\x00"), F.lit("\x00"))
+#: What closes a label, opens the path and stands for a zero byte of a host in canonical keys.
+END, PATH, ZERO = "\x00\x00", "\x00\x01", "\x00\x02"
+
+
+def labels(host: Column) -> Column:
+    """The host's labels from right to left."""
+    return F.reverse(F.split(F.replace(host, F.lit("\x00"), F.lit(ZERO)), r"\.", -1))
+
+
+def canonical(names: Column, path: Column) -> Column:
+    """One key for a host (its labels from right to left) and a path: the rules of a host whose paths are prefixes of a
+    path are those whose keys are prefixes of its key, so each rule is an interval of keys, and intervals nest or are apart."""
+    return F.concat(F.array_join(names, END), F.lit(END + PATH), path)
 
 
 def openings(rules: DataFrame) -> DataFrame:
-    """key, stack: where an interval opens, and all rules active there, the enclosing ones included.
+    """key, stack: where an interval opens, and the rules active there: its own and those that enclose it.
 
-    Intervals of prefixes nest or are apart. So a sweep's stack at any key is found in the stack of the last interval
-    that opened before it: rules whose interval has closed since are those that the key does not start with.
+    Intervals nest or are apart. So a sweep's stack at any key is found in the stack of the last interval that opened
+    before it: rules whose interval has closed since are those that the key does not start with. A stack is as deep as
+    paths of one host nest, however many rules the host has.
     """
-    own = rules.select("verdict", "host", "path").distinct().withColumn("key", host_key(F.col("host")))
-    entry = F.struct("key", "path", "host", "verdict")
-    at = own.groupBy("key").agg(F.collect_list(entry).alias("rules"))
-    labels = F.split(F.expr("left(key, length(key) - 1)"), "\x00", -1)
-    ends = F.sequence(F.lit(1), F.size(labels))
-    prefixes = F.transform(ends, lambda n: F.concat(F.array_join(F.slice(labels, F.lit(1), n), "\x00"), F.lit("\x00")))
-    within = at.select("key", F.explode(prefixes).alias("outer"))
-    stacks = within.join(at.select(F.col("key").alias("outer"), "rules"), "outer").groupBy("key").agg(F.flatten(F.collect_list("rules")).alias("stack"))
-    return stacks
-
-
-def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", sweeps: int = 64, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    own = rules.select("verdict", "host", "path").distinct().withColumn("names", labels(F.col("host")))
+    entry = F.struct(canonical(F.col("names"), F.col("path")).alias("key"), "host", "path", "verdict")
+    at = own.groupBy(canonical(F.col("names"), F.col("path")).alias("outer")).agg(F.collect_list(entry).alias("rules"))
+    prefixes = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: canonical(F.col("names"), F.substring(F.col("path"), F.lit(1), n)))
+    within = own.select(canonical(F.col("names"), F.col("path")).alias("key"), F.explode(prefixes).alias("outer")).distinct()
+    return within.join(at, "outer").groupBy("key").agg(F.flatten(F.collect_list("rules")).alias("stack"))
+
+
+def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", sweeps: int | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict for each URL; the longest fitting rule (host and path) decides, then the longer host.
 
-    Reversed hosts turn rules into intervals of keys. URLs are dealt over ``sweeps`` sorted sweeps by a hash of the
-    whole row, so a host with a third of all URLs is spread over all of them; the openings of intervals, which are as
-    many as there are rules, go into each. A sweep hands every URL the stack of the last opening before it.
+    Canonical keys turn rules into intervals. A URL looks for the rules of its host and of each domain above it, so it has
+    a key for each. Keys are dealt over ``sweeps`` sorted sweeps (by default as many as shuffle partitions, 64 at least)
+    by a hash of the row, so a host with a third of all URLs is spread over all of them; the openings of intervals, which
+    are as many as there are rules, go into each. A sweep hands every key the stack of the last opening before it; of
+    the rules that have not closed since, the deepest is the best for that domain. The domains' best meet by row.
 
     Null URLs and those without ``://`` have an empty host and path, fit no rule and take ``default``. A repeated row
     comes back each time. Empty tables are allowed on both sides. Further columns are ignored.
     """
-    urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
-    urls = urls.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    urls = urls.withColumn("key", host_key(F.col("host"))).withColumn("sweep", F.pmod(F.xxhash64("page_id", "path", "host"), F.lit(sweeps)))
-    opened = openings(rules)
-    opened = opened.withColumn("sweep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sweeps - 1).cast("long"))))
-    stack = opened.schema["stack"].dataType
-    events = urls.select("sweep", "key", F.lit(1).alias("kind"), "page_id", "host", "path", F.lit(None).cast(stack).alias("stack")).unionByName(
-        opened.select("sweep", "key", F.lit(0).alias("kind"), F.lit(None).cast(urls.schema["page_id"].dataType).alias("page_id"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), "stack")
+    sweeps = sweeps or max(64, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    row = ["page_id", "host", "path"]
+    urls = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).withColumn("names", labels(F.col("host")))
+    keys = F.transform(F.sequence(F.lit(1), F.size("names")), lambda n: canonical(F.slice("names", F.lit(1), n), F.col("path")))
+    asked = urls.select(*row, F.size("names").alias("domains"), F.explode(keys).alias("key")).withColumn("sweep", F.pmod(F.xxhash64(*row), F.lit(sweeps)))
+    opened = openings(rules).withColumn("sweep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sweeps - 1).cast("long"))))
+    none = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in (*row, "domains")]
+    events = asked.select("sweep", "key", F.lit(1).alias("kind"), *row, "domains", F.lit(None).cast(opened.schema["stack"].dataType).alias("stack")).unionByName(
+        opened.select("sweep", "key", F.lit(0).alias("kind"), *none, "stack")
     )
     order = Window.partitionBy("sweep").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = events.withColumn("stack", F.last("stack", ignorenulls=True).over(order)).where("kind = 1")
-    fits = F.filter("stack", lambda r: F.startswith(F.col("key"), r.key) & F.startswith(F.col("path"), r.path))
-    ranked = F.transform(fits, lambda r: F.struct((F.length(r.host) + F.length(r.path)).alias("size"), F.length(r.host).alias("host_size"), r.host.alias("host"), r.path.alias("path"), r.verdict.alias("verdict")))
-    best = F.array_max(ranked)
-    return swept.withColumn("best", best).select(
-        "page_id", "host", "path", F.concat("best.host", "best.path").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
-    )
+    active = F.filter("stack", lambda r: F.startswith(F.col("key"), r.key))
+    best = F.array_max(F.transform(active, lambda r: F.struct((F.length(r.host) + F.length(r.path)).alias("size"), F.length(r.host).alias("host_size"), r.host.alias("host"), r.path.alias("path"), r.verdict.alias("verdict"))))
+    met = swept.select(*row, "domains", best.alias("best")).groupBy(*row).agg(F.max("best").alias("best"), (F.count("*") / F.first("domains")).cast("int").alias("copies"))
+    out = met.select(*row, F.concat("best.host", "best.path").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.drop("col")

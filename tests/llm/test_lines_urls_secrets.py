@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -52,6 +53,24 @@ def test_urls_match_brute_force(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id int, url string"), rules).count() == 0
 
 
+def test_nested_paths_and_a_hot_host(spark):
+    rng = random.Random(8)
+    hosts = ["hot.org", "a.hot.org", "b.a.hot.org", "org", "x\x00org", "hot\x00.org", "other.net"]
+    paths = ["/", "/a", "/a/", "/a/b", "/a/b/c/", "/ab", "", "/é/"]
+    said = [(rng.choice(["allow", "block"]), h, p) for h in hosts[:4] for p in paths if rng.random() < 0.7] + [("block", "hot.org", f"/p{i}/") for i in range(300)]
+    rows = [(i % 400, f"http://{rng.choice(hosts[:2] * 3 + hosts)}{rng.choice([*paths, '/p7/x', '/p299/', '/a/b/c/d?q', '/é/z'])}") for i in range(900)]
+    got = urlfilter.judge(spark.createDataFrame(rows, "page_id int, url string"), spark.createDataFrame(said, "verdict string, host string, path string"), sweeps=3).collect()
+    want = []
+    for i, u in rows:
+        m = re.search(r"://([^/?#]*)([^?#]*)", u)
+        fits = [(len(h + p), len(h), h, p, v) for v, h, p in said if (m[1] == h or m[1].endswith("." + h)) and m[2].startswith(p)]
+        *_, h, p, v = max(fits, default=(None, None, "allow"))
+        want.append((i, m[1], m[2], h + p if p is not None else None, v))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    plan = urlfilter.openings(spark.createDataFrame(said, "verdict string, host string, path string")).collect()
+    assert max(len(r.stack) for r in plan) <= 8
+
+
 def test_secrets_match_brute_force(spark):
     rows = documents()
     want = {}
@@ -75,3 +94,20 @@ def test_trigrams():
     query = secretscan.trigram_query(secretscan.Rule("x", "(pass|to)word.*[a-z]+", 0))
     assert query == [frozenset({"pas", "ass", "ssw", "swo", "wor", "ord"}), frozenset({"tow", "owo", "wor", "ord"})]
     assert secretscan.trigram_query(secretscan.Rule("x", "a?bc*d")) is None
+
+
+def test_other_rules_repeats_and_very_long_texts(spark):
+    own = (secretscan.Rule("pin", r"pin-[0-9]{4}"), secretscan.Rule("any", r"Q[0-9]"))  # the second has no trigram
+    long = "word " * 700_000 + "pin-1234 " + "x" * 1000 + " Q7"
+    rows = [(None, "pin-0000 Q1"), (None, "pin-0000 Q1"), (1, long), (2, None), (3, "pin-12")]
+    got = sorted((str(r[0]), r[1]) for r in secretscan.scan(spark.createDataFrame(rows, "doc_id long, text string"), own).select("doc_id", secretscan.joined(F.col("spans"))).collect())
+    at = long.index("pin-1234")
+    assert got == [("1", f"pin:{at}:{at + 8},any:{len(long) - 2}:{len(long)}"), ("2", ""), ("3", ""), ("None", "pin:0:8,any:9:11"), ("None", "pin:0:8,any:9:11")]
+
+
+def test_very_long_texts_keep_their_lines(spark):
+    line = "a line that both hold"
+    long = "\n".join([line, *(f"line {i} of the first" for i in range(200_000))])
+    rows = [(2, long), (1, line), (3, "z" * (3 << 20))]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, len(r.kept)) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 0, len(line)), 2: (200_001, 1, len(long) - len(line) - 1), 3: (1, 0, 3 << 20)}
