@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.linededup import LOWER, UPPER
+from tessera.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -124,7 +125,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "
     index; only they are searched for the rule's matches. Rules that need no trigram search every text.
 
     Postings are at most one row a document and trigram, so a trigram in all documents is no hot key: the lists are
-    intersected by document. Null texts count as empty; repeated rows each come back, as does a null doc_id. An empty
+    intersected by document; what they come to is written to the shared folder. Null texts count as empty; repeated rows each come back, as does a null doc_id. An empty
     table gives an empty result, and further columns are ignored.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
@@ -135,6 +136,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "
         held = postings(base, grams).groupBy("row").agg(F.collect_set("gram").alias("held"))
         test = {k: None if sets is None else _any([_all([F.array_contains("held", number[g]) for g in sorted(s)]) for s in sets]) for k, sets in asked.items()}
         fits = held.select("row", F.filter(F.array(*(F.when(c, F.lit(k)) for k, c in test.items() if c is not None)), lambda x: x.isNotNull()).alias("fits")).where(F.size("fits") > 0)
+        # written, so that Spark knows its size: if that is within its limit for broadcasts, no text is shuffled to meet it
+        fits, _ = written(fits, "secret-fits")
         base = base.join(fits, "row", "left")
     else:
         base = base.withColumn("fits", F.array().cast("array<string>"))
