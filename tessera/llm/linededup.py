@@ -24,9 +24,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
 
     A line's key is the stripped, lower-cased line. A key of ``min_chars`` code points or more that ``min_docs``
     documents hold loses all its lines but those of the smallest doc_id that holds it. Keys meet by two 64-bit hashes.
-    Counting combines before the shuffle, so a line in a third of all documents is one row a task there; in the join
-    back only (document, position, hash) moves, and adaptive execution splits the partition of such a line. Texts
-    move once, to meet the positions they lose.
+    Lines' hashes are written to the shared folder once, for the count and for the join back. Counting combines before
+    the shuffle, so a line in a third of all documents is one row a task there; in the join back only (document,
+    position, hash) moves, and adaptive execution splits the partition of such a line. Texts move once, to meet the
+    positions they lose.
 
     A null or empty text is one empty line. Rows with one doc_id count as one document (of repeated rows both come
     back). A null doc_id counts as the largest. An empty table gives an empty result; further columns are ignored.
@@ -39,6 +40,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
         .where(F.char_length("key") >= min_chars)
         .select("of", "row", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(min_chars), "key").alias("h2"))
     )
+    lines, _ = written(lines, "lines")  # texts are split and hashed once, for the count and for the join back
     if min_docs == 2:
         shared = lines.groupBy("h1", "h2").agg(F.min("of").alias("first"), F.max("of").alias("last")).where("first < last")
     else:
