@@ -28,7 +28,7 @@ MOST_SOURCES, LEAST = 100_000, 1 << 20
 #: Weights are integers of about so many bits, slots of a period at least so many.
 BITS, PERIOD = 62, 1024
 #: Rows of a source that one task ranks, about, and bytes of slots that may be broadcast.
-RANKED, BROADCAST = 100_000, 64 << 20
+RANKED, BROADCAST = 100_000, 32 << 20
 
 
 def period(quota: dict[int, int]) -> list[int]:
