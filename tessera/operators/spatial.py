@@ -1,7 +1,5 @@
 """Grid adjacency and radius joins."""
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,29 +140,16 @@ def q_statistic(cells: DataFrame, quadrats: int = 10, group: str = "core") -> Da
     return n.groupBy(group, "all").agg((F.sum((F.col("n") - mean) ** 2 / mean) + (quadrats * quadrats - F.count("*")) * mean).alias("q")).select(group, F.round("q", 6).alias("q"))
 
 
-def _dbscan(eps: float, least: int):
-    def over(pdf: pd.DataFrame) -> pd.DataFrame:
-        xy = pdf[["x", "y"]].to_numpy(float)
-        square = np.floor(xy / eps).astype(int)
-        at: dict[tuple[int, int], list[int]] = {}
-        for i, s in enumerate(map(tuple, square.tolist())):
-            at.setdefault(s, []).append(i)
-        core = np.zeros(len(xy), bool)
-        near = []
-        for i, (sx, sy) in enumerate(square.tolist()):
-            others = np.array([k for dx in (-1, 0, 1) for dy in (-1, 0, 1) for k in at.get((sx + dx, sy + dy), ())])
-            found = others[((xy[others] - xy[i]) ** 2).sum(1) <= eps * eps]
-            near.append(found)
-            core[i] = len(found) >= least
-        noise = [not core[f].any() for f in near]
-        return pd.DataFrame({"core": [pdf["core"].iloc[0]], "n": [len(xy)], "noise": [int(np.sum(noise))]})
-
-    return over
-
-
-def dbscan_noise(cells: DataFrame, eps: float = 10.0, least: int = 4) -> DataFrame:
-    """Points and noise points of each core: those with no core point within eps. A core is one tissue sample, so its points fit a task."""
-    return cells.select("core", "x", "y").groupBy("core").applyInPandas(_dbscan(eps, least), "core string, n long, noise long")
+def dbscan_noise(cells: DataFrame, eps: float = 10.0, least: int = 4, group: str = "core") -> DataFrame:
+    """Cells and noise cells of each core: those with no dense cell within eps, where a dense one has ``least`` cells
+    there, itself included. Pairs come from the radius join, so a large core is as many tasks' work as any."""
+    pairs = radius_pairs(cells, cells, eps, group).select(group, "a", "b")
+    dense = pairs.groupBy(group, F.col("a").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") + 1 >= least).select(group, "b")
+    if least <= 1:
+        dense = cells.select(group, F.col("cell").alias("b"))
+    reached = pairs.join(dense, [group, "b"], "left_semi").select(group, F.col("a").alias("cell")).unionAll(dense.select(group, F.col("b").alias("cell"))).distinct()
+    j = cells.select(group, "cell").join(reached.withColumn("_in", F.lit(True)), [group, "cell"], "left")
+    return j.groupBy(group).agg(F.count("*").alias("n"), F.count_if(F.col("_in").isNull()).alias("noise"))
 
 
 def coarse(df: DataFrame, by: int, x: str, y: str, *values: str, group: str = "slides") -> DataFrame:

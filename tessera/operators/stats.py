@@ -1,4 +1,4 @@
-"""Statistics: ranks, correlations, tests, survival (M6 to M12, M17 to M22, R8, R10 to R13; of R10 the fits, not the search over penalties)."""
+"""Statistics: ranks, correlations, tests, survival."""
 
 import math
 
@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import written
 from tessera.sources.text import with_index
 
 
@@ -201,6 +202,29 @@ def cox(df: DataFrame, time: str, event: str, cols: list[str], fold: Column | No
     return src.groupBy("fold").applyInPandas(_cox(cols, ridge), "fold int, feature string, coef double, se double")
 
 
+def cross_validated(df: DataFrame, time: str, event: str, cols: list[str], fold: str, ridges: tuple[float, ...]) -> DataFrame:
+    """Ridge, fold, c_index: for each penalty, fits on all folds but one and the C-index of the fold left out. Rows are
+    dealt to the fits that they take part in; coefficients, one row a fold and feature, come back to the rows left out."""
+    k = sorted(r[0] for r in df.select(F.col(fold).cast("int")).distinct().collect())
+    others = F.filter(F.array(*map(F.lit, k)), lambda x: x != F.col(fold))
+    out = None
+    for ridge in ridges:
+        fits = cox(df.withColumn("_of", F.explode(others)), time, event, cols, F.col("_of"), ridge)
+        b = fits.groupBy(F.col("fold").alias("_f")).agg(*(F.max(F.when(F.col("feature") == c, F.col("coef"))).alias(f"_b_{c}") for c in cols))
+        scored = df.join(b, df[fold].cast("int") == b["_f"]).withColumn("_risk", sum((F.col(c) * F.col(f"_b_{c}") for c in cols), F.lit(0.0)))
+        scored, _ = written(scored.select(fold, time, event, "_f", "_risk"), "scored")  # fitted once, not once a fold
+        for i in k:
+            one = c_index(scored.where(F.col("_f") == i), time, event, "_risk", fold).select(F.lit(float(ridge)).alias("ridge"), F.lit(i).alias("fold"), "c_index", "pairs")
+            out = one if out is None else out.unionAll(one)
+    return out
+
+
+def best_ridge(table: DataFrame) -> DataFrame:
+    """The penalty with the highest mean C-index, the larger one if two are equal."""
+    mean = table.groupBy("ridge").agg(F.round(F.avg("c_index"), 6).alias("c_index"))
+    return mean.orderBy(F.desc("c_index"), F.desc("ridge")).limit(1)
+
+
 def _halves(rank: str, bits: str, out: str) -> Column:
     """A rank in every level of a binary tree: two ranks are in the two halves of one node exactly once, the smaller in half 0."""
     return F.explode(F.expr(f"transform(sequence(0, {bits} - 1), l -> struct(l, shiftright({rank}, l + 1) as node, shiftright({rank}, l) & 1 as half))")).alias(out)

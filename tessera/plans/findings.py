@@ -282,6 +282,13 @@ def _(s, d):
     return M.masked_correlation(B.tiles(s, d), [("hpc_id", "vote_margin"), ("grid_row", "hpc_id")])
 
 
+@query("r10_best_penalty")
+def _(s, d):
+    k = F.col("c_custkey")
+    c = table(s, d, "customer").select((k % 2).alias("fold"), ((k * 37) % 120 + 1).alias("time"), (k % 3 != 0).cast("int").alias("event"), (F.col("c_acctbal") / 10_000).alias("balance"), ((k * 37) % 120 / 120.0 + (k % 7) / 7.0).alias("marker"))
+    return M.best_ridge(M.cross_validated(c, "time", "event", ["balance", "marker"], "fold", (0.1, 100.0)))
+
+
 @query("r11_combined_risk", "WITH c AS (SELECT " + ", ".join(f"quantile_cont(c_acctbal, 0.5) FILTER (WHERE c_custkey % 5 <> {i}) AS c{i}" for i in range(5)) + " FROM customer), h AS (SELECT c_custkey, " + " + ".join(f"CASE WHEN c_acctbal > c{i} THEN 1 ELSE 0 END" for i in range(5)) + " AS n_high FROM customer, c) SELECT c_custkey, n_high, CASE WHEN n_high > 2 THEN 'high' ELSE 'low' END AS risk_group FROM h")
 def _(s, d):
     c = table(s, d, "customer").select("c_custkey", "c_acctbal", (F.col("c_custkey") % 5).alias("fold"))

@@ -238,3 +238,14 @@ def test_logit_finds_the_sign(spark):
     rows = [(i % 3, float(x), float(y), int(x - 0.2 * y + rng.normal(0, 0.3) > 0)) for i, (x, y) in enumerate(rng.normal(size=(240, 2)))]
     got = M.logit(spark.createDataFrame(rows, "fold int, x double, y double, label int"), "label", ["x", "y"], "fold").collect()
     assert len(got) == 6 and min(r.accuracy for r in got) > 0.8 and min(r.auc for r in got) > 0.9
+
+
+def test_penalties_are_compared_on_rows_left_out(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=200)
+    rows = [(i % 2, float(rng.exponential() * np.exp(-v)), 1, float(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "fold int, time double, event int, x double")
+    got = M.cross_validated(df, "time", "event", ["x"], "fold", (0.1,)).collect()
+    assert [(r.ridge, r.fold) for r in got] == [(0.1, 0), (0.1, 1)] and all(r.c_index < 0.35 or r.c_index > 0.65 for r in got)
+    table = spark.createDataFrame([(0.1, 0, 0.6), (0.1, 1, 0.8), (2.0, 0, 0.7), (2.0, 1, 0.7)], "ridge double, fold int, c_index double")
+    assert M.best_ridge(table).first().ridge == 2.0
