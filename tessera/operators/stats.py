@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import written
 from tessera.sources.text import with_index
 
 
@@ -202,21 +201,49 @@ def cox(df: DataFrame, time: str, event: str, cols: list[str], fold: Column | No
     return src.groupBy("fold").applyInPandas(_cox(cols, ridge), "fold int, feature string, coef double, se double")
 
 
+def _concordance(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The C-index of one fold: later rows wait in a tree of counts by rank of score."""
+    levels, rank = np.unique(pdf["risk"].to_numpy(float), return_inverse=True)
+    time, event = pdf["time"].to_numpy(float), pdf["event"].to_numpy(bool)
+    tree = [0] * (len(levels) + 1)
+
+    def below(i: int) -> int:
+        n = 0
+        while i:
+            n += tree[i]
+            i -= i & -i
+        return n
+
+    right, pairs, later = 0.0, 0, 0
+    order = np.argsort(-time, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(time[order])) + 1):
+        for x in rank[rows[event[rows]]].tolist():
+            low, upto = below(x), below(x + 1)
+            right += low + (upto - low) / 2
+            pairs += later
+        for x in rank[rows].tolist():
+            x += 1
+            while x <= len(levels):
+                tree[x] += 1
+                x += x & -x
+        later += len(rows)
+    return pd.DataFrame({"ridge": [pdf["ridge"].iloc[0]], "fold": [pdf["fold"].iloc[0]], "c_index": [right / pairs if pairs else None], "pairs": [pairs]})
+
+
 def cross_validated(df: DataFrame, time: str, event: str, cols: list[str], fold: str, ridges: tuple[float, ...]) -> DataFrame:
-    """Ridge, fold, c_index: for each penalty, fits on all folds but one and the C-index of the fold left out. Rows are
-    dealt to the fits that they take part in; coefficients, one row a fold and feature, come back to the rows left out."""
+    """Ridge, fold, c_index, pairs: for each penalty, fits on all folds but one and the C-index of the fold left out. Rows
+    are dealt to the fits that they take part in; coefficients, one row a fold and feature, come back to the rows left out."""
     k = sorted(r[0] for r in df.select(F.col(fold).cast("int")).distinct().collect())
     others = F.filter(F.array(*map(F.lit, k)), lambda x: x != F.col(fold))
     out = None
     for ridge in ridges:
         fits = cox(df.withColumn("_of", F.explode(others)), time, event, cols, F.col("_of"), ridge)
-        b = fits.groupBy(F.col("fold").alias("_f")).agg(*(F.max(F.when(F.col("feature") == c, F.col("coef"))).alias(f"_b_{c}") for c in cols))
-        scored = df.join(b, df[fold].cast("int") == b["_f"]).withColumn("_risk", sum((F.col(c) * F.col(f"_b_{c}") for c in cols), F.lit(0.0)))
-        scored, _ = written(scored.select(fold, time, event, "_f", "_risk"), "scored")  # fitted once, not once a fold
-        for i in k:
-            one = c_index(scored.where(F.col("_f") == i), time, event, "_risk", fold).select(F.lit(float(ridge)).alias("ridge"), F.lit(i).alias("fold"), "c_index", "pairs")
-            out = one if out is None else out.unionAll(one)
-    return out
+        b = fits.groupBy("fold").agg(*(F.max(F.when(F.col("feature") == c, F.col("coef"))).alias(f"_b_{c}") for c in cols))
+        rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(time).cast("double").alias("time"), F.col(event).cast("boolean").alias("event"), *(F.col(c).alias(f"_x_{c}") for c in cols))
+        risk = sum((F.col(f"_x_{c}") * F.col(f"_b_{c}") for c in cols), F.lit(0.0))
+        one = rows.join(b, "fold").select(F.lit(float(ridge)).alias("ridge"), "fold", "time", "event", risk.alias("risk"))
+        out = one if out is None else out.unionAll(one)
+    return out.groupBy("ridge", "fold").applyInPandas(_concordance, "ridge double, fold int, c_index double, pairs long")
 
 
 def best_ridge(table: DataFrame) -> DataFrame:

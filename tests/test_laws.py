@@ -245,7 +245,9 @@ def test_penalties_are_compared_on_rows_left_out(spark):
     x = rng.normal(size=200)
     rows = [(i % 2, float(rng.exponential() * np.exp(-v)), 1, float(v)) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "fold int, time double, event int, x double")
-    got = M.cross_validated(df, "time", "event", ["x"], "fold", (0.1,)).collect()
+    got = M.cross_validated(df, "time", "event", ["x"], "fold", (0.1,)).orderBy("fold").collect()
     assert [(r.ridge, r.fold) for r in got] == [(0.1, 0), (0.1, 1)] and all(r.c_index < 0.35 or r.c_index > 0.65 for r in got)
+    share = [M.c_index(df.where(f"fold = {f}"), "time", "event", "x", "fold").first().c_index for f in (0, 1)]
+    assert all(min(abs(r.c_index - s), abs(1 - r.c_index - s)) < 1e-6 for r, s in zip(got, share, strict=True))  # one feature orders as its coefficient does
     table = spark.createDataFrame([(0.1, 0, 0.6), (0.1, 1, 0.8), (2.0, 0, 0.7), (2.0, 1, 0.7)], "ridge double, fold int, c_index double")
     assert M.best_ridge(table).first().ridge == 2.0
