@@ -32,10 +32,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of their own, in the order of a hash of the text; of rows that repeat both, one stays, by a hash of the whole row.
     """
     by_text = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
-    key = F.struct(F.coalesce("doc_id", by_text).alias("id"), F.xxhash64("text").alias("text"), F.xxhash64(*docs.columns).alias("row"))
-    numbered = docs.withColumn("pipeline_id", key)
-    kept = simhash.near_duplicates(numbered, id_col="pipeline_id").where("doc_id = component_id").select(F.col("doc_id").alias("pipeline_id"))
-    return numbered.join(kept, "pipeline_id", "left_semi").dropDuplicates(["pipeline_id"]).select(*docs.columns)
+    keys = {"pipeline_id": F.coalesce("doc_id", by_text), "pipeline_text": F.xxhash64("text"), "pipeline_row": F.xxhash64(*docs.columns)}
+    numbered = docs.withColumns(keys)
+    found = simhash.near_duplicates(numbered.withColumn("pipeline_key", F.struct(*keys)), id_col="pipeline_key")
+    kept = found.where("doc_id = component_id").select("doc_id.*")
+    return numbered.join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).select(*docs.columns)
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
