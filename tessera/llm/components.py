@@ -7,17 +7,18 @@ from pyspark.sql import types as T
 from tessera.sources.scratch import remove, written
 
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node that each node of ``edges`` (a, b: long) reaches. Nodes without edges are absent.
 
     Every round is written to the shared folder, so a lost executor costs a reread at most. A large star moves each
-    node's larger neighbours to its smallest one, a small star its smaller ones; they end when nothing moves.
+    node's larger neighbours to its smallest one, a small star its smaller ones; they end when nothing moves, after a
+    number of rounds that grows with the logarithm of the largest component.
     """
     spark = edges.sparkSession
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     now, path = written(pairs, "edges")
     before = None
-    for _ in range(most_rounds):
+    while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break
@@ -33,8 +34,6 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         old = path
         now, path = written(step, "edges")
         remove(spark, old)
-    else:
-        raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
     root = now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     tops = now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     return root.union(tops).select(F.col("node").cast(T.LongType()), F.col("root").cast(T.LongType()))

@@ -79,14 +79,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-
-def _matches(rank: int, rule: secretscan.Rule) -> str:
-    """SQL for a rule's matches with the piece of text before each."""
-    regex = "'" + rule.regex.replace("'", "''") + "'"
+#: The kinds of secrets of the query, spelt out for SQL: kind, pattern, group, least length of the group.
+_SECRETS = (
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    ("live", r"sk_live_[A-Za-z0-9]{20,}", 0, 28),
+)
+
+
+def _matches(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """SQL for the matches of a pattern with the piece of text before each."""
+    regex = "'" + pattern.replace("'", "''") + "'"
     found = f"regexp_extract_all(t, {regex})"
-    return f"""SELECT * FROM (SELECT {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, doc_id,
+    return f"""SELECT * FROM (SELECT {rank} AS rank, '{kind}' AS kind, {least} AS least, doc_id,
         unnest(list_slice(string_split_regex(t, {regex}), 1, len({found}))) AS piece, unnest({found}) AS whole,
-        unnest(regexp_extract_all(t, {regex}, {rule.group})) AS part, generate_subscripts({found}, 1) AS i FROM t)"""
+        unnest(regexp_extract_all(t, {regex}, {group})) AS part, generate_subscripts({found}, 1) AS i FROM t)"""
 
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -150,7 +160,7 @@ ORACLE: dict[str, str] = {
         FROM urls u LEFT JOIN fits f ON u.page_id = f.page_id""",
     "op6_secret_scan": f"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-        m AS ({" UNION ALL ".join(_matches(i, r) for i, r in enumerate(secretscan.BASE + secretscan.MORE))}),
+        m AS ({" UNION ALL ".join(_matches(i, *x) for i, x in enumerate(_SECRETS))}),
         placed AS (
             SELECT *, sum(length(piece)) OVER w + coalesce(sum(length(whole)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
             FROM m WINDOW w AS (PARTITION BY rank, doc_id ORDER BY i)
