@@ -12,6 +12,8 @@ from tessera.operators.guards import Refused, duplicate_keys, require_empty
 
 #: References and queries that meet in one task, at most about so many, and queries that it scores at a time.
 REFS, ASKS, SCORED = 32_768, 16_384, 256
+#: Queries that are worth a task of their own where there are cores for it, and references whose least distance stands for them.
+FEWEST, STRIDE = 1024, 64
 #: Vote settings by name. Published presets.
 PRESETS = {
     "tuned": {"k": 10, "power": 3.0, "adaptive_k": 25, "adaptive_margin": 0.15},
@@ -77,14 +79,17 @@ def neighbours(asks: DataFrame, refs: DataFrame, k: int, metric: str = "l2", exc
 
     Sets of queries and blocks of references, both of bounded size, meet pair by pair in tasks of their own; only their
     counts reach the driver. Distances are one product of matrices, and on the candidates that it picks they are summed
-    exactly, so ranks follow exact distances. A pair hands on k rows a query, which meet in a window. cosine: on unit
-    vectors, d2 = max(2 - 2 sim, 0). blocks: how many, by default as many as REFS asks for.
+    exactly, so ranks follow exact distances; squares of components must fit single precision. A pair hands on k rows a
+    query, which meet in a window. cosine: on unit vectors, d2 = max(2 - 2 sim, 0). blocks: how many, by default as many
+    as REFS asks for.
     """
     if metric == "cosine":
         asks, refs = asks.withColumn("vec", unit(F.col("vec"))), refs.withColumn("vec", unit(F.col("vec")))
     elif metric != "l2":
         raise Refused(f"no metric {metric}")
-    blocks, sets = blocks or max(1, -(-refs.count() // REFS)), max(1, -(-asks.count() // ASKS))
+    blocks, n = blocks or max(1, -(-refs.count() // REFS)), asks.count()
+    wanted = -(-2 * asks.sparkSession.sparkContext.defaultParallelism // blocks)  # so that all cores have a pair
+    sets = max(1, -(-n // ASKS), min(-(-n // FEWEST), wanted))
 
     def dealt(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         """Each row by a hash of its key, and once for each part of the other side: stated queries against all rows."""
@@ -116,19 +121,26 @@ def _nearest(k: int, exclude_self: bool):
         ids, codes, r = np.asarray(refs.column("ref_id")), refs.column("code").combine_chunks(), _matrix(refs)
         rows, truths, all_q = np.asarray(asks.column("row_id")), asks.column("truth").combine_chunks(), _matrix(asks)
         r2 = (r * r).sum(1)
-        half, short, far = r2.astype(np.float32) / 2, np.ascontiguousarray(r.T, np.float32), float(np.sqrt(r2.max()))
+        width = -(-len(ids) // STRIDE) * STRIDE
+        half, short, far = np.full(width, np.inf, np.float32), np.zeros((r.shape[1], width), np.float32), float(np.sqrt(r2.max()))
+        half[: len(ids)], short[:, : len(ids)] = r2 / 2, r.T
+        largest = np.finfo(np.float32).max
         out = [none]
         for at in range(0, len(rows), SCORED):
             q, row = all_q[at : at + SCORED], rows[at : at + SCORED]
-            rough = half - q.astype(np.float32) @ short  # half the squared distance, less what the query adds to all
-            if exclude_self:
-                rough[row[:, None] == ids] = np.inf
-            own = len(ids) - np.isinf(rough).sum(1) if exclude_self else np.full(len(q), len(ids))
-            kth = np.partition(rough, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-            # single precision rounds: take all within its error of the k-th, then sum these distances exactly
+            rough = q.astype(np.float32) @ short
+            np.subtract(half, rough, out=rough)  # half the squared distance, less what the query adds to all
+            first, last = (np.searchsorted(ids, row, side) if exclude_self else np.zeros(len(row), int) for side in ("left", "right"))
+            for i in np.flatnonzero(last > first).tolist():
+                rough[i, first[i] : last[i]] = np.inf
+            own = len(ids) - (last - first)
+            # the k-th least of all is no more than that of the least of every stride
+            least = rough.reshape(len(q), STRIDE, -1).min(1) if width > STRIDE * k else rough
+            kth = np.partition(least, min(k, least.shape[1]) - 1, axis=1)[:, min(k, least.shape[1]) - 1]
+            # single precision rounds: take all within its error of that, then sum these distances exactly
             slack = (q.shape[1] + 8) * 2.0**-22 * (np.sqrt((q * q).sum(1)) + far) ** 2
-            limit = (np.where(np.isfinite(kth), kth, np.finfo(np.float32).max) + slack).astype(np.float32)
-            i, j = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            limit = np.minimum(np.where(np.isfinite(kth), kth, largest) + slack, largest).astype(np.float32)
+            i, j = np.divmod(np.flatnonzero(rough <= limit[:, None]), width)
             d2 = np.zeros(len(i))
             for c in range(q.shape[1]):
                 d2 += (q[i, c] - r[j, c]) ** 2

@@ -17,18 +17,20 @@ def first_occupants(tiles: DataFrame, slide: str = "slides", x: str = "grid_col"
     return tiles.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
-def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile") -> DataFrame:
+def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str | None = "slide_tile") -> DataFrame:
     """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. A tile goes to its own cell and to
-    half of those around it, where it meets the tile that lies there: one aggregation by cell, without a join."""
+    half of those around it, where it meets the tile that lies there: one aggregation by cell, without a join. With
+    ``name`` None only labels travel, and the aggregation is by hash."""
     own = F.struct(F.lit(0).alias("k"), F.lit(0).alias("dx"), F.lit(0).alias("dy"))
     to = F.explode(F.array(own, *(F.struct(F.lit(k).alias("k"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for k, (dx, dy) in enumerate(HALF, 1)))).alias("to")
-    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"), F.col(name).alias("name"), to)
-    of = lambda k, c: F.max(F.when(F.col("to.k") == k, F.col(c)))
-    met = [f for k in range(len(HALF) + 1) for f in (F.count_if(F.col("to.k") == k).alias(f"n{k}"), of(k, "label").alias(f"label{k}"), of(k, "name").alias(f"name{k}"))]
+    held = {"label": F.col(label)} | ({"tile": F.col(name)} if name else {})
+    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), *(c.alias(n) for n, c in held.items()), to)
+    sides = range(len(HALF) + 1)
+    met = [F.count_if(F.col("to.k") == k).alias(f"n{k}") for k in sides] + [F.max(F.when(F.col("to.k") == k, F.col(n))).alias(f"{n}{k}") for k in sides for n in held]
     cells = sent.groupBy("slide", (F.col("x") + F.col("to.dx")).alias("x"), (F.col("y") + F.col("to.dy")).alias("y")).agg(*met).where("n0 > 0")
-    others = F.array(*(F.when(F.col(f"n{k}") > 0, F.struct(F.col(f"label{k}").alias("a"), F.col(f"name{k}").alias("tile"))) for k in range(1, len(HALF) + 1)))
-    out = cells.select("slide", F.explode(F.filter(others, lambda o: o.isNotNull())).alias("o"), F.col("label0").alias("b"), F.col("name0").alias("tile_b"))
-    return out.select("slide", F.col("o.a").alias("a"), "b", F.col("o.tile").alias("tile_a"), "tile_b")
+    others = F.array(*(F.when(F.col(f"n{k}") > 0, F.struct(*(F.col(f"{n}{k}").alias(n) for n in held))) for k in sides[1:]))
+    out = cells.select("slide", F.explode(F.filter(others, lambda o: o.isNotNull())).alias("o"), *(F.col(f"{n}0").alias(n) for n in held))
+    return out.select("slide", F.col("o.label").alias("a"), F.col("label").alias("b"), *((F.col("o.tile").alias("tile_a"), F.col("tile").alias("tile_b")) if name else ()))
 
 
 def edge_counts(pairs: DataFrame) -> DataFrame:

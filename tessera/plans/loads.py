@@ -249,7 +249,7 @@ def _(s, d):
 
 @query("j19_grid_pairs", f"WITH {PAIRS} SELECT slide, a, b, ta AS tile_a, tb AS tile_b FROM grid")
 def _(s, d):
-    return grid(s, d)
+    return grid(s, d, "slide_tile")
 
 
 @query("a36_label_matrix", f"WITH {PAIRS}, n AS (SELECT slide, a, b, count(*) AS n FROM (SELECT slide, a, b FROM grid UNION ALL SELECT slide, b, a FROM grid) GROUP BY ALL) SELECT slide, a, b, n, round(n / sum(n) OVER (PARTITION BY slide)::DOUBLE, 6) AS share FROM n")

@@ -135,7 +135,7 @@ def execute(p: Plan, tiles: DataFrame, dictionary: DataFrame, survival: DataFram
         return hit.select("hpc_id", "coef", "p", F.round(log2_p(F.col("p")), 4).alias("log2_p"))
     if "adjacency" in p.operations:
         scope = tiles.where(F.col("slides").isin(e["slide"])) if e["slide"] else tiles
-        pairs = edge_counts(grid_pairs(first_occupants(scope)))
+        pairs = edge_counts(grid_pairs(first_occupants(scope), name=None))
         if e["hpc"]:
             i = int(e["hpc"][0])
             pairs = pairs.where((F.col("a") == i) | (F.col("b") == i))

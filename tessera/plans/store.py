@@ -166,8 +166,8 @@ HALVES = "(SELECT unnest([1, 0, 1, 1]) AS dx, unnest([0, 1, 1, -1]) AS dy)"
 PAIRS = f"grid AS (SELECT t.slides AS slide, t.hpc_id AS a, u.hpc_id AS b, t.slide_tile AS ta, u.slide_tile AS tb FROM first_tiles t, {HALVES} o, first_tiles u WHERE u.slides = t.slides AND u.grid_col = t.grid_col + o.dx AND u.grid_row = t.grid_row + o.dy)"
 
 
-def grid(s, d):
-    return X.grid_pairs(X.first_occupants(B.tiles(s, d)))
+def grid(s, d, name=None):
+    return X.grid_pairs(X.first_occupants(B.tiles(s, d)), name=name)
 
 
 @query("a32_edge_counts", f"WITH {PAIRS} SELECT slide, least(a, b) AS a, greatest(a, b) AS b, count(*) AS edges FROM grid GROUP BY ALL")
@@ -177,7 +177,7 @@ def _(s, d):
 
 @query("a32_touching", f"WITH {PAIRS} SELECT slide, label, other, count(DISTINCT tile) AS tiles FROM (SELECT slide, a AS label, b AS other, ta AS tile FROM grid WHERE a <> b UNION ALL SELECT slide, b, a, tb FROM grid WHERE a <> b) GROUP BY ALL")
 def _(s, d):
-    return X.touching(grid(s, d))
+    return X.touching(grid(s, d, "slide_tile"))
 
 
 @query("t9_dominant_pair", f"WITH {PAIRS}, e AS (SELECT CASE WHEN a = 40 THEN b ELSE a END AS other, count(*) AS edges FROM grid WHERE a <> b AND (a = 40 OR b = 40) GROUP BY 1) SELECT other, edges FROM e ORDER BY edges DESC, other LIMIT 1")
