@@ -302,14 +302,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int, order: tu
     dealt out by ranges of the order, encoded once and held in a scratch table; counting, at most one row a task and
     vocabulary entry, gives ranks, and a second pass over the scratch table rewrites ids as ranks. Only the rank
     table, which the vocabulary bounds, reaches the driver. by_word: whether texts are encoded by distinct words; by
-    default, if the definition is known to allow that (see splits_by_word), else ValueError. Rows that tie go by a hash of their text. Null texts count
+    default, if the definition allows that (see splits_by_word); ValueError if it is asked for and doesn't. Rows that tie go by a hash of their text. Null texts count
     as empty, null ids come first, repeated rows are written each time; an empty table gives empty files.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(json.dumps(json.load(f)))
-    if by_word is None:
-        by_word = splits_by_word(definition.value)
+    allowed = splits_by_word(definition.value)
+    if by_word and not allowed:
+        raise ValueError("this tokenizer doesn't see words one by one")
+    by_word = allowed if by_word is None else by_word
     tie = F.xxhash64(text_col)
     src = docs.select(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), tie.alias("tie"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keys = [*(f"o{i}" for i in range(len(order))), "tie"]

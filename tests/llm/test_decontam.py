@@ -99,3 +99,11 @@ def test_terms_are_those_of_whole_texts(texts):
         for i, t in enumerate(x):
             assert before[at + i] == (at + max((j for j in range(i) if x[j] == t), default=-at - 1) if t >= 0 else -1)
         at += len(x)
+
+
+def test_item_at_the_end_of_a_very_long_text(spark):
+    item = " ".join(f"item{i}" for i in range(30))
+    long = " ".join(f"w{i}" for i in range(500_000))
+    docs = spark.createDataFrame([(1, f"{long} {item}"), (2, long), (3, "x" * (3 << 20)), (4, item)], "doc_id long, text string")
+    got = {r.doc_id: [(h.item_id, h.overlap) for h in r.hits] for r in decontam.search(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert got == {1: [(7, 1.0)], 2: [], 3: [], 4: [(7, 1.0)]}

@@ -64,3 +64,24 @@ def test_repeated_rows_and_null_ids(spark):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (9, None), (8, ""), (None, "q r s t u v")]
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert got == [(5, 5), (5, 5), (8, 8), (9, 8), (None, 5), (None, None)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(5000)]
+    text = " ".join(rng.choice(words) for _ in range(600_000))
+    rows = [(4, text), (2, text + " one more"), (9, "y" * (3 << 20))]
+    got = {r.doc_id: (r.fp % 2**64, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[9] == (brute_fingerprint("y" * (3 << 20)), 9)
+    assert got[4][1] == got[2][1] == 2 and (got[4][0] ^ got[2][0]).bit_count() <= 4
+
+
+def test_pairs_that_keys_bring_together_are_few():
+    import numpy as np
+
+    def pairs(n):
+        key, _ = simhash.keys(np.random.default_rng(1).integers(0, 2**64, n, dtype=np.uint64, endpoint=False))
+        _, count = np.unique(key, return_counts=True)
+        return int((count * (count - 1) // 2).sum())
+
+    assert pairs(20_000) < 400 and pairs(40_000) < 1600

@@ -58,3 +58,18 @@ def test_empty_table_and_general_tokenizers(spark):
     lib = Tokenizer.from_file(other)
     want = len(lib.encode("A text  with spaces", add_special_tokens=False).ids) + 1
     assert [(r.doc_id, r.start, r.n_tokens) for r in tokens.token_output(df, other).orderBy("doc_id").collect()] == [(1, 0, want), (2, want, 1)]
+
+
+def test_very_long_texts_and_tokenizers_that_need_whole_texts(spark):
+    import pytest
+
+    long = " ".join(f"Wörter{i % 977} und (Zahl {i})," for i in range(60_000))
+    df = spark.createDataFrame([(1, long), (2, "x" * (5 << 20)), (3, "kurz")], "doc_id long, text string")
+    lib = Tokenizer.from_file(FILE)
+    want = {i: lib.encode(t, add_special_tokens=False).ids + [2] for i, t in ((1, long), (3, "kurz"))}
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in tokens.token_output(df.where("doc_id <> 2"), FILE).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.splits_by_word(open(FILE, encoding="utf-8").read()) and not tokens.splits_by_word(open(other, encoding="utf-8").read())
+    with pytest.raises(ValueError, match="one by one"):
+        tokens.write_tokens(df, tokens.new_path(spark, "t"), other, 2, by_word=True)
