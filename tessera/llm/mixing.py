@@ -18,9 +18,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Sources that the plan may have, which goes to tasks as a broadcast; a share is at least one in LEAST.
@@ -130,7 +128,7 @@ def _slots(shared):
     return over
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, power: float = 0.5, seed: int = 1, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 16, power: float = 0.5, seed: int = 1, source_col: str = "source") -> DataFrame:
     """``docs`` with mix_block (of its source), mix_slot (of the half block) and mix_pos (of the row, from 0, without gaps).
 
     A source's documents, in the order of a hash, form blocks of ``block`` (2 or more); slots interleave half blocks so
@@ -142,7 +140,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 1
     refuse). Slots are worked out by tasks and joined to rows by source and unit, as a broadcast if they are few.
     Ranks come from parts by hash of every source, of about RANKED rows, so a hot source is as many tasks' work as any.
 
-    A null source is a source of its own. The hash is over the whole row (but for maps), so repeated ids, null ones too,
+    A null source is a source of its own. The hash is over the whole row (but for columns with maps), so repeated ids, null ones too,
     are spread; rows alike in all columns may change places among themselves. An empty table gives an empty result.
     Columns called mix_* are replaced.
     """
@@ -151,7 +149,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 1
     spark, unit = docs.sparkSession, block // 2
     own = docs.drop("mix_block", "mix_slot", "mix_pos")
     names = own.columns
-    hashed = [f.name for f in own.schema if not isinstance(f.dataType, T.MapType)]
+    hashed = [f.name for f in own.schema if "map<" not in f.dataType.simpleString()]
     own = own.withColumn("mix_src", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("n"))).withColumn("mix_hash", F.xxhash64(F.lit(seed), *hashed))
     n = {r.mix_src: r.n for r in own.groupBy("mix_src").agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()}
     if len(n) > MOST_SOURCES:
