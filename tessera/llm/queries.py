@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, langid, linededup, mixing, secretscan, simhash, substring, tokens, topk, urlfilter
+from tessera.llm import decontam, kmeans, langid, linededup, mixing, resample, secretscan, simhash, substring, tokens, topk, toxicity, urlfilter
 from tessera.sources import table
 
 
@@ -65,6 +65,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_token_output": op2_token_output,
@@ -76,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_clustering": op11_clustering,
+    "op12_resampling": op12_resampling,
+    "op13_toxicity": op13_toxicity,
 }
 
 
@@ -102,6 +120,39 @@ def _matches(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+def _lloyd(rounds: int) -> str:
+    """SQL for the rounds: nearest centroid of each row, then the floor of each component's mean."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (
+            SELECT i, q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+                SELECT v.i, v.q, c.c, list_sum(list_transform(list_zip(v.q, c.m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{r} c
+            ) GROUP BY i, q)""")
+        if r < rounds:
+            out.append(f"""c{r + 1} AS MATERIALIZED (
+                SELECT o.c, coalesce(n.m, o.m) AS m FROM c{r} o LEFT JOIN (
+                    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS m FROM (
+                        SELECT c, p, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(q) AS x, generate_subscripts(q, 1) AS p FROM a{r}) GROUP BY c, p
+                    ) GROUP BY c
+                ) n ON o.c = n.c)""")
+    return ", ".join(out)
+
+
+#: CRC-32 of each text of a column w, by a table of 256 values made from the polynomial.
+_CRC = """crc AS MATERIALIZED (
+            SELECT list(c ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_prepend(i::BIGINT, list_transform(range(8), lambda k: k::BIGINT)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i)
+            )
+        )"""
+
+
+def _crc32(w: str) -> str:
+    bytes_of = f"list_transform(range(0, length(hex(encode({w}))) // 2), lambda i: (instr('0123456789ABCDEF', substr(hex(encode({w})), 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex(encode({w})), 2 * i + 2, 1)) - 1)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_of}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+_RUNS = r"""SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM"""
+
 ORACLE: dict[str, str] = {
     "op1_topk": """
         WITH v AS (
@@ -172,4 +223,35 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(kind || ':' || span, ',' ORDER BY s, rank) FILTER (WHERE rank < 3), '')) AS base_sha256,
                coalesce(string_agg(kind || ':' || span, ',' ORDER BY s, rank), '') AS spans
         FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id""",
+    "op11_clustering": f"""
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER () AS i, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS c, q AS m FROM v QUALIFY c < 40
+        ), {_lloyd(5)}
+        SELECT v.vec_id, a.c AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+               (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.m, ',')) AS centroid_sha256
+        FROM v JOIN a5 a ON v.i = a.i JOIN c5 m ON m.c = a.c""",
+    "op12_resampling": rf"""
+        WITH {_CRC}, w AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS id, coalesce(regexp_extract_all(translate(text, {_FOLD}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+        ), b AS (
+            SELECT 0 AS id, coalesce(regexp_extract_all(translate(text, {_FOLD}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark
+        ), df AS MATERIALIZED ({_RUNS} w), bf AS MATERIALIZED ({_RUNS} b), h AS MATERIALIZED (
+            SELECT f, {_crc32("f")} % 10000 AS k FROM (SELECT f FROM df UNION SELECT f FROM bf), crc
+        ), s AS (SELECT k, count(*) AS s FROM df JOIN h USING (f) GROUP BY k), t AS (SELECT k, count(*) AS t FROM bf JOIN h USING (f) GROUP BY k), n AS (
+            SELECT (SELECT count(*) FROM df)::DOUBLE AS of_docs, (SELECT count(*) FROM bf)::DOUBLE AS of_goal
+        ), g AS MATERIALIZED (
+            SELECT s.k, floor(1000 * ln((coalesce(t.t, 0) + 1)::DOUBLE * (n.of_docs + 10000) / ((s.s + 1)::DOUBLE * (n.of_goal + 10000))))::BIGINT AS g FROM s LEFT JOIN t USING (k), n
+        ), x AS (
+            SELECT id, count(*) AS n_features, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM df JOIN h USING (f) JOIN g USING (k) GROUP BY id
+        ), d AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296)))::BIGINT AS score
+            FROM w LEFT JOIN x USING (id)
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS i, count(*) FILTER (WHERE n_words >= 20) OVER () AS able FROM d
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND i <= able * 25 // 100 THEN i END AS rank FROM r""",
 }
