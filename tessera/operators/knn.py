@@ -8,12 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import nearest
 from tessera.operators.guards import Refused, duplicate_keys, require_empty
+from tessera.operators.scan import quantiles
 
-#: References and queries that meet in one task, at most about so many, and queries that it scores at a time.
-REFS, ASKS, SCORED = 32_768, 16_384, 256
-#: Queries that are worth a task of their own where there are cores for it, and references whose least distance stands for them.
-FEWEST, STRIDE = 1024, 64
 #: Vote settings by name. Published presets.
 PRESETS = {
     "tuned": {"k": 10, "power": 3.0, "adaptive_k": 25, "adaptive_margin": 0.15},
@@ -74,85 +72,26 @@ def unit(vec: Column, eps: float = 1e-12) -> Column:
     return F.transform(vec, lambda x: x / F.greatest(norm, F.lit(eps)))
 
 
-def neighbours(asks: DataFrame, refs: DataFrame, k: int, metric: str = "l2", exclude_self: bool = False, blocks: int | None = None) -> DataFrame:
-    """row_id, truth, ref_id, code, d2, rank of the k nearest references, ties to the smaller ref_id.
-
-    Sets of queries and blocks of references, both of bounded size, meet pair by pair in tasks of their own; only their
-    counts reach the driver. Distances are one product of matrices, and on the candidates that it picks they are summed
-    exactly, so ranks follow exact distances; squares of components must fit single precision. A pair hands on k rows a
-    query, which meet in a window. cosine: on unit vectors, d2 = max(2 - 2 sim, 0). blocks: how many, by default as many
-    as REFS asks for.
-    """
-    if metric == "cosine":
-        asks, refs = asks.withColumn("vec", unit(F.col("vec"))), refs.withColumn("vec", unit(F.col("vec")))
-    elif metric != "l2":
+def packed(refs: DataFrame, metric: str = "l2", blocks: int | None = None) -> nearest.Index:
+    """References packed for any number of searches by one metric, in about so many blocks, or in blocks of the usual size."""
+    if metric not in ("l2", "cosine"):
         raise Refused(f"no metric {metric}")
-    blocks, n = blocks or max(1, -(-refs.count() // REFS)), asks.count()
-    wanted = -(-2 * asks.sparkSession.sparkContext.defaultParallelism // blocks)  # so that all cores have a pair
-    sets = max(1, -(-n // ASKS), min(-(-n // FEWEST), wanted))
-
-    def dealt(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        """Each row by a hash of its key, and once for each part of the other side: stated queries against all rows."""
-        every = F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(other, F.explode(every))
-
-    fresh = lambda df, *names: df.select(*(F.col(c).alias(c) for c in names))  # noqa: E731  sides of one frame share no column
-    left = dealt(fresh(asks, "row_id", "truth", "vec"), "row_id", "qset", sets, "block", blocks)
-    right = dealt(fresh(refs, "ref_id", "code", "vec"), "ref_id", "block", blocks, "qset", sets)
-    schema = "row_id long, truth int, ref_id long, code int, d2 double"
-    out = left.groupBy("block", "qset").cogroup(right.groupBy("block", "qset")).applyInArrow(_nearest(k, exclude_self), schema)
-    w = Window.partitionBy("row_id").orderBy("d2", "ref_id")
-    out = out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return out.withColumn("d2", F.greatest("d2", F.lit(0.0))) if metric == "cosine" else out
+    own = refs.withColumn("vec", unit(F.col("vec"))) if metric == "cosine" else refs
+    return nearest.index(own, max(1, -(-own.count() // blocks)) if blocks else None)
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    return np.asarray(table.column("vec").combine_chunks().flatten(), np.float64).reshape(table.num_rows, -1)
-
-
-def _nearest(k: int, exclude_self: bool):
-    names = ["row_id", "truth", "ref_id", "code", "d2"]
-
-    def over(asks: pa.Table, refs: pa.Table) -> pa.Table:
-        none = pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64())], names)
-        if not asks.num_rows or not refs.num_rows:
-            return none
-        refs = refs.take(pa.array(np.argsort(np.asarray(refs.column("ref_id")), kind="stable")))
-        ids, codes, r = np.asarray(refs.column("ref_id")), refs.column("code").combine_chunks(), _matrix(refs)
-        rows, truths, all_q = np.asarray(asks.column("row_id")), asks.column("truth").combine_chunks(), _matrix(asks)
-        r2 = (r * r).sum(1)
-        width = -(-len(ids) // STRIDE) * STRIDE
-        half, short, far = np.full(width, np.inf, np.float32), np.zeros((r.shape[1], width), np.float32), float(np.sqrt(r2.max()))
-        half[: len(ids)], short[:, : len(ids)] = r2 / 2, r.T
-        largest = np.finfo(np.float32).max
-        out = [none]
-        for at in range(0, len(rows), SCORED):
-            q, row = all_q[at : at + SCORED], rows[at : at + SCORED]
-            rough = q.astype(np.float32) @ short
-            np.subtract(half, rough, out=rough)  # half the squared distance, less what the query adds to all
-            first, last = (np.searchsorted(ids, row, side) if exclude_self else np.zeros(len(row), int) for side in ("left", "right"))
-            for i in np.flatnonzero(last > first).tolist():
-                rough[i, first[i] : last[i]] = np.inf
-            own = len(ids) - (last - first)
-            # the k-th least of all is no more than that of the least of every stride
-            least = rough.reshape(len(q), STRIDE, -1).min(1) if width > STRIDE * k else rough
-            kth = np.partition(least, min(k, least.shape[1]) - 1, axis=1)[:, min(k, least.shape[1]) - 1]
-            # single precision rounds: take all within its error of that, then sum these distances exactly
-            slack = (q.shape[1] + 8) * 2.0**-22 * (np.sqrt((q * q).sum(1)) + far) ** 2
-            limit = np.minimum(np.where(np.isfinite(kth), kth, largest) + slack, largest).astype(np.float32)
-            i, j = np.divmod(np.flatnonzero(rough <= limit[:, None]), width)
-            d2 = np.zeros(len(i))
-            for c in range(q.shape[1]):
-                d2 += (q[i, c] - r[j, c]) ** 2
-            best = np.lexsort((ids[j], d2, i))
-            i, j, d2 = i[best], j[best], d2[best]
-            nth = np.arange(len(i)) - np.searchsorted(i, i)
-            keep = nth < np.minimum(k, own)[i]
-            i, j, d2 = i[keep], j[keep], d2[keep]
-            out.append(pa.table([pa.array(row[i]), truths.take(pa.array(at + i)), pa.array(ids[j]), codes.take(pa.array(j)), pa.array(d2)], names))
-        return pa.concat_tables(out)
+def neighbours(asks: DataFrame, refs: DataFrame | nearest.Index, k: int, metric: str = "l2", exclude_self: bool = False, blocks: int | None = None) -> DataFrame:
+    """row_id, truth, ref_id, code, d2, rank of the k nearest references, ties to the smaller ref_id.
 
-    return over
+    refs: rows, which are packed for this search, or what ``packed`` made of them by the same metric. Sets of neighbouring
+    queries take the blocks that bounds leave them, in tasks of bounded size. Distances are one product of matrices, and
+    on the candidates that it picks they are summed exactly, so ranks follow exact distances; squares of components must
+    fit single precision. cosine: on unit vectors, d2 = max(2 - 2 sim, 0).
+    """
+    index = refs if isinstance(refs, nearest.Index) else packed(refs, metric, blocks)
+    own = asks.withColumn("vec", unit(F.col("vec"))) if metric == "cosine" else asks
+    out = nearest.search(own, index, k, exclude_self)
+    return out.withColumn("d2", F.greatest("d2", F.lit(0.0))) if metric == "cosine" else out
 
 
 def local_scales(refs: DataFrame, r: int) -> DataFrame:
@@ -213,13 +152,15 @@ def accuracy(votes: DataFrame) -> DataFrame:
 
 
 def sweep(near: DataFrame, ks: tuple[int, ...], powers: tuple[float, ...]) -> DataFrame:
-    """Accuracy over a grid of k and power from one search. Neighbours are exploded by setting and aggregated once."""
-    grid = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("power")) for k in ks for p in powers))).alias("g")
-    rows = near.select("row_id", "truth", "code", "d2", "rank", grid).where(F.col("rank") <= F.col("g.k"))
-    w = F.when(F.col("g.power") == 0, 1.0).otherwise(F.pow(1 / (F.sqrt("d2") + EPS), F.col("g.power")))
-    n = rows.withColumn("w", w).groupBy("g", "row_id", "truth", "code").agg(F.sum("w").alias("w"))
-    best = n.groupBy("g", "row_id", "truth").agg(F.max_by("code", F.struct("w", "code")).alias("label"))
-    return best.groupBy("g").agg(F.count("*").alias("n"), F.count_if(F.col("label") == F.col("truth")).alias("right")).select("g.k", "g.power", "n", F.round(F.col("right") / F.col("n"), 6).alias("accuracy"))
+    """Accuracy over a grid of k and power from one search: a row of sums holds all settings, so neighbours aren't copied."""
+    grid = [(k, float(p)) for k in ks for p in powers]
+    w = lambda p: F.lit(1.0) if p == 0 else F.pow(1 / (F.sqrt("d2") + EPS), F.lit(p))
+    sums = [F.sum(F.when(F.col("rank") <= k, w(p))).alias(f"w{i}") for i, (k, p) in enumerate(grid)]
+    n = near.where(F.col("rank") <= max(ks)).groupBy("row_id", "truth", "code").agg(*sums)
+    best = n.groupBy("row_id", "truth").agg(*(F.max_by("code", F.when(F.col(f"w{i}").isNotNull(), F.struct(f"w{i}", "code"))).alias(f"l{i}") for i in range(len(grid))))
+    right = best.agg(F.count("*").alias("n"), *(F.count_if(F.col(f"l{i}") == F.col("truth")).alias(f"r{i}") for i in range(len(grid))))
+    rows = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(p).alias("power"), F.col("n"), F.round(F.col(f"r{i}") / F.col("n"), 6).alias("accuracy")) for i, (k, p) in enumerate(grid)))
+    return right.select(F.inline(rows)).where("n > 0")
 
 
 def mcnemar(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -263,6 +204,18 @@ def medoids(refs: DataFrame, most: int = 400) -> DataFrame:
     return cost.groupBy("code").agg(F.min_by("ref_id", F.struct(F.round("cost", 9), F.col("ref_id"))).alias("medoid"))
 
 
+def exact_medoids(refs: DataFrame) -> DataFrame:
+    """Of each cluster's members, all of them, the one with the least summed squared distance, ties to the smaller id.
+
+    Of n members with mean m the sum from x is n times the squared distance of x and m, and what is the same for all. So
+    the medoid is the member nearest the mean, and no pair of members is formed; cost is that sum.
+    """
+    means = mean_vector(refs, "vec", "code").join(refs.groupBy("code").agg(F.count("*").alias("_n")), "code")
+    far = refs.join(means, "code").select("code", "ref_id", "_n", squared_distance(F.col("vec"), F.col("mean")).alias("_d"))
+    spread = far.groupBy("code").agg(F.sum("_d").alias("_all"), F.min_by(F.struct("ref_id", "_d"), F.struct(F.round("_d", 9), F.col("ref_id"))).alias("_m"), F.first("_n").alias("n"))
+    return spread.select("code", F.col("_m.ref_id").alias("medoid"), "n", (F.col("n") * F.col("_m._d") + F.col("_all")).alias("cost"))
+
+
 def _centroids(refs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Codes in order and their mean vectors; more than MOST_CENTROIDS are refused, so the matrix has a bound."""
     found = mean_vector(refs, "vec", "code").limit(MOST_CENTROIDS + 1).collect()
@@ -356,13 +309,14 @@ def graph_silhouette(near: DataFrame) -> DataFrame:
 
 def shift_profile(df: DataFrame, qs: tuple[float, ...] = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)) -> DataFrame:
     """Ten quantiles of the novelty distance, and the mean margin."""
-    return df.agg(F.transform(F.percentile("neighbor_distance", F.array(*map(F.lit, qs))), lambda x: F.round(x, 6)).alias("quantiles"), F.round(F.avg("vote_margin"), 6).alias("margin"))
+    found = F.array(*(F.lit(q).cast("double") for q in quantiles(df, "neighbor_distance", qs)))
+    return df.agg(F.round(F.avg("vote_margin"), 6).alias("margin")).select(F.transform(found, lambda x: F.round(x, 6)).alias("quantiles"), "margin")
 
 
 def shift_compare(cohort: DataFrame, reference: DataFrame, group: str) -> DataFrame:
-    """By slide, the share beyond the reference's 99th percentile, the ratio of medians and a verdict."""
-    ref = reference.agg(F.percentile("neighbor_distance", 0.99).alias("p99"), F.percentile("neighbor_distance", 0.5).alias("p50"))
-    j = cohort.crossJoin(ref)  # one row
-    out = j.groupBy(group).agg(F.avg((F.col("neighbor_distance") > F.col("p99")).cast("int")).alias("beyond"), (F.percentile("neighbor_distance", 0.5) / F.nullif(F.first("p50"), F.lit(0.0))).alias("ratio"))
+    """By slide, the share beyond the reference's 99th percentile, the ratio of medians and a verdict. A slide's own median is found in one task."""
+    p99, p50 = quantiles(reference, "neighbor_distance", (0.99, 0.5))
+    beyond = F.avg((F.col("neighbor_distance") > F.lit(p99).cast("double")).cast("int"))
+    out = cohort.groupBy(group).agg(beyond.alias("beyond"), (F.percentile("neighbor_distance", 0.5) / F.nullif(F.lit(p50).cast("double"), F.lit(0.0))).alias("ratio"))
     verdict = F.when((F.col("beyond") > 0.05) | (F.col("ratio") > 1.5), "alarm").when((F.col("beyond") > 0.02) | (F.col("ratio") > 1.15), "notice").otherwise("consistent")
     return out.select(group, F.round("beyond", 6).alias("beyond"), F.round("ratio", 6).alias("ratio"), verdict.alias("verdict"))

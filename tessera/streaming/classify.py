@@ -7,11 +7,11 @@ from tessera.operators import knn
 
 
 def classify_stream(asks: DataFrame, refs: DataFrame, path: str, checkpoint: str, **vote):
-    """Classifies each micro-batch against fixed references and appends it to ``path``; the batch id makes a retry overwrite its own output."""
-    settings = knn.resolve_vote(**vote)
+    """Classifies each micro-batch against fixed references, packed once, and appends it to ``path``; the batch id makes a retry overwrite its own output."""
+    settings, index = knn.resolve_vote(**vote), knn.packed(refs)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        near = knn.neighbours(batch, refs, settings["adaptive_k"] or settings["k"])
+        near = knn.neighbours(batch, index, settings["adaptive_k"] or settings["k"])
         knn.classify(near, **settings).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return asks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
