@@ -176,8 +176,9 @@ class _Rows:
 
 
 def train(confirmed: list[list[int]], unlabelled: list[list[int]], n_terms: int, prior: float, epochs: int = 300, batch: int = 4096, rate: float = 0.05, decay: float = 3e-4, slack: float = 0.005, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Weights by term and the start of a logistic model, by Adam steps on batches of the non-negative risk; then the start is
-    moved so that even odds are where ``cut`` says."""
+    """Weights by term and the start of a logistic model, by Adam steps on batches of the non-negative risk. Terms were chosen
+    for being commoner in confirmed texts, so no weight goes below zero: more of them never make a text look cleaner. Then
+    the start is moved so that even odds are where ``cut`` says."""
     p, u = _Rows(confirmed), _Rows(unlabelled)
     rng = np.random.default_rng(seed)
     theta, m, v, t = np.zeros(n_terms + 1), np.zeros(n_terms + 1), np.zeros(n_terms + 1), 0
@@ -210,6 +211,7 @@ def train(confirmed: list[list[int]], unlabelled: list[list[int]], n_terms: int,
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             theta = theta - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            np.maximum(theta[:-1], 0, out=theta[:-1])
     zs = [theta[-1] + np.bincount(text, theta[term], len(rows.size)) for rows in (p, u) for text, term in [rows.taken(np.arange(len(rows.size)))]]
     return theta[:-1], float(theta[-1] - cut(*zs, prior))
 
