@@ -185,6 +185,14 @@ class Load:
             check()
         return commit(self.planned, path)
 
+    def publish(self, path: str, base: str | None = None) -> str:
+        """The load as a new version of the table at ``path``, which readers get once it is whole; refused if another than ``base`` is there."""
+        from tessera.sources.versions import publish
+
+        for check in self.checks:
+            check()
+        return publish(self.planned, path, base=base)
+
 
 def build_registration(identity: DataFrame, coords: DataFrame, scope: DataFrame | None = None) -> dict[str, DataFrame]:
     """Registry, coordinates, slides, unmatched tiles and samples in conflict; ``scope`` (slides) narrows both sides."""

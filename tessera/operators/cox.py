@@ -41,9 +41,10 @@ def _prepared(df: DataFrame, time: str, event: str, cols: Sequence[str], fold: C
     return written(with_range(src, "time", cuts), "cox-rows")[0], len(cols)
 
 
-def _members(fits: Sequence[Fit]) -> Column:
+def _members(fits: Sequence[Fit], inside: bool) -> Column:
     """The numbers of the fits that a row takes part in."""
-    out = [F.when(F.lit(f.left_out is None) | ~F.col("fold").eqNullSafe(F.lit(f.left_out)), F.lit(i)) for i, f in enumerate(fits)]
+    own = lambda f: F.col("fold").eqNullSafe(F.lit(f.left_out))
+    out = [F.when(F.lit(f.left_out is None) | (own(f) if inside else ~own(f)), F.lit(i)) for i, f in enumerate(fits)]
     return F.filter(F.array(*out), lambda i: i.isNotNull())
 
 
@@ -81,16 +82,17 @@ def _solved(row, fit: Fit, cols: Sequence[str], b: np.ndarray) -> tuple[np.ndarr
     return step, se
 
 
-def regressions(df: DataFrame, time: str, event: str, cols: Sequence[str], fits: Sequence[Fit], fold: Column | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+def regressions(df: DataFrame, time: str, event: str, cols: Sequence[str], fits: Sequence[Fit], fold: Column | None = None, inside: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
     """Coefficients and standard errors by feature for each fit (Breslow ties, no intercept); features that a fit lacks have 0.
 
     Rows without a time or a feature take no part, a null event is none. A fit without an event has coefficients of 0
     and errors by its penalty. More than MOST_FITS fits, or a singular Hessian, are refused.
+    inside: fits are on the rows of their fold instead of on all others.
     """
     if len(fits) > MOST_FITS:
         raise Refused(f"more than {MOST_FITS} fits in one call")
     src, p = _prepared(df, time, event, cols, fold)
-    rows = src.withColumn("fit", F.explode(_members(fits)))
+    rows = src.withColumn("fit", F.explode(_members(fits, inside)))
     b = np.zeros((len(fits), p))
     out = [(np.zeros(p), np.array([1 / math.sqrt(f.ridge) if c in f.features and f.ridge else 0.0 for c in cols])) for f in fits]
     active = set(range(len(fits)))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Letters of a gram. Of two names 90 % alike with 4 letters or more, every pair has a gram of two letters in common.
 Q = 2
+#: Names that share a gram beyond so many are dealt to several tasks.
+SHARE = 500
 
 
 def common_length(a: str, b: str) -> int:
@@ -45,10 +47,10 @@ def _grams(df: DataFrame, name: str) -> DataFrame:
 
 
 def _prefix(grams: DataFrame, counts: DataFrame, least: float) -> DataFrame:
-    """Of each name its rarest grams: as many as its edits can destroy, and one more."""
+    """Of each name its rarest grams in turn: as many as its edits can destroy, and one more."""
     ranked = grams.join(counts, "gram").groupBy("name", "size").agg(F.sort_array(F.collect_list(F.struct("n", "gram", "at"))).alias("all"))
     taken = F.slice("all", F.lit(1), F.greatest(edits(F.col("size"), least) * Q + 1, F.lit(1)))
-    return ranked.select("name", "size", F.explode(taken).alias("g")).select("name", "size", "g.gram", "g.at")
+    return ranked.select("name", "size", F.posexplode(taken).alias("turn", "g")).select("name", "size", "turn", "g.gram", "g.at", (F.col("g.n") / SHARE).cast("int").alias("parts"))
 
 
 def near_names(asked: DataFrame, known: DataFrame, asked_name: str, known_name: str, least: float = 90.0) -> DataFrame:
@@ -56,7 +58,7 @@ def near_names(asked: DataFrame, known: DataFrame, asked_name: str, known_name:
 
     ratio is 200 times the longest common subsequence over both lengths. If two names differ by d insertions and
     deletions, at most 2 d of a name's pairs of letters are gone, so among the 2 d + 1 rarest ones of each there is one
-    that both have: names meet by these, rarest first, not by trying all. Lengths and places may differ by d at most.
+    that both have: names meet by these, d being what both lengths allow, not by trying all. Lengths and places may differ by d at most.
     ``least`` must be 90 or above, as shorter prefixes promise nothing below. Names that are null are left out; an
     empty name is like itself only.
     """
@@ -64,13 +66,16 @@ def near_names(asked: DataFrame, known: DataFrame, asked_name: str, known_name:
         raise ValueError("least must be from 90 to 100")
     a, k = _grams(asked, asked_name), _grams(known, known_name)
     counts = a.unionAll(k).groupBy("gram").agg(F.count("*").alias("n"))
-    left = _prefix(a, counts, least).select(F.col("name").alias("asked"), F.col("size").alias("n"), "gram", F.col("at").alias("i"))
-    right = _prefix(k, counts, least).select(F.col("name").alias("known"), F.col("size").alias("m"), "gram", F.col("at").alias("j"))
-    apart = F.floor((F.col("n") + F.col("m")) * (1 - least / 100) + 1e-9)
-    close = (F.abs(F.col("n") - F.col("m")) <= apart) & (F.abs(F.col("i") - F.col("j")) <= apart)
-    pairs = left.join(right, "gram").where(close).select("asked", "known", apart.cast("int").alias("apart")).distinct()
-    # a replacement is a deletion and an insertion, so this distance is no more than theirs
-    some = pairs.where(F.levenshtein("asked", "known") <= F.col("apart"))
+    left = _prefix(a, counts, least).select(F.col("name").alias("asked"), F.col("size").alias("n"), F.col("turn").alias("s"), "gram", F.col("at").alias("i"), F.pmod(F.xxhash64("name"), F.col("parts") + 1).alias("part"))
+    right = _prefix(k, counts, least).select(F.col("name").alias("known"), F.col("size").alias("m"), F.col("turn").alias("t"), "gram", F.col("at").alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long"))).alias("part"))
+    # lengths tell whether the edits are odd or even, so the last one may be out
+    most = F.floor((F.col("n") + F.col("m")) * (1 - least / 100) + 1e-9)
+    apart = (most - F.pmod(most - F.col("n") + F.col("m"), F.lit(2))).cast("int")
+    close = (F.abs(F.col("n") - F.col("m")) <= apart) & (F.abs(F.col("i") - F.col("j")) <= apart) & (F.greatest("s", "t") <= Q * apart)
+    pairs = left.join(right, ["gram", "part"]).where(close).select("asked", "known", apart.alias("apart"))
+    # a replacement is a deletion and an insertion, so this distance (-1: beyond) is no more than theirs
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # pairs are few bytes but much work, so their tasks stay as many
+    some = pairs.where(F.expr("levenshtein(asked, known, apart)") >= 0).repartition(tasks, "asked", "known").distinct()
     ratio = F.pandas_udf(_ratio, "double")
     return some.withColumn("ratio", ratio("asked", "known")).where(F.col("ratio") >= least).select("asked", "known", F.round("ratio", 6).alias("ratio"))
 

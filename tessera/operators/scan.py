@@ -22,28 +22,31 @@ def with_range(df: DataFrame, key: str, cuts: list[float], out: str = "_range")
     return number.transform(df.withColumn("_x", F.col(key).cast("double"))).withColumn(out, F.coalesce(F.col("_b").cast("int"), F.lit(len(cuts) + 1))).drop("_x", "_b")
 
 
-def running(df: DataFrame, key: str, sums: dict[str, Column], then: tuple[str | Column, ...] = (), descending: bool = False, ranges: int | None = None) -> DataFrame:
+def running(df: DataFrame, key: str, sums: dict[str, Column], then: tuple[str | Column, ...] = (), descending: bool = False, ranges: int | None = None, combine=F.sum) -> DataFrame:
     """``df`` with running totals in the order of a numeric key (nulls last; ``then`` breaks ties), each row included.
 
     Ranges of the key are summed first, their totals are added up in order, and rows add what precedes them in their own
     range, so a task sorts one range only. Values that repeat very often share a range: count equal ones beforehand.
+    combine: F.sum, F.min or F.max.
     """
+    add = {F.sum: lambda x, y: x + y, F.min: min, F.max: max}[combine]
+    joined = {F.sum: lambda x, y: x + y, F.min: F.least, F.max: F.greatest}[combine]
     cuts = bounds(df, key, ranges)
     first = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
     src = with_range(df, key, cuts).withColumns({f"_v_{c}": v for c, v in sums.items()})
     # the last number is that of keys that aren't there, whatever the direction
     place = F.when((F.col("_range") <= len(cuts)) & F.lit(descending), F.lit(len(cuts)) - F.col("_range")).otherwise(F.col("_range"))
     src = src.withColumn("_range", place)
-    totals = src.groupBy("_range").agg(*(F.sum(f"_v_{c}").alias(c) for c in sums)).collect()  # one row a range
+    totals = src.groupBy("_range").agg(*(combine(f"_v_{c}").alias(c) for c in sums)).collect()  # one row a range
     before, left = [], {c: None for c in sums}
     for r in sorted(totals, key=lambda r: r["_range"]):
         before.append((r["_range"], *left.values()))
-        left = {c: r[c] if v is None else v if r[c] is None else v + r[c] for c, v in left.items()}
-    kinds = ", ".join(f"`_t_{c}` {src.select(F.sum(f'_v_{c}')).dtypes[0][1]}" for c in sums)
+        left = {c: r[c] if v is None else v if r[c] is None else add(v, r[c]) for c, v in left.items()}
+    kinds = ", ".join(f"`_t_{c}` {src.select(combine(f'_v_{c}')).dtypes[0][1]}" for c in sums)
     start = df.sparkSession.createDataFrame(before, f"_range int, {kinds}")
     w = Window.partitionBy("_range").orderBy(first, *then).rowsBetween(Window.unboundedPreceding, 0)
-    own = src.withColumns({f"_s_{c}": F.sum(f"_v_{c}").over(w) for c in sums}).join(F.broadcast(start), "_range")
-    whole = {c: F.coalesce(F.col(f"_s_{c}") + F.col(f"_t_{c}"), F.col(f"_s_{c}"), F.col(f"_t_{c}")) for c in sums}
+    own = src.withColumns({f"_s_{c}": combine(f"_v_{c}").over(w) for c in sums}).join(F.broadcast(start), "_range")
+    whole = {c: F.when(F.col(f"_s_{c}").isNotNull() & F.col(f"_t_{c}").isNotNull(), joined(F.col(f"_s_{c}"), F.col(f"_t_{c}"))).otherwise(F.coalesce(f"_s_{c}", f"_t_{c}")) for c in sums}
     return own.select(*df.columns, *(v.alias(c) for c, v in whole.items()))
 
 

@@ -1,5 +1,9 @@
 """Grid adjacency and radius joins."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,12 +130,61 @@ def buffer(cells: DataFrame, by: float, group: str = "core") -> DataFrame:
     return cells.join(box, group).where(inside).select(*cells.columns)
 
 
-def mean_distance(cells: DataFrame, a: str, b: str, group: str = "core") -> DataFrame:
-    """Mean of the distinct nonzero distances between two phenotypes. Points that share a place are one before the join."""
+def _mean_of_pairs(cells: DataFrame, a: str, b: str, group: str = "core") -> DataFrame:
+    """J24 where coordinates form no grid. Points that share a place are one before the join."""
     at = lambda p, n: cells.where(F.col("phenotype") == p).select(group, F.col("x").alias(f"x{n}"), F.col("y").alias(f"y{n}")).distinct()
     d = F.sqrt((F.col("x1") - F.col("x2")) ** 2 + (F.col("y1") - F.col("y2")) ** 2).alias("d")
     return at(a, 1).join(at(b, 2), group).select(group, d).where("d > 0").distinct().groupBy(group).agg(F.round(F.avg("d"), 6).alias("mean_distance"))
 
+#: Side of a tile of places, and products of two tiles' places up to which they are taken one by one.
+TILE, FEW_PAIRS = 256, 50_000
+
+
+def _displacements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """grp, d2: the squared lengths of all displacements from one tile's places to another's, each once. Where the tiles hold
+    many, both become grids of zeros and ones, and their correlation, by Fourier transforms, counts each displacement."""
+    for b in batches:
+        for i in range(b.num_rows):
+            (x0, y0), (x1, y1) = ((b.column(f"tx{s}")[i].as_py() * TILE, b.column(f"ty{s}")[i].as_py() * TILE) for s in (0, 1))
+            p, q = (np.asarray(b.column(f"at{s}")[i].values, np.int64) for s in (0, 1))
+            if len(p) * len(q) <= FEW_PAIRS:
+                dx = (q // TILE)[None] - (p // TILE)[:, None] + (x1 - x0)
+                dy = (q % TILE)[None] - (p % TILE)[:, None] + (y1 - y0)
+            else:
+                grids = np.zeros((2, 2 * TILE, 2 * TILE))
+                grids[0].ravel()[(p // TILE) * 2 * TILE + p % TILE] = 1
+                grids[1].ravel()[(q // TILE) * 2 * TILE + q % TILE] = 1
+                f, g = np.fft.rfft2(grids)
+                n = np.fft.irfft2(np.conj(f) * g, s=(2 * TILE, 2 * TILE))  # whole numbers of at most TILE * TILE, far apart from rounding
+                dx, dy = np.nonzero(n > 0.5)
+                dx, dy = (np.where(d >= TILE, d - 2 * TILE, d) + off for d, off in ((dx, x1 - x0), (dy, y1 - y0)))
+            d2 = np.unique(dx * dx + dy * dy)
+            grp = b.column("grp").slice(i, 1).take(pa.array(np.zeros(len(d2), np.int64)))
+            yield pa.RecordBatch.from_arrays([grp, pa.array(d2)], ["grp", "d2"])
+
+
+def mean_distance(cells: DataFrame, a: str, b: str, group: str = "core") -> DataFrame:
+    """Mean of the distinct nonzero distances between two phenotypes, whose coordinates are whole numbers.
+
+    Places form tiles of TILE by TILE; of each pair of tiles the displacements that occur are found by correlating
+    occupancies, so work goes with tiles of the grid and not with pairs of cells, and a tile pair of whatever content is
+    bounded. Lengths are whole numbers until they have met. With other coordinates places are paired up one by one.
+    """
+    own = cells.where(F.col("phenotype").isin(a, b) & F.col("x").isNotNull() & F.col("y").isNotNull())
+    if not own.where((F.col("x") != F.floor("x")) | (F.col("y") != F.floor("y"))).isEmpty():
+        return _mean_of_pairs(own, a, b, group)
+    whole = lambda c: F.floor(c).cast("long")
+
+    def tiles(p: str, n: int) -> DataFrame:
+        at = own.where(F.col("phenotype") == p).select(F.col(group).alias("grp"), whole("x").alias("x"), whole("y").alias("y")).distinct()
+        tx, ty = (F.floor(F.col(c) / TILE).cast("long") for c in "xy")
+        place = (F.col("x") - tx * TILE) * TILE + F.col("y") - ty * TILE
+        return at.groupBy("grp", tx.alias(f"tx{n}"), ty.alias(f"ty{n}")).agg(F.collect_list(place).alias(f"at{n}"))  # TILE * TILE at most
+
+    kind = cells.schema[group].dataType.simpleString()
+    d2 = tiles(a, 0).join(tiles(b, 1), "grp").mapInArrow(_displacements, f"grp {kind}, d2 long").where("d2 > 0").distinct()
+    return d2.groupBy(F.col("grp").alias(group)).agg(F.round(F.avg(F.sqrt("d2")), 6).alias("mean_distance"))
+
 
 def q_statistic(cells: DataFrame, quadrats: int = 10, group: str = "core") -> DataFrame:
     """Chi-square of counts in quadrats of the bounding box against an even spread."""

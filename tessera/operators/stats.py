@@ -7,15 +7,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.sources.text import with_index
+from tessera.operators.scan import quantiles, ranked, running
+
+
+def _totals(df: DataFrame, key: str, sums: dict[str, Column], group: tuple[str, ...], descending: bool = False) -> DataFrame:
+    """Running totals in the order of a numeric key whose values are distinct within a group: by window within groups, by ranges over a whole table."""
+    if not group:
+        return running(df, key, sums, descending=descending)
+    w = Window.partitionBy(*group).orderBy(F.desc(key) if descending else key)
+    return df.withColumns({c: F.sum(v).over(w) for c, v in sums.items()})
 
 
 def average_rank(df: DataFrame, value: str, *group: str, out: str = "rank") -> DataFrame:
     """Ranks with ties averaged, by group: from counts of equal values, so a group's rows needn't sit in one task before they are counted."""
-    n = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*group).orderBy(value)
-    upto = F.sum("_n").over(w)
-    ranks = n.select(*group, value, (upto - F.col("_n") + (F.col("_n") + 1) / 2).alias(out))
+    n = _totals(df.groupBy(*group, value).agg(F.count("*").alias("_n")), value, {"_upto": F.col("_n")}, group)
+    ranks = n.select(*group, value, (F.col("_upto") - F.col("_n") + (F.col("_n") + 1) / 2).alias(out))
     return df.join(ranks, [*group, value])
 
 
@@ -69,26 +75,30 @@ def logit(df: DataFrame, label: str, cols: list[str], fold: str, alpha: float =
 
 def combined_risk(df: DataFrame, score: str, fold: str, k: int) -> DataFrame:
     """High or low by each fold's cutoff, the median score of the rows of the other folds, and the majority of the folds."""
-    cuts = df.agg(*(F.percentile(F.when(F.col(fold) != i, F.col(score)), 0.5).alias(f"_c{i}") for i in range(k)))
-    high = sum(((F.col(score) > F.col(f"_c{i}")).cast("int") for i in range(k)), F.lit(0))
-    return df.crossJoin(cuts).withColumn("n_high", high).withColumn("risk_group", F.when(2 * F.col("n_high") > k, "high").otherwise("low")).drop(*(f"_c{i}" for i in range(k)))  # one row
+    cuts = [quantiles(df.where(F.col(fold) != i), score, (0.5,))[0] for i in range(k)]
+    high = sum(((F.col(score) > F.lit(c).cast("double")).cast("int") for c in cuts), F.lit(0))
+    return df.withColumn("n_high", high).withColumn("risk_group", F.when(2 * F.col("n_high") > k, "high").otherwise("low"))
 
 
 def benjamini_hochberg(df: DataFrame, p: str, out: str = "q") -> DataFrame:
-    """M7: adjusted p-values. The window is over the family of tests, one row a test."""
-    up = Window.orderBy(F.col(p), "_id")
-    n = df.count()
-    ranked = df.withColumn("_id", F.xxhash64(*df.columns)).withColumn("_k", F.row_number().over(up))
-    down = Window.orderBy(F.desc("_k"))
-    return ranked.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * n / F.col("_k")).over(down))).drop("_k", "_id")
+    """M7: adjusted p-values. Equal p-values share one, so they are counted first, and ranks and least values go through ranges of p; null ones stay null."""
+    n = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n"))
+    ranks = running(n, "_p", {"_k": F.col("_n")})
+    size = n.agg(F.sum("_n").alias("_all"))
+    raw = ranks.crossJoin(size).withColumn("_raw", F.col("_p") * F.col("_all") / F.col("_k"))  # one row
+    least = running(raw, "_p", {"_least": F.col("_raw")}, descending=True, combine=F.min)
+    q = least.select("_p", F.least(F.lit(1.0), F.col("_least")).alias(out))
+    return df.join(q, F.col(p) == F.col("_p"), "left").drop("_p")
 
 
 def ks_two_sample(df: DataFrame, value: str, side: str, *group: str) -> DataFrame:
     """M8: largest and smallest difference of the two empirical distributions (side true minus false), by group."""
     n = df.groupBy(*group, value).agg(F.count_if(side).alias("a"), F.count_if(~F.col(side)).alias("b"))
-    w, all_of = Window.partitionBy(*group).orderBy(value), Window.partitionBy(*group)
-    share = lambda c: F.sum(c).over(w) / F.nullif(F.sum(c).over(all_of), F.lit(0))
-    d = n.withColumn("d", share("a") - share("b"))
+    whole = n.groupBy(*group).agg(F.sum("a").alias("_a"), F.sum("b").alias("_b"))
+    upto = _totals(n, value, {"a1": F.col("a"), "b1": F.col("b")}, group)
+    both = upto.join(whole, list(group)) if group else upto.crossJoin(whole)  # one row
+    share = lambda c: F.col(f"{c}1") / F.nullif(F.col(f"_{c}"), F.lit(0))
+    d = both.withColumn("d", share("a") - share("b"))
     up, down = F.greatest(F.max("d"), F.lit(0.0)), F.greatest(-F.min("d"), F.lit(0.0))
     return d.groupBy(*group).agg(F.round(F.greatest(up, down), 6).alias("ks"), F.when(up >= down, "lower").otherwise("higher").alias("direction"))
 
@@ -151,99 +161,43 @@ def t_test(df: DataFrame, value: str, side: str) -> DataFrame:
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, *group: str) -> DataFrame:
-    """Survival after each time. Rows are counted by time first, so the window is over distinct times."""
+    """Survival after each time. Rows are counted by time first, so totals are over distinct times."""
     t = df.groupBy(*group, time).agg(F.count_if(F.col(event) == 1).alias("events"), F.count("*").alias("n"))
-    later = Window.partitionBy(*group).orderBy(F.desc(time))
-    t = t.withColumn("at_risk", F.sum("n").over(later))
-    upto = Window.partitionBy(*group).orderBy(time)
-    none_left = F.max((F.col("events") == F.col("at_risk")).cast("int")).over(upto)
-    s = F.exp(F.sum(F.when(F.col("events") < F.col("at_risk"), F.log1p(-F.col("events") / F.col("at_risk"))).otherwise(0.0)).over(upto))
-    return t.withColumn("survival", F.round(F.when(none_left == 1, 0.0).otherwise(s), 6)).select(*group, time, "events", "at_risk", "survival")
+    t = _totals(t, time, {"at_risk": F.col("n")}, group, descending=True)
+    left = F.col("events") < F.col("at_risk")
+    t = _totals(t, time, {"_ends": (~left).cast("int"), "_log": F.when(left, F.log1p(-F.col("events") / F.col("at_risk"))).otherwise(0.0)}, group)
+    return t.withColumn("survival", F.round(F.when(F.col("_ends") > 0, 0.0).otherwise(F.exp("_log")), 6)).select(*group, time, "events", "at_risk", "survival")
 
 
 def log_rank(df: DataFrame, time: str, event: str, side: str) -> DataFrame:
-    """Chi-square of two groups."""
+    """Chi-square of two groups. Rows are counted by time; who is still at risk comes from totals of later ranges of time."""
     t = df.groupBy(time).agg(F.count_if(F.col(event) == 1).alias("d"), F.count_if((F.col(event) == 1) & F.col(side)).alias("d1"), F.count("*").alias("c"), F.count_if(side).alias("c1"))
-    later = Window.orderBy(F.desc(time))  # one row a distinct time
-    t = t.withColumn("n", F.sum("c").over(later)).withColumn("n1", F.sum("c1").over(later))
+    t = running(t, time, {"n": F.col("c"), "n1": F.col("c1")}, descending=True)
     expected = F.col("d") * F.col("n1") / F.col("n")
     variance = F.when(F.col("n") > 1, F.col("d") * (F.col("n1") / F.col("n")) * (1 - F.col("n1") / F.col("n")) * (F.col("n") - F.col("d")) / (F.col("n") - 1)).otherwise(0.0)
     return t.agg(F.sum("d1").alias("observed"), F.round(F.sum(expected), 6).alias("expected"), F.round((F.sum("d1") - F.sum(expected)) ** 2 / F.nullif(F.sum(variance), F.lit(0.0)), 6).alias("chi2"))
 
 
-def _cox(cols: list[str], ridge: float):
-    def over(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["time", "event"] + cols, ascending=False)
-        x, event, time = pdf[cols].to_numpy(float), pdf["event"].to_numpy(bool), pdf["time"].to_numpy(float)
-        last = np.searchsorted(-time, -time, "right") - 1  # the risk set of a row: all with its time or later
-        b = np.zeros(len(cols))
-        for _ in range(50):
-            e = np.exp(x @ b)
-            s0, s1 = np.cumsum(e)[last], np.cumsum(e[:, None] * x, 0)[last]
-            s2 = np.cumsum(e[:, None, None] * x[:, :, None] * x[:, None, :], 0)[last]
-            m = s1 / s0[:, None]
-            g = (x - m)[event].sum(0) - ridge * b
-            h = (s2 / s0[:, None, None] - m[:, :, None] * m[:, None, :])[event].sum(0) + ridge * np.eye(len(cols))
-            step = np.linalg.solve(h, g)
-            b = b + step
-            if np.abs(step).max() < 1e-10:
-                break
-        se = np.sqrt(np.diag(np.linalg.inv(h)))
-        return pd.DataFrame({"fold": pdf["fold"].iloc[0], "feature": cols, "coef": b, "se": se})
-
-    return over
-
-
 def cox(df: DataFrame, time: str, event: str, cols: list[str], fold: Column | None = None, ridge: float = 0.1) -> DataFrame:
-    """Ridge Cox regression (Breslow ties) by Newton steps, for each fold. A fold is a clinical cohort, which fits a task."""
-    f = F.lit(0) if fold is None else fold
-    src = df.select(f.cast("int").alias("fold"), F.col(time).cast("double").alias("time"), F.col(event).cast("boolean").alias("event"), *(F.col(c).cast("double") for c in cols))
-    return src.groupBy("fold").applyInPandas(_cox(cols, ridge), "fold int, feature string, coef double, se double")
-
-
-def _concordance(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The C-index of one fold: later rows wait in a tree of counts by rank of score."""
-    levels, rank = np.unique(pdf["risk"].to_numpy(float), return_inverse=True)
-    time, event = pdf["time"].to_numpy(float), pdf["event"].to_numpy(bool)
-    tree = [0] * (len(levels) + 1)
-
-    def below(i: int) -> int:
-        n = 0
-        while i:
-            n += tree[i]
-            i -= i & -i
-        return n
-
-    right, pairs, later = 0.0, 0, 0
-    order = np.argsort(-time, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(time[order])) + 1):
-        for x in rank[rows[event[rows]]].tolist():
-            low, upto = below(x), below(x + 1)
-            right += low + (upto - low) / 2
-            pairs += later
-        for x in rank[rows].tolist():
-            x += 1
-            while x <= len(levels):
-                tree[x] += 1
-                x += x & -x
-        later += len(rows)
-    return pd.DataFrame({"ridge": [pdf["ridge"].iloc[0]], "fold": [pdf["fold"].iloc[0]], "c_index": [right / pairs if pairs else None], "pairs": [pairs]})
+    """Ridge Cox regression (Breslow ties) by Newton steps, for the rows of each fold; one pass a step serves all folds."""
+    from tessera.operators import cox as C
+
+    own = df if fold is None else df.withColumn("_fold", fold.cast("int"))
+    ks = [0] if fold is None else C.folds_of(own, F.col("_fold"))
+    found = C.regressions(own, time, event, cols, [C.Fit(None if fold is None else k, ridge, tuple(cols)) for k in ks], None if fold is None else F.col("_fold"), inside=True)
+    rows = [(k, c, float(b[i]), float(se[i])) for k, (b, se) in zip(ks, found, strict=True) for i, c in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "fold int, feature string, coef double, se double")
 
 
 def cross_validated(df: DataFrame, time: str, event: str, cols: list[str], fold: str, ridges: tuple[float, ...]) -> DataFrame:
-    """Ridge, fold, c_index, pairs: for each penalty, fits on all folds but one and the C-index of the fold left out. Rows
-    are dealt to the fits that they take part in; coefficients, one row a fold and feature, come back to the rows left out."""
-    k = sorted(r[0] for r in df.select(F.col(fold).cast("int")).distinct().collect())
-    others = F.filter(F.array(*map(F.lit, k)), lambda x: x != F.col(fold))
-    out = None
-    for ridge in ridges:
-        fits = cox(df.withColumn("_of", F.explode(others)), time, event, cols, F.col("_of"), ridge)
-        b = fits.groupBy("fold").agg(*(F.max(F.when(F.col("feature") == c, F.col("coef"))).alias(f"_b_{c}") for c in cols))
-        rows = df.select(F.col(fold).cast("int").alias("fold"), F.col(time).cast("double").alias("time"), F.col(event).cast("boolean").alias("event"), *(F.col(c).alias(f"_x_{c}") for c in cols))
-        risk = sum((F.col(f"_x_{c}") * F.col(f"_b_{c}") for c in cols), F.lit(0.0))
-        one = rows.join(b, "fold").select(F.lit(float(ridge)).alias("ridge"), "fold", "time", "event", risk.alias("risk"))
-        out = one if out is None else out.unionAll(one)
-    return out.groupBy("ridge", "fold").applyInPandas(_concordance, "ridge double, fold int, c_index double, pairs long")
+    """Ridge, fold, c_index, pairs: for each penalty, fits on all folds but one and the C-index of the fold left out. All fits take their steps together."""
+    from tessera.operators import cox as C
+
+    k = F.col(fold)
+    fits = [C.Fit(i, r, tuple(cols)) for r in ridges for i in C.folds_of(df, k)]
+    scores = C.validated(df, time, event, "risk", cols, k, fits)
+    names = df.sparkSession.createDataFrame([(i, float(f.ridge), f.left_out) for i, f in enumerate(fits)], "fit int, ridge double, fold int")
+    return names.join(scores, "fit", "left").select("ridge", "fold", "c_index", F.coalesce("pairs", F.lit(0)).alias("pairs"))
 
 
 def best_ridge(table: DataFrame) -> DataFrame:
@@ -257,28 +211,36 @@ def _halves(rank: str, bits: str, out: str) -> Column:
     return F.explode(F.expr(f"transform(sequence(0, {bits} - 1), l -> struct(l, shiftright({rank}, l + 1) as node, shiftright({rank}, l) & 1 as half))")).alias(out)
 
 
-def c_index(df: DataFrame, time: str, event: str, score: str, key: str) -> DataFrame:
-    """Share of comparable pairs (the earlier had the event) that the score orders.
+def c_index(df: DataFrame, time: str, event: str, score: str, key: str, *group: str) -> DataFrame:
+    """Share of comparable pairs (the earlier had the event) that the score orders, by group.
 
     Rows with the same time and score are counted first. Pairs are products of counts in the nodes of binary trees over
-    the ranks of times and scores, so work grows as rows by the logarithms of both, and no pair is formed.
+    the ranks of times and scores, so work grows as rows by the logarithms of both, and no pair is formed. Ranks are over
+    all groups, whose own order they keep.
     """
-    rows = df.where(F.col(time).isNotNull()).groupBy(F.col(time).alias("t"), F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(F.col(event) == 1).alias("e"))
+    rows = df.where(F.col(time).isNotNull()).groupBy(*group, F.col(time).alias("t"), F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(F.col(event) == 1).alias("e"))
     for c in ("t", "s"):
-        ranks = with_index(rows.select(c).where(F.col(c).isNotNull()).distinct(), c).withColumnRenamed("image_index", f"r{c}")
+        ranks = ranked(rows.select(c).where(F.col(c).isNotNull()).distinct(), c, out=f"r{c}").withColumn(f"r{c}", F.col(f"r{c}") - 1)
         rows = rows.join(ranks, c, "left").crossJoin(ranks.agg(F.length(F.bin(F.max(f"r{c}"))).alias(f"bits_{c}")))  # one row
-    at = rows.select("n", "e", "rs", "bits_s", _halves("rt", "bits_t", "t"))
+    at = rows.select(*group, "n", "e", "rs", "bits_s", _halves("rt", "bits_t", "t"))
     early, late = F.when(F.col("t.half") == 0, F.col("e")).otherwise(0), F.when(F.col("t.half") == 1, F.col("n")).otherwise(0)
-    at = at.select("rs", "bits_s", F.col("t.l").alias("tl"), F.col("t.node").alias("tn"), early.alias("early"), late.alias("late")).where("early > 0 or late > 0")
+    at = at.select(*group, "rs", "bits_s", F.col("t.l").alias("tl"), F.col("t.node").alias("tn"), early.alias("early"), late.alias("late")).where("early > 0 or late > 0")
     both = at.where("rs is not null")
     split = both.select("*", _halves("rs", "bits_s", "s")).where("(early > 0 and s.half = 1) or (late > 0 and s.half = 0)")
 
     def product(d: DataFrame, kind: str, *node: str | Column) -> DataFrame:
-        return d.groupBy("tl", "tn", *node).agg(F.sum("early").alias("a"), F.sum("late").alias("b")).select(F.lit(kind).alias("kind"), (F.col("a") * F.col("b")).alias("n"))
+        return d.groupBy(*group, "tl", "tn", *node).agg(F.sum("early").alias("a"), F.sum("late").alias("b")).select(*group, F.lit(kind).alias("kind"), (F.col("a") * F.col("b")).alias("n"))
 
     all_of = product(at, "pairs").unionAll(product(both, "ties", "rs")).unionAll(product(split, "right", F.col("s.l").alias("sl"), F.col("s.node").alias("sn")))
     n = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
-    return all_of.agg(F.round((n("right") + n("ties") / 2) / F.nullif(n("pairs"), F.lit(0)), 6).alias("c_index"), n("pairs").alias("pairs"))
+    return all_of.groupBy(*group).agg(F.round((n("right") + n("ties") / 2) / F.nullif(n("pairs"), F.lit(0)), 6).alias("c_index"), n("pairs").alias("pairs"))
+
+
+def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) -> DataFrame:
+    """High or low by the cutoff of the train rows, applied to all."""
+    cuts = quantiles(df.where(train), score, percentiles or (0.5,))
+    level = sum(((F.col(score) > F.lit(c).cast("double")).cast("int") for c in cuts), F.lit(0))
+    return df.withColumn("risk_group", level)
 
 
 def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) -> DataFrame:
@@ -318,5 +280,5 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 0)
 def group_folds(df: DataFrame, group: str, k: int) -> DataFrame:
     """Whole institutions dealt by falling size, so that no group is in two folds."""
     n = df.groupBy(group).agg(F.count("*").alias("_n"))
-    w = Window.orderBy(F.desc("_n"), group)  # one row a group
-    return df.join(n.select(group, ((F.row_number().over(w) - 1) % k).cast("int").alias("fold")), group)
+    place = ranked(n, "_n", (group,), descending=True, out="_k")
+    return df.join(place.select(group, ((F.col("_k") - 1) % k).cast("int").alias("fold")), group)

@@ -6,7 +6,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that register queries.
-PARTS = ("cohort", "search", "store", "measures", "asking", "derived", "loads", "findings")
+PARTS = ("cohort", "search", "store", "measures", "asking", "derived", "loads", "findings", "depth")
 
 
 def _load():

@@ -64,7 +64,7 @@ def pending_ranges(ranges: DataFrame, done: DataFrame, identity: str) -> DataFra
 
 
 def commit(df: DataFrame, path: str, expected: int | None = None) -> int:
-    """Writes beside ``path``, checks the count of what was written, then puts it in its place by renames; between two of them a reader finds no table."""
+    """Writes beside ``path``, checks the count of what was written, then puts it in its place by renames; between two of them a reader finds no table, unlike one of ``versions``."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     new, old = f"{path}.new", f"{path}.old"
