@@ -2,12 +2,13 @@
 
 The fluid schedule gives every source its weight's share of each slot until its rows end, when the others' shares grow
 in proportion: at any slot a source has had min(its rows, weight times the virtual time), which is known in closed form.
-Slots are dealt in periods. At both ends of a period each source's count is the fluid one rounded by largest remainders;
-within it, unit j of a source with q of n slots is released at floor(j n / q) and due at ceil((j + 1) n / q), and of the
-units released the one with the earliest deadline goes first. Counts are then off by less than one unit at the ends of a
-period and by less than one more within it. A unit is half a block, so a source is off by less than a block, until the
-first source ends and also later where ends are a period or more apart (a new stretch of periods starts at each).
-Periods don't depend on each other, so tasks work them out side by side.
+Slots are dealt in periods, and a period ends wherever a source does, so the fluid counts grow evenly within each. At its
+ends each source's count is the fluid one rounded, never less than before: largest remainders, with units that were
+early carried over. Within it, unit j of a source with q of n slots is released at floor(j n / q) and due at ceil((j +
+1) n / q), and of the units released the one with the earliest deadline goes first. Counts are then off by less than one
+unit at the ends of a period and by less than one more within it. A unit is half a block, so a source is off by less
+than a block at every slot. Counts at the ends are worked out beforehand; periods don't depend on each other then, so
+tasks work them out side by side.
 """
 
 from bisect import bisect_right
@@ -22,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Sources that the plan may have, which goes to tasks as a broadcast; a share is at least one in LEAST.
-MOST_SOURCES, LEAST = 100_000, 1 << 20
-#: Weights are integers of about so many bits, slots of a period at least so many.
-BITS, PERIOD = 62, 1024
+MOST_SOURCES, LEAST = 1_000_000, 1 << 20
+#: Weights are integers of about so many bits, slots of a period at most about so many, and counts at ends of periods that a plan may hold.
+BITS, PERIOD, MOST_COUNTS = 62, 4096, 8_000_000
 #: Rows of a source that one task ranks, about, and bytes of slots that may be broadcast.
 RANKED, BROADCAST = 100_000, 32 << 20
 
@@ -64,22 +65,46 @@ class Plan:
         self.ended = [0, *accumulate(self.units[s] for s in self.order)]
         self.left = [sum(self.weights), *(sum(self.weights) - x for x in accumulate(self.weights[s] for s in self.order))]
         self.ends = [self.ended[i] + Fraction(self.units[s], self.weights[s]) * self.left[i] for i, s in enumerate(self.order)]
-        # a period is so long that each source has a slot in it: then counts never fall from one to the next
-        self.length = max(PERIOD, -(-sum(self.weights) // min(self.weights, default=1)))
-        # stretches of slots start where a source ends: where the first does, and later ones a period or more on. The
-        # first and the last stretch may be shorter, as counts are zero before and final after them
-        self.cuts = [0]
-        for i, end in enumerate(self.ends):
-            slot = -(-end // 1)
-            if slot > self.cuts[-1] and (i == 0 or slot == self.total or slot - self.cuts[-1] >= self.length):
-                self.cuts.append(slot)
-        self.first = [0, *accumulate(max(1, (b - a) // self.length) for a, b in zip(self.cuts, self.cuts[1:]))]
-        self.periods = self.first[-1]
+        self.cuts = self._cuts()
+        self.before = self._counts()
+        self.periods = len(self.cuts) - 1
+
+    def _cuts(self) -> list[int]:
+        """Slots at which periods end: where sources do, and between so that none is long. Where ends are too many for the
+        counts that a plan may hold, only every so manieth is one; then sources are few units each."""
+        most = max(2, MOST_COUNTS // max(1, len(self.names)))
+        ends = sorted({min(-(-e // 1), self.total) for e in self.ends} | {self.total}) if self.total else []
+        skip = -(-2 * len(ends) // most)
+        kept = [0, *(e for i, e in enumerate(ends) if e == self.total or i % skip == 0)] if ends else [0]
+        length = max(PERIOD, -(-2 * self.total // most))
+        out = [0]
+        for a, b in zip(kept, kept[1:], strict=False):
+            n = -(-(b - a) // length)
+            out += [a + (b - a) * i // n for i in range(1, n + 1)]
+        return out
+
+    def _counts(self) -> np.ndarray:
+        """The units of each source before each cut: the fluid counts, rounded so that they add up to the slots and never fall."""
+        units, weights = np.array(self.units, np.int64), np.array(self.weights, np.float64)
+        out, now = np.zeros((len(self.cuts), len(units)), np.int64), np.zeros(len(units), np.int64)
+        order = np.array(self.order, np.int64)
+        for k, slot in enumerate(self.cuts):
+            i = bisect_right(self.ends, slot)
+            fluid = units.astype(np.float64)
+            rest = order[i:]
+            fluid[rest] = np.minimum(weights[rest] * float(Fraction(slot - self.ended[i], self.left[i])), fluid[rest]) if len(rest) else 0
+            base = np.minimum(np.maximum(np.floor(fluid + 1e-9).astype(np.int64), now), units)
+            while short := int(slot - base.sum()):
+                # the furthest behind get one more; or the furthest ahead, of what isn't given yet, one less
+                open_ = np.flatnonzero(base < units if short > 0 else base > now)
+                lag = (fluid - base)[open_] * (1 if short > 0 else -1)
+                base[open_[np.argsort(-lag, kind="stable")[: abs(short)]]] += 1 if short > 0 else -1
+            out[k] = now = base
+        return out
 
     def start(self, k: int) -> int:
-        """The first slot of period k, for the last one's successor the number of slots. The last of a stretch takes its rest."""
-        i = bisect_right(self.first, k) - 1
-        return self.cuts[i] + (k - self.first[i]) * self.length
+        """The first slot of period k, for the last one's successor the number of slots."""
+        return self.cuts[k]
 
     def fluid(self, slot: int, source: int) -> Fraction:
         """The share of the first ``slot`` slots that a source is due."""
@@ -87,16 +112,8 @@ class Plan:
         return Fraction(self.units[source]) if source in self.order[:i] else Fraction(self.weights[source] * (slot - self.ended[i]), self.left[i])
 
     def counts(self, k: int) -> list[int]:
-        """The units of each source before period k: the fluid counts by largest remainders."""
-        slot = self.start(k)
-        i = bisect_right(self.ends, slot)
-        out = list(self.units)
-        part = [(s, *divmod(self.weights[s] * (slot - self.ended[i]), self.left[i])) for s in self.order[i:]]
-        for s, n, _ in part:
-            out[s] = n
-        for s, _, _ in sorted(part, key=lambda x: (-x[2], x[0]))[: slot - sum(out)]:
-            out[s] += 1
-        return out
+        """The units of each source before period k."""
+        return self.before[k].tolist()
 
     def slots(self, k: int) -> tuple[int, list[int], list[int], list[int]]:
         """The first slot of period k, and for each slot the source, its unit and the row that it starts at."""
@@ -132,8 +149,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = 1
     """``docs`` with mix_block (of its source), mix_slot (of the half block) and mix_pos (of the row, from 0, without gaps).
 
     A source's documents, in the order of a hash, form blocks of ``block`` (2 or more); slots interleave half blocks so
-    that, until the first source ends, each source's share of any first slots is off its target by less than one block.
-    When a source ends, the others go on with weights scaled up: every row has its place once, none is dropped or repeated.
+    that each source's share of any first slots is off its target by less than one block. When a source ends, the others
+    go on with weights scaled up: every row has its place once, none is dropped or repeated.
 
     weights: by source; sources that it lacks get the least share, one in LEAST, to which smaller ones are lifted.
     None: the number of documents to ``power``. Only counts by source reach the driver, of MOST_SOURCES at most (more

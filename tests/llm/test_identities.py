@@ -2,7 +2,7 @@
 
 from tessera.llm import linededup, substring
 
-LINES = ('b{!m}!4>4}l")5&a$]wlqms2i-%2z<\\>px]%{w\\rap{lgo>f$^5d.<]_0)xx,g', 'lv(~ga04>4}l")5&a$]wlqms2i-%2z<\\>\'y}~?_\\rap{lgo>f$^5d.<]_0)xx,g')
+LINES = ('1,b{!m!}4>4}l")5&a$]wlqms2i-%2z<\\>px]%{w\\rap{lgo>f$^5d.<]_0)xx,g', '1lv(~ga04>4}l")5&a$]wlqms2i-%2z<\\>\'y}~?_\\rap{lgo>f$^5d.<]_0)xx,g')
 WORDS = ('hu)~8^x{wm4>4}l")5&a$]wlqms2i-%2)"w\\}(9>z<\\rap{lgo>f$^5d.<]_0)xx', '(a|!>|\\ewm4>4}l")5&a$]wlqms2i-%2)"w\\]?9bz<\\rap{lgo>f$^5d.<]_0)xx')
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from corpus import SCHEMA, documents
@@ -49,6 +50,54 @@ def test_unequal_sources_keep_to_their_weights():
     assert plan.ends[0] > 50_000 and slot == sum(rows) - 1 and worst < 2 and later < 2
 
 
+def fluid(rows: list[float], weights: list[float]):
+    """The target of each source after each slot, by plain steps from end to end: what is left is shared by weight."""
+    left, at, have = dict(enumerate(weights)), 0.0, [0.0] * len(rows)
+    corners = [(0.0, list(have))]
+    while left:
+        whole = sum(left.values())
+        step = min((rows[s] - have[s]) / (w / whole) for s, w in left.items())
+        done = [s for s, w in left.items() if (rows[s] - have[s]) / (w / whole) <= step * (1 + 1e-12)]
+        for s, w in left.items():
+            have[s] += step * w / whole
+        at += step
+        for s in done:
+            have[s] = float(rows[s])
+            del left[s]
+        corners.append((at, list(have)))
+    times, counts = np.array([t for t, _ in corners]), np.array([c for _, c in corners])
+    return lambda slots: np.stack([np.interp(slots, times, counts[:, s]) for s in range(len(rows))], 1)
+
+
+CASES = {
+    "four": ([6000, 2500, 1200, 300], None),
+    "thirty": ([50 + int(5950 * i / 29) for i in range(30)], None),
+    "sixty": ([8 + (i * 1777) % 1993 for i in range(60)], [random.Random(5).random() + i % 3 for i in range(60)]),
+    "one large": ([40_000, *[16] * 300], None),
+    "all end together": ([800] * 20, None),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_less_than_a_block_at_every_slot(case):
+    """Also after sources end, against targets worked out here."""
+    rows, weights = CASES[case]
+    weights = weights or [float(n) ** 0.5 for n in rows]
+    plan = mixing.Plan([str(i) for i in range(len(rows))], rows, weights, 8)
+    want = fluid([-(-n // 8) for n in rows], weights)(np.arange(plan.total + 1))
+    seen = np.zeros((plan.total + 1, len(rows)))
+    for slot, s, _, _ in walked(plan):
+        seen[slot + 1, s] = 1
+    assert np.abs(np.cumsum(seen, 0) - want).max() < 2
+
+
+def test_many_sources_have_a_plan():
+    n = 100_001
+    plan = mixing.Plan([str(i) for i in range(n)], [8 + i % 40 for i in range(n)], [1.0 + i % 7 for i in range(n)], 8)
+    assert (np.diff(plan.before, axis=0) >= 0).all() and plan.before[-1].tolist() == plan.units
+    assert plan.before.sum(1).tolist() == plan.cuts and plan.cuts[-1] == plan.total
+
+
 def test_every_unit_has_one_slot_and_its_rows():
     rng = random.Random(4)
     for _ in range(30):
