@@ -119,11 +119,11 @@ def _(s, d):
     return C.check_holdout(t.where("slides = '1'"), t.where("slides in ('2', '3')"))
 
 
-REGISTRY = "(SELECT slide_tile, min(samples) AS samples, min(slides) AS slides FROM tiles WHERE hpc_id < 10 GROUP BY slide_tile)"
+REGISTRY = "(SELECT slide_tile, min(samples) AS samples, min(slides) AS slides FROM tiles GROUP BY slide_tile)"
 
 
 def registration(s, d):
-    t = B.tiles(s, d).where("hpc_id < 10").groupBy("slide_tile").agg(F.min("samples").alias("samples"), F.min("slides").alias("slides"))
+    t = B.tiles(s, d).groupBy("slide_tile").agg(F.min("samples").alias("samples"), F.min("slides").alias("slides"))
     identity = t.withColumn("image_index", F.xxhash64("slide_tile"))
     coords = t.where(F.col("slides").cast("int") % 8 != 0).select("slide_tile", "slides", F.lit(1).alias("x"))
     return C.build_registration(identity, coords, t.where(F.col("slides").cast("int") <= 60).select("slides"))
@@ -140,7 +140,7 @@ def _(s, d):
 
 @query("r23_registration_preview", f"SELECT count(*) FILTER (WHERE samples = 'FRANCE') AS existing, count(*) FILTER (WHERE samples <> 'FRANCE') AS foreign_, (SELECT count(*) FROM {REGISTRY} WHERE CAST(slides AS INTEGER) % 3 = 0) AS incoming FROM {REGISTRY} WHERE CAST(slides AS INTEGER) % 3 = 0")
 def _(s, d):
-    t = B.tiles(s, d).where("hpc_id < 10").groupBy("slide_tile").agg(F.min("samples").alias("samples"), F.min("slides").alias("slides"))
+    t = B.tiles(s, d).groupBy("slide_tile").agg(F.min("samples").alias("samples"), F.min("slides").alias("slides"))
     return C.registration_preview(t, t.where(F.col("slides").cast("int") % 3 == 0), "slide_tile", "samples", "FRANCE").withColumnRenamed("foreign", "foreign_")
 
 
