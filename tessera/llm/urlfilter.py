@@ -58,8 +58,9 @@ def openings(rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", sweeps: int | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict for each URL; the longest fitting rule (host and path) decides, then the longer host.
 
-    Canonical keys turn rules into intervals. A URL looks for the rules of its host and of each domain above it, so it has
-    a key for each. Keys are dealt over ``sweeps`` sorted sweeps (by default as many as shuffle partitions, 64 at least)
+    Canonical keys turn rules into intervals. A URL looks for the rules of its host and of each domain above it that has as
+    many labels as the host of some rule, so it has a key for each of these; the numbers of labels that rules' hosts have
+    come to the driver. Keys are dealt over ``sweeps`` sorted sweeps (by default as many as shuffle partitions, 64 at least)
     by a hash of the row, so a host with a third of all URLs is spread over all of them; the openings of intervals, which
     are as many as there are rules, go into each. A sweep hands every key the stack of the last opening before it; of
     the rules that have not closed since, the deepest is the best for that domain. The domains' best meet by row.
@@ -70,8 +71,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", sweeps: in
     sweeps = sweeps or max(64, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     row = ["page_id", "host", "path"]
     urls = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).withColumn("names", labels(F.col("host")))
-    keys = F.transform(F.sequence(F.lit(1), F.size("names")), lambda n: canonical(F.slice("names", F.lit(1), n), F.col("path")))
-    asked = urls.select(*row, F.size("names").alias("domains"), F.explode(keys).alias("key")).withColumn("sweep", F.pmod(F.xxhash64(*row), F.lit(sweeps)))
+    sizes = sorted({1} | {r.n for r in rules.select(F.size(labels(F.col("host"))).alias("n")).distinct().collect() if r.n and r.n > 0})
+    depths = F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= F.size("names"))
+    keys = F.transform(depths, lambda n: canonical(F.slice("names", F.lit(1), n), F.col("path")))
+    asked = urls.select(*row, F.size(depths).alias("domains"), F.explode(keys).alias("key")).withColumn("sweep", F.pmod(F.xxhash64(*row), F.lit(sweeps)))
     opened = openings(rules).withColumn("sweep", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sweeps - 1).cast("long"))))
     none = [F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in (*row, "domains")]
     events = asked.select("sweep", "key", F.lit(1).alias("kind"), *row, "domains", F.lit(None).cast(opened.schema["stack"].dataType).alias("stack")).unionByName(
