@@ -243,14 +243,6 @@ def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) ->
     return df.withColumn("risk_group", level)
 
 
-def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) -> DataFrame:
-    """High or low by the cutoff of the train rows, applied to all."""
-    cut = df.where(train).agg(*(F.percentile(score, p).alias(f"_c{i}") for i, p in enumerate(percentiles or (0.5,))))
-    n = len(percentiles or (0.5,))
-    level = sum(((F.col(score) > F.col(f"_c{i}")).cast("int") for i in range(n)), F.lit(0))
-    return df.crossJoin(cut).withColumn("risk_group", level).drop(*(f"_c{i}" for i in range(n)))  # one row
-
-
 #: Two-sided 95 % quantiles of Student's t for 1 to 30 degrees of freedom (fixed values), then the normal one.
 T95 = (12.706205, 4.302653, 3.182446, 2.776445, 2.570582, 2.446912, 2.364624, 2.306004, 2.262157, 2.228139, 2.200985, 2.178813, 2.160369, 2.144787, 2.13145, 2.119905, 2.109816, 2.100922, 2.093024, 2.085963, 2.079614, 2.073873, 2.068658, 2.063899, 2.059539, 2.055529, 2.051831, 2.048407, 2.04523, 2.042272)
 
