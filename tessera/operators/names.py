@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import written
+
 #: Letters of a gram. Of two names 90 % alike with 4 letters or more, every pair has a gram of two letters in common.
 Q = 2
 #: Names that share a gram beyond so many are dealt to several tasks.
@@ -80,10 +82,36 @@ def near_names(asked: DataFrame, known: DataFrame, asked_name: str, known_name:
     return some.withColumn("ratio", ratio("asked", "known")).where(F.col("ratio") >= least).select("asked", "known", F.round("ratio", 6).alias("ratio"))
 
 
+def _nearly(asked: DataFrame, known: DataFrame, asked_name: str, known_name: str) -> DataFrame:
+    """asked, known, ratio: equal names, and those of which one lacks a letter of the other: a join by the whole name on
+    one side and the name, or it with a letter out, on the other, so no letters that many names share are met."""
+    whole = lambda df, c, name: df.select(F.lower(c).alias(name)).where(F.col(name).isNotNull()).distinct()
+    a, k = whole(asked, asked_name, "asked"), whole(known, known_name, "known")
+
+    def short(df: DataFrame, name: str) -> DataFrame:
+        size, c = F.char_length(name), F.col(name)
+        out = F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, size)))
+        return df.where(size > 0).select(name, F.explode(F.array_distinct(out)).alias("key"))
+
+    equal = a.join(k, F.col("asked") == F.col("known"))
+    less = short(a, "asked").join(k, F.col("key") == F.col("known")).select("asked", "known")
+    more = short(k, "known").join(a, F.col("key") == F.col("asked")).select("asked", "known")
+    n, m = F.char_length("asked"), F.char_length("known")
+    ratio = F.when(F.col("asked") == F.col("known"), 100.0).otherwise(200.0 * F.least(n, m) / (n + m))
+    return equal.unionAll(less).unionAll(more).withColumn("ratio", F.round(ratio, 6))
+
+
 def closest(asked: DataFrame, known: DataFrame, asked_name: str, known_name: str, least: float = 90.0) -> DataFrame:
-    """Q2: each asked name that is like a known one with the closest, the smallest by name if equal, as it is spelt there."""
+    """Q2: each asked name that is like a known one with the closest, the smallest by name if equal, as it is spelt there.
+
+    With one letter too many or too few a ratio of 90 needs ten letters in all, and then no name with two edits is as
+    close. So what ``_nearly`` finds is settled, and ``near_names`` tries the other names alone.
+    """
     order = F.struct(-F.col("ratio"), F.col("known"))
-    pairs = near_names(asked, known, asked_name, known_name, least).groupBy("asked").agg(F.min_by("known", order).alias("_key"), F.max("ratio").alias("ratio"))
-    spelt = known.groupBy(F.lower(known_name).alias("_key")).agg(F.min(known_name).alias("known"))
+    best = lambda df: df.groupBy("asked").agg(F.min_by("known", order).alias("_key"), F.max("ratio").alias("ratio"))
     mine = asked.select(F.col(asked_name).alias("name")).distinct().withColumn("asked", F.lower("name"))
+    near, _ = written(best(_nearly(asked, known, asked_name, known_name).where(F.col("ratio") >= least)), "near")
+    rest, _ = written(mine.where("asked is not null").select("asked").distinct().join(near, "asked", "left_anti"), "rest")
+    pairs = near if rest.isEmpty() else near.unionAll(best(near_names(rest, known, "asked", known_name, least)))
+    spelt = known.groupBy(F.lower(known_name).alias("_key")).agg(F.min(known_name).alias("known"))
     return mine.join(pairs, "asked").join(spelt, "_key").select(F.col("name").alias("asked"), "known", "ratio")
