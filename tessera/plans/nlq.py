@@ -141,7 +141,7 @@ def execute(p: Plan, tiles: DataFrame, dictionary: DataFrame, survival: DataFram
             pairs = pairs.where((F.col("a") == i) | (F.col("b") == i))
         return pairs.groupBy("a", "b").agg(F.sum("edges").alias("edges"))
     if p.intent == "tile":
-        return first_match(tiles.sparkSession.createDataFrame([(x,) for x in e["tile"]], "q string"), tiles.select("tiles").distinct(), "tiles")
+        return first_match(tiles.sparkSession.createDataFrame([(x,) for x in e["tile"]], "q string"), tiles.select("tiles"), "tiles")
     if p.intent in ("slide", "sample"):
         key = "slides" if p.intent == "slide" else "samples"
         prop = P.proportion(tiles.where(F.lower(key).isin([x.lower() for x in e[p.intent]])), group=(key,))
