@@ -195,13 +195,12 @@ def diagnostics(near: DataFrame, core: float = 0.8) -> DataFrame:
     return j.select(F.col("truth").alias("code"), "size", F.round("purity", 6).alias("purity"), F.round("core", 6).alias("core"), F.round("radius", 6).alias("radius"), "partner", F.round("dominance", 6).alias("dominance"), mutual.alias("mutual"), verdict.alias("verdict"))
 
 
-def medoids(refs: DataFrame, most: int = 400) -> DataFrame:
-    """Of each cluster's sample of up to ``most`` by hash, the member with the least summed squared distance. The cap is the method's own, so the join within a cluster is bounded."""
-    w = Window.partitionBy("code").orderBy(F.xxhash64("ref_id"), "ref_id")
-    s = refs.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= most)
-    o = s.select("code", F.col("vec").alias("other"))
-    cost = s.join(o, "code").groupBy("code", "ref_id").agg(F.sum(squared_distance(F.col("vec"), F.col("other"))).alias("cost"))
-    return cost.groupBy("code").agg(F.min_by("ref_id", F.struct(F.round("cost", 9), F.col("ref_id"))).alias("medoid"))
+def medoids(refs: DataFrame, most: int | None = None) -> DataFrame:
+    """Of each cluster the member with the least summed squared distance to all, or within a sample of up to ``most`` by hash."""
+    if most is not None:
+        w = Window.partitionBy("code").orderBy(F.xxhash64("ref_id"), "ref_id")
+        refs = refs.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= most)
+    return exact_medoids(refs).select("code", "medoid")
 
 
 def exact_medoids(refs: DataFrame) -> DataFrame:
