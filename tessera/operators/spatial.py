@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,20 +22,55 @@ def first_occupants(tiles: DataFrame, slide: str = "slides", x: str = "grid_col"
     return tiles.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
+#: Side of a block of cells; a block holds at most a tile a cell, its own and those of a rim of one.
+SIDE = 128
+
+
+def _by_block(tiles: DataFrame, around, schema: str, slide: str, x: str, y: str, label: str, name: str | None) -> DataFrame:
+    """What ``around`` makes of the blocks of tiles that are alone in their cells: it gets a block's table and, for an offset,
+    the row of the tile that lies there from each own tile, or -1. Only tiles on a rim go to several blocks."""
+    held = [F.col(label).alias("label")] + ([F.col(name).alias("tile")] if name else [])
+    t = tiles.select(F.col(slide).alias("slide"), F.col(x).cast("long").alias("x"), F.col(y).cast("long").alias("y"), *held)
+    block = lambda c: F.floor((c + SIDE // 2) / SIDE)  # noqa: E731  (cells count from 0, which should be no rim)
+    near = lambda c: F.sequence(F.coalesce(block(F.col(c) - 1), F.lit(0)), F.coalesce(block(F.col(c) + 1), F.lit(0)))
+    sent = t.withColumn("bx", F.explode(near("x"))).withColumn("by", F.explode(near("y")))
+    sent = sent.withColumn("own", F.coalesce((F.col("bx") == block(F.col("x"))) & (F.col("by") == block(F.col("y"))), F.lit(True)))
+
+    def one(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own = np.flatnonzero(table.column("own").to_numpy())
+        if table.column("x").null_count or table.column("y").null_count or table.column("slide").null_count:
+            known = np.logical_and.reduce([table.column(c).is_valid().to_numpy() for c in ("slide", "x", "y")])
+        else:
+            known = np.ones(table.num_rows, bool)
+        px, py = (table.column(c).fill_null(0).to_numpy() for c in ("x", "y"))
+        x0, y0 = (table.column(c)[0].as_py() * SIDE - SIDE // 2 - 2 for c in ("bx", "by"))
+        cells = np.full((SIDE + 4, SIDE + 4), -1)
+        cells[px[known] - x0, py[known] - y0] = np.flatnonzero(known)
+        own_x, own_y = np.where(known, px - x0, 1)[own], np.where(known, py - y0, 1)[own]
+        at = lambda dx, dy: np.where(known[own], cells[own_x + dx, own_y + dy], -1)
+        return around(table, own, at)
+
+    return sent.groupBy("slide", "bx", "by").applyInArrow(one, schema)
+
+
+def _taken(column: pa.ChunkedArray, rows: np.ndarray) -> pa.ChunkedArray:
+    return column.take(pa.array(rows, mask=rows < 0))
+
+
 def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str | None = "slide_tile") -> DataFrame:
-    """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. A tile goes to its own cell and to
-    half of those around it, where it meets the tile that lies there: one aggregation by cell, without a join. With
-    ``name`` None only labels travel, and the aggregation is by hash."""
-    own = F.struct(F.lit(0).alias("k"), F.lit(0).alias("dx"), F.lit(0).alias("dy"))
-    to = F.explode(F.array(own, *(F.struct(F.lit(k).alias("k"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for k, (dx, dy) in enumerate(HALF, 1)))).alias("to")
-    held = {"label": F.col(label)} | ({"tile": F.col(name)} if name else {})
-    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), *(c.alias(n) for n, c in held.items()), to)
-    sides = range(len(HALF) + 1)
-    met = [F.count_if(F.col("to.k") == k).alias(f"n{k}") for k in sides] + [F.max(F.when(F.col("to.k") == k, F.col(n))).alias(f"{n}{k}") for k in sides for n in held]
-    cells = sent.groupBy("slide", (F.col("x") + F.col("to.dx")).alias("x"), (F.col("y") + F.col("to.dy")).alias("y")).agg(*met).where("n0 > 0")
-    others = F.array(*(F.when(F.col(f"n{k}") > 0, F.struct(*(F.col(f"{n}{k}").alias(n) for n in held))) for k in sides[1:]))
-    out = cells.select("slide", F.explode(F.filter(others, lambda o: o.isNotNull())).alias("o"), *(F.col(f"{n}0").alias(n) for n in held))
-    return out.select("slide", F.col("o.label").alias("a"), F.col("label").alias("b"), *((F.col("o.tile").alias("tile_a"), F.col("tile").alias("tile_b")) if name else ()))
+    """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. Tiles meet in blocks of cells, to which
+    they are sent once, without a join. With ``name`` None only labels travel."""
+    kind = dict(tiles.dtypes)
+    held = {"a": ("label", 0), "b": ("label", 1)} | ({"tile_a": ("tile", 0), "tile_b": ("tile", 1)} if name else {})
+
+    def around(table: pa.Table, own: np.ndarray, at) -> pa.Table:
+        met = [at(-dx, -dy) for dx, dy in HALF]
+        ends = np.concatenate([m[m >= 0] for m in met]), np.concatenate([own[m >= 0] for m in met])
+        return pa.table({"slide": table.column("slide").take(pa.array(ends[1])), **{n: table.column(c).take(pa.array(ends[e])) for n, (c, e) in held.items()}})
+
+    schema = f"slide {kind[slide]}, " + ", ".join(f"{n} {kind[label if c == 'label' else name]}" for n, (c, _) in held.items())
+    return _by_block(tiles, around, schema, slide, x, y, label, name)
 
 
 def edge_counts(pairs: DataFrame) -> DataFrame:
@@ -52,15 +88,30 @@ def touching(pairs: DataFrame) -> DataFrame:
 
 
 def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile") -> DataFrame:
-    """The label of each of the eight neighbours in a column of its own, null where there is none. A tile goes to its
-    own cell and, as the neighbour that it is there, to the eight around it: one aggregation by cell."""
-    own = F.struct(F.lit("").alias("k"), F.lit(0).alias("dx"), F.lit(0).alias("dy"))
-    to = F.explode(F.array(own, *(F.struct(F.lit(k).alias("k"), F.lit(-dx).alias("dx"), F.lit(-dy).alias("dy")) for k, (dx, dy) in LETTERS.items()))).alias("to")
-    sent = tiles.select(F.col(slide).alias("slide"), F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"), F.col(name).alias("name"), to)
-    cell = ["slide", (F.col("x") + F.col("to.dx")).alias("x"), (F.col("y") + F.col("to.dy")).alias("y")]
-    sent = sent.select(*cell, F.col("to.k").alias("k"), "label", F.when(F.col("to.k") == "", F.col("name")).alias("name"))
-    met = sent.groupBy("slide", "x", "y").agg(F.count_if(F.col("k") == "").alias("n"), F.max("name").alias("tile"), *(F.max(F.when(F.col("k") == k, F.col("label"))).alias(k) for k in LETTERS))
-    return met.where("n > 0").select("tile", *LETTERS)
+    """The label of each of the eight neighbours in a column of its own, null where there is none."""
+    kind = dict(tiles.dtypes)
+
+    def around(table: pa.Table, own: np.ndarray, at) -> pa.Table:
+        return pa.table({"tile": table.column("tile").take(pa.array(own)), **{k: _taken(table.column("label"), at(*d)) for k, d in LETTERS.items()}})
+
+    schema = f"tile {kind[name]}, " + ", ".join(f"{k} {kind[label]}" for k in LETTERS)
+    return _by_block(tiles, around, schema, slide, x, y, label, name)
+
+
+def touching_tiles(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id") -> DataFrame:
+    """What ``touching`` counts, of tiles that are alone in their cells: each has all its neighbours in its block, so
+    other labels are told apart there, and names need not travel."""
+    kind = dict(tiles.dtypes)
+
+    def around(table: pa.Table, own: np.ndarray, at) -> pa.Table:
+        met = [at(*d) for d in LETTERS.values()]
+        pairs = pa.table({"me": np.concatenate([own[m >= 0] for m in met]), "other": table.column("label").take(pa.array(np.concatenate([m[m >= 0] for m in met])))})
+        each = pairs.group_by(["me", "other"], use_threads=False).aggregate([])
+        out = pa.table({"slide": table.column("slide").take(each["me"]), "label": table.column("label").take(each["me"]), "other": each["other"]})
+        return out.filter(pc.not_equal(out["label"], out["other"])).group_by(["slide", "label", "other"], use_threads=False).aggregate([([], "count_all")]).select(["slide", "label", "other", "count_all"]).rename_columns(["slide", "label", "other", "tiles"])
+
+    found = _by_block(tiles, around, f"slide {kind[slide]}, label {kind[label]}, other {kind[label]}, tiles long", slide, x, y, label, None)
+    return found.groupBy("slide", "label", "other").agg(F.sum("tiles").alias("tiles"))
 
 
 def interactions(pairs: DataFrame, by: str = "slide") -> DataFrame:

@@ -30,9 +30,11 @@ CTES = {
 
 def tiles(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_returnflag")
-    place = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    place = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    nation = table(spark, d, "nation").select("n_nationkey", "n_name")
     slide, tile = F.col("l_suppkey").cast("string"), F.concat(F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey"), F.lit(".jpeg"))
-    return li.join(place, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    # one after the other: a join's size is guessed as a product, by which places joined first would not be broadcast
+    return li.join(place, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("samples"),
         slide.alias("slides"),
         tile.alias("tiles"),

@@ -177,7 +177,7 @@ def _(s, d):
 
 @query("a32_touching", f"WITH {PAIRS} SELECT slide, label, other, count(DISTINCT tile) AS tiles FROM (SELECT slide, a AS label, b AS other, ta AS tile FROM grid WHERE a <> b UNION ALL SELECT slide, b, a, tb FROM grid WHERE a <> b) GROUP BY ALL")
 def _(s, d):
-    return X.touching(grid(s, d, "slide_tile"))
+    return X.touching_tiles(X.first_occupants(B.tiles(s, d)))
 
 
 @query("t9_dominant_pair", f"WITH {PAIRS}, e AS (SELECT CASE WHEN a = 40 THEN b ELSE a END AS other, count(*) AS edges FROM grid WHERE a <> b AND (a = 40 OR b = 40) GROUP BY 1) SELECT other, edges FROM e ORDER BY edges DESC, other LIMIT 1")
