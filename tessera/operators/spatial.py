@@ -54,10 +54,6 @@ def _by_block(tiles: DataFrame, around, schema: str, slide: str, x: str, y: str,
     return sent.groupBy("slide", "bx", "by").applyInArrow(one, schema)
 
 
-def _taken(column: pa.ChunkedArray, rows: np.ndarray) -> pa.ChunkedArray:
-    return column.take(pa.array(rows, mask=rows < 0))
-
-
 def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str | None = "slide_tile") -> DataFrame:
     """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. Tiles meet in blocks of cells, to which
     they are sent once, without a join. With ``name`` None only labels travel."""
@@ -92,7 +88,8 @@ def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_co
     kind = dict(tiles.dtypes)
 
     def around(table: pa.Table, own: np.ndarray, at) -> pa.Table:
-        return pa.table({"tile": table.column("tile").take(pa.array(own)), **{k: _taken(table.column("label"), at(*d)) for k, d in LETTERS.items()}})
+        met = {k: at(*d) for k, d in LETTERS.items()}
+        return pa.table({"tile": table.column("tile").take(pa.array(own)), **{k: table.column("label").take(pa.array(m, mask=m < 0)) for k, m in met.items()}})
 
     schema = f"tile {kind[name]}, " + ", ".join(f"{k} {kind[label]}" for k in LETTERS)
     return _by_block(tiles, around, schema, slide, x, y, label, name)
