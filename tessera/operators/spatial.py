@@ -24,17 +24,24 @@ def first_occupants(tiles: DataFrame, slide: str = "slides", x: str = "grid_col"
 
 #: Side of a block of cells; a block holds at most a tile a cell, its own and those of a rim of one.
 SIDE = 128
+#: Tiles of a task that makes blocks of them, about: by it the number of tasks grows with the tiles, and their memory doesn't.
+TILES_A_TASK = 250_000
 
 
-def _by_block(tiles: DataFrame, around, schema: str, slide: str, x: str, y: str, label: str, name: str | None) -> DataFrame:
-    """What ``around`` makes of the blocks of tiles that are alone in their cells: it gets a block's table and, for an offset,
-    the row of the tile that lies there from each own tile, or -1. Only tiles on a rim go to several blocks."""
-    held = [F.col(label).alias("label")] + ([F.col(name).alias("tile")] if name else [])
+def _by_block(tiles: DataFrame, around, schema: str, slide: str, x: str, y: str, label: str, name: str | None, first: str | None = None) -> DataFrame:
+    """What ``around`` makes of the blocks of tiles that are alone in their cells, or of each cell's first tile by the column
+    ``first``: it gets a block's table and, for an offset, the row of the tile that lies there from each own tile, or -1. Only
+    tiles on a rim go to several blocks. Tiles are shuffled and sorted once: a block is where its cells are."""
+    held = [F.col(label).alias("label")] + ([F.col(name).alias("tile")] if name else []) + ([F.col(first).alias("_first")] if first and first != name else [])
     t = tiles.select(F.col(slide).alias("slide"), F.col(x).cast("long").alias("x"), F.col(y).cast("long").alias("y"), *held)
     block = lambda c: F.floor((c + SIDE // 2) / SIDE)  # noqa: E731  (cells count from 0, which should be no rim)
     near = lambda c: F.sequence(F.coalesce(block(F.col(c) - 1), F.lit(0)), F.coalesce(block(F.col(c) + 1), F.lit(0)))
     sent = t.withColumn("bx", F.explode(near("x"))).withColumn("by", F.explode(near("y")))
     sent = sent.withColumn("own", F.coalesce((F.col("bx") == block(F.col("x"))) & (F.col("by") == block(F.col("y"))), F.lit(True)))
+    sent = sent.repartition(1 + tiles.count() // TILES_A_TASK, "slide", "bx", "by")
+    if first:
+        w = Window.partitionBy("slide", "bx", "by", "x", "y").orderBy("tile" if first == name else "_first")
+        sent = sent.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth", "_first")
 
     def one(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -54,9 +61,9 @@ def _by_block(tiles: DataFrame, around, schema: str, slide: str, x: str, y: str,
     return sent.groupBy("slide", "bx", "by").applyInArrow(one, schema)
 
 
-def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str | None = "slide_tile") -> DataFrame:
-    """Pairs of 8-neighbours, each once, of tiles that are alone in their cells. Tiles meet in blocks of cells, to which
-    they are sent once, without a join. With ``name`` None only labels travel."""
+def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str | None = "slide_tile", first: str | None = None) -> DataFrame:
+    """Pairs of 8-neighbours, each once, of tiles that are alone in their cells, or of each cell's first tile by the column
+    ``first``. Tiles meet in blocks of cells, to which they are sent once, without a join. With ``name`` None only labels go on."""
     kind = dict(tiles.dtypes)
     held = {"a": ("label", 0), "b": ("label", 1)} | ({"tile_a": ("tile", 0), "tile_b": ("tile", 1)} if name else {})
 
@@ -66,7 +73,7 @@ def grid_pairs(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y:
         return pa.table({"slide": table.column("slide").take(pa.array(ends[1])), **{n: table.column(c).take(pa.array(ends[e])) for n, (c, e) in held.items()}})
 
     schema = f"slide {kind[slide]}, " + ", ".join(f"{n} {kind[label if c == 'label' else name]}" for n, (c, _) in held.items())
-    return _by_block(tiles, around, schema, slide, x, y, label, name)
+    return _by_block(tiles, around, schema, slide, x, y, label, name, first)
 
 
 def edge_counts(pairs: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ def touching(pairs: DataFrame) -> DataFrame:
     return both.groupBy("slide", "label", "other").agg(F.countDistinct("tile").alias("tiles"))
 
 
-def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile") -> DataFrame:
+def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", name: str = "slide_tile", first: str | None = None) -> DataFrame:
     """The label of each of the eight neighbours in a column of its own, null where there is none."""
     kind = dict(tiles.dtypes)
 
@@ -92,10 +99,10 @@ def letter_neighbours(tiles: DataFrame, slide: str = "slides", x: str = "grid_co
         return pa.table({"tile": table.column("tile").take(pa.array(own)), **{k: table.column("label").take(pa.array(m, mask=m < 0)) for k, m in met.items()}})
 
     schema = f"tile {kind[name]}, " + ", ".join(f"{k} {kind[label]}" for k in LETTERS)
-    return _by_block(tiles, around, schema, slide, x, y, label, name)
+    return _by_block(tiles, around, schema, slide, x, y, label, name, first)
 
 
-def touching_tiles(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id") -> DataFrame:
+def touching_tiles(tiles: DataFrame, slide: str = "slides", x: str = "grid_col", y: str = "grid_row", label: str = "hpc_id", first: str | None = None) -> DataFrame:
     """What ``touching`` counts, of tiles that are alone in their cells: each has all its neighbours in its block, so
     other labels are told apart there, and names need not travel."""
     kind = dict(tiles.dtypes)
@@ -107,7 +114,7 @@ def touching_tiles(tiles: DataFrame, slide: str = "slides", x: str = "grid_col",
         out = pa.table({"slide": table.column("slide").take(each["me"]), "label": table.column("label").take(each["me"]), "other": each["other"]})
         return out.filter(pc.not_equal(out["label"], out["other"])).group_by(["slide", "label", "other"], use_threads=False).aggregate([([], "count_all")]).select(["slide", "label", "other", "count_all"]).rename_columns(["slide", "label", "other", "tiles"])
 
-    found = _by_block(tiles, around, f"slide {kind[slide]}, label {kind[label]}, other {kind[label]}, tiles long", slide, x, y, label, None)
+    found = _by_block(tiles, around, f"slide {kind[slide]}, label {kind[label]}, other {kind[label]}, tiles long", slide, x, y, label, None, first)
     return found.groupBy("slide", "label", "other").agg(F.sum("tiles").alias("tiles"))
 
 

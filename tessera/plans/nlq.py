@@ -13,7 +13,7 @@ from tessera.functions.text import enrich, indel_ratio, partial_ratio
 from tessera.operators import profiles as P
 from tessera.operators.keys import log2_p
 from tessera.operators.lookup import first_match
-from tessera.operators.spatial import edge_counts, first_occupants, grid_pairs
+from tessera.operators.spatial import edge_counts, grid_pairs
 
 GREETING = re.compile(r"^\s*(hi|hello|hey|good (morning|afternoon|evening))\b[\s!.,]*", re.I)
 TILE = re.compile(r"\b([\w.-]+_\d+_\d+(?:_\d+)?\.(?:jpe?g|png))\b", re.I)
@@ -135,7 +135,7 @@ def execute(p: Plan, tiles: DataFrame, dictionary: DataFrame, survival: DataFram
         return hit.select("hpc_id", "coef", "p", F.round(log2_p(F.col("p")), 4).alias("log2_p"))
     if "adjacency" in p.operations:
         scope = tiles.where(F.col("slides").isin(e["slide"])) if e["slide"] else tiles
-        pairs = edge_counts(grid_pairs(first_occupants(scope), name=None))
+        pairs = edge_counts(grid_pairs(scope, name=None, first="slide_tile"))
         if e["hpc"]:
             i = int(e["hpc"][0])
             pairs = pairs.where((F.col("a") == i) | (F.col("b") == i))

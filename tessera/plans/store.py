@@ -167,7 +167,7 @@ PAIRS = f"grid AS (SELECT t.slides AS slide, t.hpc_id AS a, u.hpc_id AS b, t.sli
 
 
 def grid(s, d, name=None):
-    return X.grid_pairs(X.first_occupants(B.tiles(s, d)), name=name)
+    return X.grid_pairs(B.tiles(s, d), name=name, first="slide_tile")
 
 
 @query("a32_edge_counts", f"WITH {PAIRS} SELECT slide, least(a, b) AS a, greatest(a, b) AS b, count(*) AS edges FROM grid GROUP BY ALL")
@@ -177,7 +177,7 @@ def _(s, d):
 
 @query("a32_touching", f"WITH {PAIRS} SELECT slide, label, other, count(DISTINCT tile) AS tiles FROM (SELECT slide, a AS label, b AS other, ta AS tile FROM grid WHERE a <> b UNION ALL SELECT slide, b, a, tb FROM grid WHERE a <> b) GROUP BY ALL")
 def _(s, d):
-    return X.touching_tiles(X.first_occupants(B.tiles(s, d)))
+    return X.touching_tiles(B.tiles(s, d), first="slide_tile")
 
 
 @query("t9_dominant_pair", f"WITH {PAIRS}, e AS (SELECT CASE WHEN a = 40 THEN b ELSE a END AS other, count(*) AS edges FROM grid WHERE a <> b AND (a = 40 OR b = 40) GROUP BY 1) SELECT other, edges FROM e ORDER BY edges DESC, other LIMIT 1")
@@ -195,7 +195,7 @@ BY_LETTER = ", ".join(f"max(u.hpc_id) FILTER (WHERE o.k = '{k}') AS \"{k}\"" for
 
 @query("j20_letter_neighbours", f"SELECT t.slide_tile AS tile, {BY_LETTER} FROM first_tiles t CROSS JOIN (VALUES {OFFSETS}) o(k, dx, dy) LEFT JOIN first_tiles u ON u.slides = t.slides AND u.grid_col = t.grid_col + o.dx AND u.grid_row = t.grid_row + o.dy GROUP BY t.slide_tile")
 def _(s, d):
-    return X.letter_neighbours(X.first_occupants(B.tiles(s, d)))
+    return X.letter_neighbours(B.tiles(s, d), first="slide_tile")
 
 
 @query("a35_interactions", f"WITH {PAIRS}, n AS (SELECT slide, a, b, count(*) AS n FROM (SELECT slide, a, b FROM grid UNION ALL SELECT slide, b, a FROM grid) GROUP BY ALL) SELECT slide, a, b, n, round(n / sum(n) OVER (PARTITION BY slide, a)::DOUBLE, 6) AS share FROM n")
