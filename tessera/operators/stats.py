@@ -103,15 +103,34 @@ def ks_two_sample(df: DataFrame, value: str, side: str, *group: str) -> DataFram
     return d.groupBy(*group).agg(F.round(F.greatest(up, down), 6).alias("ks"), F.when(up >= down, "lower").otherwise("higher").alias("direction"))
 
 
+#: Terms of a distribution that are looked at together.
+TERMS = 4096
+
+
+def _upper_tail(x: int, draws: int, good: int, size: int) -> float:
+    """Share of a hypergeometric distribution from x on. Terms follow from each other by ratios, from the largest to both
+    sides until they vanish, which is some forty deviations away: work goes with the root of the counts, and no logarithm
+    of a factorial loses digits. Their sum is what they are shares of."""
+    lo, hi = max(0, draws - (size - good)), min(draws, good)
+    mode = min(hi, max(lo, (draws + 1) * (good + 1) // (size + 2)))
+    whole, tail = [1.0], [1.0] if mode >= x else []
+    for step, end in ((1, hi), (-1, lo)):
+        at, last = mode, 1.0
+        while at != end and last:
+            i = np.arange(at, at + step * min(TERMS, abs(end - at)), step, dtype=np.float64)
+            if step > 0:
+                ratio = (good - i) * (draws - i) / ((i + 1) * (size - good - draws + i + 1))
+            else:
+                ratio = i * (size - good - draws + i) / ((good - i + 1) * (draws - i + 1))
+            terms = last * np.cumprod(ratio)
+            whole.append(float(terms.sum()))
+            tail.append(float(terms[i + step >= x].sum()))
+            at, last = at + step * len(i), float(terms[-1])
+    return min(1.0, math.fsum(tail) / math.fsum(whole))
+
+
 def _hypergeometric(k: pd.Series, n: pd.Series, K: pd.Series, N: pd.Series) -> pd.Series:
-    out = []
-    for x, draws, good, size in zip(k, n, K, N, strict=True):
-        lg = math.lgamma
-        choose = lambda a, b: lg(a + 1) - lg(b + 1) - lg(a - b + 1)
-        i = np.arange(x, min(draws, good) + 1)
-        logs = [choose(good, j) + choose(size - good, draws - j) - choose(size, draws) for j in i if draws - j <= size - good]
-        out.append(min(1.0, math.fsum(map(math.exp, logs))))
-    return pd.Series(out)
+    return pd.Series([_upper_tail(*map(int, r)) for r in zip(k, n, K, N, strict=True)], dtype="float64")
 
 
 def enrichment(df: DataFrame, cluster: str, label: str) -> DataFrame:
