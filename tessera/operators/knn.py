@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators import nearest
 from tessera.operators.guards import Refused, duplicate_keys, require_empty
 from tessera.operators.scan import quantiles
+from tessera.sources.scratch import written
 
 #: Vote settings by name. Published presets.
 PRESETS = {
@@ -182,10 +183,12 @@ def tiebreak(near: DataFrame, votes: DataFrame, k: int, flip: float = 0.0) -> Da
 
 
 def diagnostics(near: DataFrame, core: float = 0.8) -> DataFrame:
-    """For each cluster of a leave-one-out search, own share, core share, radius, strongest foreign partner and a verdict."""
-    per = near.groupBy("row_id", "truth").agg(F.avg((F.col("code") == F.col("truth")).cast("int")).alias("own"), F.avg(F.sqrt("d2")).alias("radius"))
+    """For each cluster of a leave-one-out search, own share, core share, radius, strongest foreign partner and a verdict.
+    The search runs once: a row for each query, with its neighbours' codes, is written and read for both."""
+    per = near.groupBy("row_id", "truth").agg(F.avg((F.col("code") == F.col("truth")).cast("int")).alias("own"), F.avg(F.sqrt("d2")).alias("radius"), F.collect_list(F.when(F.col("code") != F.col("truth"), F.col("code"))).alias("foreign"))
+    per, _ = written(per, "diagnosed")
     own = per.groupBy("truth").agg(F.count("*").alias("size"), F.avg("own").alias("purity"), F.avg((F.col("own") >= core).cast("int")).alias("core"), F.avg("radius").alias("radius"))
-    foreign = near.where("code <> truth").groupBy("truth", "code").agg(F.count("*").alias("n"))
+    foreign = per.select("truth", F.explode("foreign").alias("code")).groupBy("truth", "code").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy("truth"))
     top = foreign.withColumn("share", F.col("n") / total).groupBy("truth").agg(F.max_by("code", F.struct("n", -F.col("code"))).alias("partner"), F.max("share").alias("dominance"))
     back = top.select(F.col("truth").alias("partner"), F.col("partner").alias("back"))

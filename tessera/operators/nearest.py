@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from tessera.sources.scratch import written
 
 #: References of a block and of a product of matrices, and coarse centres at most.
-BLOCK, CHUNK, CENTRES = 1024, 32_768, 2048
+BLOCK, CHUNK, CENTRES = 1024, 8192, 2048
+#: Numbers of a product of rows and centres that a Python worker holds at a time.
+PRODUCT = 1 << 20
 #: Queries of a set at least and at most, and queries that are scored at a time.
 FEWEST, ASKS, SCORED = 512, 16_384, 256
 #: References whose least distance stands for them where the k-th distance is looked for.
@@ -71,9 +73,10 @@ def _to_cells(shared, names: list[str]):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shared.value
         c2 = (centres * centres).sum(1)
+        size = max(1, min(4096, PRODUCT // len(centres)))
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+            for at in range(0, whole.num_rows, size):
+                batch = whole.slice(at, size)
                 x = _matrix(batch.column("vec"))
                 cell = (c2 - 2 * (x @ centres.T)).argmin(1)
                 far = np.sqrt(((x - centres[cell]) ** 2).sum(1))
@@ -292,6 +295,7 @@ def _search(k: int, dim: int, exclude_self: bool, result: str):
                     now = _Set(at("q_ids"), at("q_labels"), at("q_data"), at("q_rows"), dim, k, exclude_self, at("q_bounds"))
                 else:
                     now.add(at("rows"), at("ids"), at("labels"), at("data"), np.frombuffer(at("centre"), np.float64), at("radius"))
+            b = cols = at = None  # what was taken is copied: the batch can go before the next one comes
         if now:
             yield getattr(now, result)()
 

@@ -6,6 +6,7 @@ from tessera.operators import knn as N
 from tessera.plans import bindings as B
 from tessera.plans.registry import query
 from tessera.sources import table
+from tessera.sources.scratch import written
 
 VOTE = """{name} AS (SELECT row_id, truth, code, sum({w}) AS w, sum(sqrt(d2)) AS d, count(*) AS n FROM near WHERE rank <= {k} GROUP BY row_id, truth, code),
     {name}_r AS (SELECT row_id, truth, first(code ORDER BY w DESC, code DESC) AS label, max(w) AS top, sum(w) AS total, sum(d) / sum(n) AS neighbor_distance, list(w ORDER BY w DESC, code DESC) AS ws, list(code ORDER BY w DESC, code DESC) AS cs FROM {name} GROUP BY row_id, truth),
@@ -100,7 +101,7 @@ def _(s, d):
     g AS (SELECT row_id, truth, label, runner_up, first(code ORDER BY d2, ref_id) AS nearest, avg(sqrt(d2)) FILTER (WHERE code = label) AS a, avg(sqrt(d2)) FILTER (WHERE code <> label) AS b FROM n GROUP BY ALL)
     SELECT row_id, truth, label, nearest, CASE WHEN (a - b) / (abs(a) + abs(b) + 1e-6) > 0.001 THEN runner_up ELSE label END AS mean_distance FROM g""")
 def _(s, d):
-    n = near(s, d, 10)
+    n, _ = written(near(s, d, 10), "near")  # votes and ties are taken from one search
     return N.tiebreak(n, N.vote(n, 10, 3.0).where("margin < 0.1"), 10, 0.001)
 
 
