@@ -18,6 +18,17 @@ def as_csv(df, name):
     return path
 
 
+#: Folders that a task writes, about.
+FOLDERS_A_TASK = 100
+
+
+def dealt(df, key):
+    """A writer of rows by folder of a key, in as many tasks as there are folders for: by their bytes alone they would be merged
+    into one. Tasks put their files in place themselves, which else the driver does for one folder after the other."""
+    tasks = 1 + df.select(key).distinct().count() // FOLDERS_A_TASK
+    return df.repartition(tasks, key).write.partitionBy(key).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 @query("s2_text_csv", "SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS code, CASE c_custkey % 5 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN 'null' ELSE c_name END AS name FROM customer")
 def _(s, d):
     k = F.col("c_custkey")
@@ -44,7 +55,7 @@ def _(s, d):
 def _(s, d):
     t = B.tiles(s, d).select("slides", "grid_col", "grid_row")
     path = new_path(s, "coordinates")
-    t.where(F.col("slides").cast("int") % 7 != 0).repartition("slides").write.partitionBy("slides").csv(path, header=True)
+    dealt(t.where(F.col("slides").cast("int") % 7 != 0), "slides").csv(path, header=True)
     there = text.read_slide_tables(s, path, "grid_col int, grid_row int").groupBy("slides").agg(F.count("*").alias("n"), F.sum(F.col("grid_col") * 100 + F.col("grid_row")).alias("places"))
     return rollup.missing(t.select("slides").distinct(), there, "slides", "n").join(there, "slides", "left")
 
@@ -75,7 +86,8 @@ def _(s, d):
 @query("r22_file_registry", "SELECT slides AS slide_id, true AS has_bytes FROM tiles GROUP BY slides")
 def _(s, d):
     path = new_path(s, "registry")
-    B.tiles(s, d).select("slides").distinct().select(F.concat(F.lit("id "), "slides").alias("line"), F.concat("slides", F.lit(".txt")).alias("file")).repartition("file").write.partitionBy("file").text(path)
+    lines = B.tiles(s, d).select("slides").distinct().select(F.concat(F.lit("id "), "slides").alias("line"), F.concat("slides", F.lit(".txt")).alias("file"))
+    dealt(lines, "file").text(path)
     files = text.file_registry(s, path).where(F.contains("path", F.lit("/file=")))
     return files.select(F.regexp_extract("path", r"/file=([^/]+)\.txt/", 1).alias("slide_id"), (F.col("length") > 0).alias("has_bytes"))
 
