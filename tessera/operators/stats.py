@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.scan import quantiles, ranked, running
+from tessera.operators.scan import bounds, quantiles, ranked, running, with_range
+from tessera.sources.scratch import written
 
 
 def _totals(df: DataFrame, key: str, sums: dict[str, Column], group: tuple[str, ...], descending: bool = False) -> DataFrame:
@@ -225,34 +226,48 @@ def best_ridge(table: DataFrame) -> DataFrame:
     return mean.orderBy(F.desc("c_index"), F.desc("ridge")).limit(1)
 
 
-def _halves(rank: str, bits: str, out: str) -> Column:
-    """A rank in every level of a binary tree: two ranks are in the two halves of one node exactly once, the smaller in half 0."""
-    return F.explode(F.expr(f"transform(sequence(0, {bits} - 1), l -> struct(l, shiftright({rank}, l + 1) as node, shiftright({rank}, l) & 1 as half))")).alias(out)
+#: Bits of a rank that a level of a tree takes: a node has 2 ** BITS children.
+BITS = 3
+
+
+def _children(rank: str, levels: int, out: str) -> Column:
+    """A rank in every level of a tree: two ranks are in two children of one node exactly once, the smaller in the lower one."""
+    return F.explode(F.expr(f"transform(sequence(0, {levels - 1}), l -> struct(l, shiftright({rank}, {BITS} * (l + 1)) as node, cast(shiftright({rank}, {BITS} * l) & {2**BITS - 1} as int) as child))")).alias(out)
 
 
 def c_index(df: DataFrame, time: str, event: str, score: str, key: str, *group: str) -> DataFrame:
     """Share of comparable pairs (the earlier had the event) that the score orders, by group.
 
-    Rows with the same time and score are counted first. Pairs are products of counts in the nodes of binary trees over
-    the ranks of times and scores, so work grows as rows by the logarithms of both, and no pair is formed. Ranks are over
-    all groups, whose own order they keep.
+    Rows with the same time and score are counted first. A pair's times part in one node of a tree over the ranks of times,
+    which are over all groups. There, children's totals by range of the score give the pairs and, of two ranges, those in
+    order; within a range, running counts by score do. So work grows as rows by levels, and no pair is formed.
     """
-    rows = df.where(F.col(time).isNotNull()).groupBy(*group, F.col(time).alias("t"), F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(F.col(event) == 1).alias("e"))
-    for c in ("t", "s"):
-        ranks = ranked(rows.select(c).where(F.col(c).isNotNull()).distinct(), c, out=f"r{c}").withColumn(f"r{c}", F.col(f"r{c}") - 1)
-        rows = rows.join(ranks, c, "left").crossJoin(ranks.agg(F.length(F.bin(F.max(f"r{c}"))).alias(f"bits_{c}")))  # one row
-    at = rows.select(*group, "n", "e", "rs", "bits_s", _halves("rt", "bits_t", "t"))
-    early, late = F.when(F.col("t.half") == 0, F.col("e")).otherwise(0), F.when(F.col("t.half") == 1, F.col("n")).otherwise(0)
-    at = at.select(*group, "rs", "bits_s", F.col("t.l").alias("tl"), F.col("t.node").alias("tn"), early.alias("early"), late.alias("late")).where("early > 0 or late > 0")
-    both = at.where("rs is not null")
-    split = both.select("*", _halves("rs", "bits_s", "s")).where("(early > 0 and s.half = 1) or (late > 0 and s.half = 0)")
-
-    def product(d: DataFrame, kind: str, *node: str | Column) -> DataFrame:
-        return d.groupBy(*group, "tl", "tn", *node).agg(F.sum("early").alias("a"), F.sum("late").alias("b")).select(*group, F.lit(kind).alias("kind"), (F.col("a") * F.col("b")).alias("n"))
-
-    all_of = product(at, "pairs").unionAll(product(both, "ties", "rs")).unionAll(product(split, "right", F.col("s.l").alias("sl"), F.col("s.node").alias("sn")))
+    times = ranked(df.select(F.col(time).alias("t")).where("t is not null").distinct(), "t", out="rt").withColumn("rt", F.col("rt") - 1)
+    counted = df.where(F.col(time).isNotNull()).groupBy(*group, F.col(time).alias("t"), F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(F.col(event) == 1).alias("e"))
+    rows, _ = written(with_range(counted.join(times, "t"), "s", bounds(df, score)), "risk-counts")
+    top = 2**BITS - 1
+    levels = max(1, -(-(rows.agg(F.max("rt")).first()[0] or 0).bit_length() // BITS))
+    at = rows.select(*group, "s", "n", "e", F.when(F.col("s").isNotNull(), F.col("_range")).alias("r"), _children("rt", levels, "k"))
+    early, late = F.when(F.col("k.child") < top, F.col("e")).otherwise(0), F.when(F.col("k.child") > 0, F.col("n")).otherwise(0)
+    at = at.select(*group, "s", "r", "k.l", "k.node", "k.child", early.alias("early"), late.alias("late")).where("early > 0 or late > 0")
+    node = [*group, "l", "node"]
+
+    # what children below c had early, by what those from c on had late
+    by_child = [f(F.when(F.col("child") == c, F.col(x)).otherwise(0)).alias(f"{x}{c}") for f, x, cs in ((F.sum, "early", range(top)), (F.sum, "late", range(1, top + 1))) for c in cs]
+    totals = at.groupBy(*node, "r").agg(*by_child)
+    crossed = lambda late: sum((F.col(f"early{c}") * sum((late(d) for d in range(c + 2, top + 1)), late(c + 1)) for c in range(top)), F.lit(0))
+    sums = [F.sum(f"{x}{c}").alias(f"{x}{c}") for x, cs in (("early", range(top)), ("late", range(1, top + 1))) for c in cs]
+    pairs = totals.groupBy(*node).agg(*sums).select(*group, F.lit("pairs").alias("kind"), crossed(lambda c: F.col(f"late{c}")).alias("n"))
+    lower = Window.partitionBy(*node).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)  # one row a node and range
+    apart = totals.where("r is not null").select(*group, F.lit("right").alias("kind"), crossed(lambda c: F.coalesce(F.sum(f"late{c}").over(lower), F.lit(0))).alias("n"))
+
+    equal, upto = Window.partitionBy(*node, "r", "s"), Window.partitionBy(*node, "r").orderBy("s")  # by range: with those of the same score
+    later = lambda w: F.get(F.array(*(F.sum(F.when(F.col("child") >= c, F.col("late")).otherwise(0)).over(w) for c in range(1, top + 1))), F.col("child"))
+    within = at.where("s is not null").groupBy(*node, "r", "s", "child").agg(F.sum("early").alias("early"), F.sum("late").alias("late"))
+    within = within.select(*group, "early", later(equal).alias("same"), later(upto).alias("upto")).where("early > 0").groupBy(*group).agg(F.sum(F.col("early") * F.col("same")).alias("ties"), F.sum(F.col("early") * (F.col("upto") - F.col("same"))).alias("right"))
+    within = within.select(*group, F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("ties", "right")))))
     n = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0))
-    return all_of.groupBy(*group).agg(F.round((n("right") + n("ties") / 2) / F.nullif(n("pairs"), F.lit(0)), 6).alias("c_index"), n("pairs").alias("pairs"))
+    return pairs.unionAll(apart).unionAll(within).groupBy(*group).agg(F.round((n("right") + n("ties") / 2) / F.nullif(n("pairs"), F.lit(0)), 6).alias("c_index"), n("pairs").alias("pairs"))
 
 
 def risk_split(df: DataFrame, train: Column, score: str, *percentiles: float) -> DataFrame:
