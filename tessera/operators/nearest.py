@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import written
+from tessera.sources.scratch import arrow_batches, written
 
 #: References of a block and of a product of matrices, and coarse centres at most.
 BLOCK, CHUNK, CENTRES = 1024, 8192, 2048
@@ -24,6 +24,8 @@ BLOCK, CHUNK, CENTRES = 1024, 8192, 2048
 PRODUCT = 1 << 20
 #: Queries of a set at least and at most, and queries that are scored at a time.
 FEWEST, ASKS, SCORED = 512, 16_384, 256
+#: Bytes of packed rows that a Python worker is handed at a time (one row may be larger), and numbers of a batch that it returns.
+BATCH, RETURNED = 4 << 20, 1 << 16
 #: References whose least distance stands for them where the k-th distance is looked for.
 STRIDE = 32
 #: Bytes of packed references that may be broadcast.
@@ -269,17 +271,20 @@ class _Set:
         self.d2[old], self.ids[old], self.codes[old] = (a[keep].reshape(len(some), k) for a in (all_d, all_id, all_code))
         self.limit[old] = np.minimum(self.limit[old], self.d2[old, -1])
 
-    def found(self) -> pa.RecordBatch:
+    def found(self) -> Iterator[pa.RecordBatch]:
         self.flush()
-        held = np.isfinite(self.d2)
-        i, nth = np.nonzero(held)
-        code, truth = self.codes[held], self.truths[i]
-        cols = [pa.array(self.rows[i]), pa.array(truth.astype(np.int32), mask=truth == _NO_CODE), pa.array(self.ids[held]), pa.array(code.astype(np.int32), mask=code == _NO_CODE), pa.array(self.d2[held]), pa.array((nth + 1).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(cols, ["row_id", "truth", "ref_id", "code", "d2", "rank"])
-
-    def work(self) -> pa.RecordBatch:
+        size = max(1, RETURNED // self.k)
+        for at in range(0, len(self.rows), size):
+            mine = slice(at, at + size)
+            held = np.isfinite(self.d2[mine])
+            i, nth = np.nonzero(held)
+            code, truth = self.codes[mine][held], self.truths[mine][i]
+            cols = [pa.array(self.rows[mine][i]), pa.array(truth.astype(np.int32), mask=truth == _NO_CODE), pa.array(self.ids[mine][held]), pa.array(code.astype(np.int32), mask=code == _NO_CODE), pa.array(self.d2[mine][held]), pa.array((nth + 1).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, ["row_id", "truth", "ref_id", "code", "d2", "rank"])
+
+    def work(self) -> Iterator[pa.RecordBatch]:
         self.flush()
-        return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (len(self.rows), self.blocks, self.scored)], ["queries", "sent", "scored"])
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (len(self.rows), self.blocks, self.scored)], ["queries", "sent", "scored"])
 
 
 def _search(k: int, dim: int, exclude_self: bool, result: str):
@@ -291,13 +296,13 @@ def _search(k: int, dim: int, exclude_self: bool, result: str):
                 at = lambda c, i=i, cols=cols: cols[c][i].as_py()
                 if cols["number"][i].as_py() is None:
                     if now:
-                        yield getattr(now, result)()
+                        yield from getattr(now, result)()
                     now = _Set(at("q_ids"), at("q_labels"), at("q_data"), at("q_rows"), dim, k, exclude_self, at("q_bounds"))
                 else:
                     now.add(at("rows"), at("ids"), at("labels"), at("data"), np.frombuffer(at("centre"), np.float64), at("radius"))
             b = cols = at = None  # what was taken is copied: the batch can go before the next one comes
         if now:
-            yield getattr(now, result)()
+            yield from getattr(now, result)()
 
     return over
 
@@ -329,7 +334,10 @@ def _run(asks: DataFrame, refs: Index, k: int, exclude_self: bool, result: str,
         rows = pairs.unionByName(mine.withColumn("number", F.lit(None).cast("long")), allowMissingColumns=True).repartitionById(len(about), F.col("qset").cast("int")).join(F.broadcast(blocks), "number", "left")
     else:
         rows = pairs.join(blocks, "number").unionByName(mine, allowMissingColumns=True).repartitionById(len(about), F.col("qset").cast("int"))
-    return rows.sortWithinPartitions("qset", "nearest", "number").mapInArrow(_search(k, dim, exclude_self, result), schema)
+    found = rows.sortWithinPartitions("qset", "nearest", "number").mapInArrow(_search(k, dim, exclude_self, result), schema)
+    # written here, as the size of batches is that of the time at which a plan runs
+    with arrow_batches(spark, BATCH):
+        return written(found, "searched")[0]
 
 
 def search(asks: DataFrame, refs: Index, k: int, exclude_self: bool = False) -> DataFrame:

@@ -50,6 +50,18 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Within it, Python workers are handed batches of about so many bytes: Spark's own bound lets them grow with the input up to 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet in the shared folder and read again, and its path."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
