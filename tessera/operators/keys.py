@@ -168,6 +168,16 @@ def softmax(scores: Column, temperature: float = 5.0) -> Column:
     return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
 
 
+def rounded(value: Column, digits: int = 6) -> Column:
+    """A double as SQL's round on doubles has it: halves are those of the scaled double, and a zero keeps its sign.
+
+    F.round goes by the decimal text, so it differs at ties, and a small negative number becomes 0.0 there and not -0.0.
+    """
+    unit = F.lit(10.0**digits)
+    scaled = F.abs(value * unit)
+    return F.when(scaled < float("inf"), F.signum(value) * F.round(scaled) / unit).otherwise(value)
+
+
 def in_vocabulary(value: Column, words: dict[str, str], default: str = "not_applicable") -> Column:
     """P34."""
     mapping = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in words.items()))

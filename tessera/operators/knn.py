@@ -38,9 +38,10 @@ def resolve_vote(preset: str = "tuned", **changes) -> dict:
 
 
 def mean_vector(df: DataFrame, vec: str = "vec", *group: str) -> DataFrame:
-    """Mean of each component over all rows, as an array; one partial aggregate by position."""
+    """Mean of each component over all rows, as an array; null where there is none. One partial aggregate by position."""
     long = df.select(*group, F.posexplode(vec).alias("pos", "x"))
-    return long.groupBy(*group, "pos").agg(F.avg("x").alias("x")).groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s.x).alias("mean"))
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s.x)
+    return long.groupBy(*group, "pos").agg(F.avg("x").alias("x")).groupBy(*group).agg(F.when(F.count("*") > 0, mean).alias("mean"))
 
 
 def project(df: DataFrame, components: np.ndarray, mean: np.ndarray | None, vec: str = "vec") -> DataFrame:

@@ -169,7 +169,7 @@ def composition(s, d):
 
 
 def rounded(c):
-    return F.transform(c, lambda x: F.round(x, 6))
+    return F.transform(c, lambda x: K.rounded(x))
 
 
 @query("m1_frequency_vectors", f"{SHARE} SELECT samples, list_transform(p, lambda x: round(x, 6)) AS p FROM p")

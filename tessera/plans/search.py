@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tessera.operators import keys as K
 from tessera.operators import knn as N
 from tessera.plans import bindings as B
 from tessera.plans.registry import query
@@ -127,7 +128,7 @@ def _(s, d):
 
 @query("a18_mean_vector", "SELECT list(x ORDER BY i) AS mean FROM (SELECT i, round(avg(x), 6) AS x FROM (SELECT unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM asks) GROUP BY i)")
 def _(s, d):
-    return N.mean_vector(B.asks(s, d)).select(F.transform("mean", lambda x: F.round(x, 6)).alias("mean"))
+    return N.mean_vector(B.asks(s, d)).select(F.transform("mean", lambda x: K.rounded(x)).alias("mean"))
 
 
 @query("v24_shift_compare", """WITH r AS (SELECT quantile_cont(neighbor_distance, 0.99) AS p99, quantile_cont(neighbor_distance, 0.5) AS p50 FROM tiles WHERE hpc_id % 2 = 0), g AS (SELECT slides, avg(CASE WHEN neighbor_distance > p99 THEN 1 ELSE 0 END) AS beyond, quantile_cont(neighbor_distance, 0.5) / nullif(first(p50), 0) AS ratio FROM tiles, r GROUP BY slides)
