@@ -14,6 +14,12 @@ Q = 2
 SHARE = 500
 
 
+def _meet(a: DataFrame, b: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join by sorting. Spark guesses a side by its files, not by the pieces that its names are cut into, and would broadcast
+    through the driver what grows with the names."""
+    return a.join(b.hint("merge"), on, how)
+
+
 def common_length(a: str, b: str) -> int:
     """The length of the longest common subsequence, a word of bits for all of b at once."""
     places: dict[str, int] = {}
@@ -50,7 +56,7 @@ def _grams(df: DataFrame, name: str) -> DataFrame:
 
 def _prefix(grams: DataFrame, counts: DataFrame, least: float) -> DataFrame:
     """Of each name its rarest grams in turn: as many as its edits can destroy, and one more."""
-    ranked = grams.join(counts, "gram").groupBy("name", "size").agg(F.sort_array(F.collect_list(F.struct("n", "gram", "at"))).alias("all"))
+    ranked = _meet(grams, counts, "gram").groupBy("name", "size").agg(F.sort_array(F.collect_list(F.struct("n", "gram", "at"))).alias("all"))
     taken = F.slice("all", F.lit(1), F.greatest(edits(F.col("size"), least) * Q + 1, F.lit(1)))
     return ranked.select("name", "size", F.posexplode(taken).alias("turn", "g")).select("name", "size", "turn", "g.gram", "g.at", (F.col("g.n") / SHARE).cast("int").alias("parts"))
 
@@ -74,7 +80,7 @@ def near_names(asked: DataFrame, known: DataFrame, asked_name: str, known_name:
     most = F.floor((F.col("n") + F.col("m")) * (1 - least / 100) + 1e-9)
     apart = (most - F.pmod(most - F.col("n") + F.col("m"), F.lit(2))).cast("int")
     close = (F.abs(F.col("n") - F.col("m")) <= apart) & (F.abs(F.col("i") - F.col("j")) <= apart) & (F.greatest("s", "t") <= Q * apart)
-    pairs = left.join(right, ["gram", "part"]).where(close).select("asked", "known", apart.alias("apart"))
+    pairs = _meet(left, right, ["gram", "part"]).where(close).select("asked", "known", apart.alias("apart"))
     # a replacement is a deletion and an insertion, so this distance (-1: beyond) is no more than theirs
     tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # pairs are few bytes but much work, so their tasks stay as many
     some = pairs.where(F.expr("levenshtein(asked, known, apart)") >= 0).repartition(tasks, "asked", "known").distinct()
@@ -93,9 +99,9 @@ def _nearly(asked: DataFrame, known: DataFrame, asked_name: str, known_name: str
         out = F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, size)))
         return df.where(size > 0).select(name, F.explode(F.array_distinct(out)).alias("key"))
 
-    equal = a.join(k, F.col("asked") == F.col("known"))
-    less = short(a, "asked").join(k, F.col("key") == F.col("known")).select("asked", "known")
-    more = short(k, "known").join(a, F.col("key") == F.col("asked")).select("asked", "known")
+    equal = _meet(a, k, F.col("asked") == F.col("known"))
+    less = _meet(short(a, "asked"), k, F.col("key") == F.col("known")).select("asked", "known")
+    more = _meet(short(k, "known"), a, F.col("key") == F.col("asked")).select("asked", "known")
     n, m = F.char_length("asked"), F.char_length("known")
     ratio = F.when(F.col("asked") == F.col("known"), 100.0).otherwise(200.0 * F.least(n, m) / (n + m))
     return equal.unionAll(less).unionAll(more).withColumn("ratio", F.round(ratio, 6))
@@ -111,7 +117,7 @@ def closest(asked: DataFrame, known: DataFrame, asked_name: str, known_name: str
     best = lambda df: df.groupBy("asked").agg(F.min_by("known", order).alias("_key"), F.max("ratio").alias("ratio"))
     mine = asked.select(F.col(asked_name).alias("name")).distinct().withColumn("asked", F.lower("name"))
     near, _ = written(best(_nearly(asked, known, asked_name, known_name).where(F.col("ratio") >= least)), "near")
-    rest, _ = written(mine.where("asked is not null").select("asked").distinct().join(near, "asked", "left_anti"), "rest")
+    rest, _ = written(_meet(mine.where("asked is not null").select("asked").distinct(), near, "asked", "left_anti"), "rest")
     pairs = near if rest.isEmpty() else near.unionAll(best(near_names(rest, known, "asked", known_name, least)))
     spelt = known.groupBy(F.lower(known_name).alias("_key")).agg(F.min(known_name).alias("known"))
-    return mine.join(pairs, "asked").join(spelt, "_key").select(F.col("name").alias("asked"), "known", "ratio")
+    return _meet(_meet(mine, pairs, "asked"), spelt, "_key").select(F.col("name").alias("asked"), "known", "ratio")
